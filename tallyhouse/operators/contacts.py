@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.orders import order_key
 from ..functions.text import alnum_words, clean_body, opt_in_flag, opt_out_flag
 from .joins import first_row_per_key, flag_listed
-from .ordered import fill_ordered, keep_at_max, latest_row
+from .ordered import Bucket, fill_ordered, keep_at_max, latest_row
 from .reshape import stack
 
 # Channels of an opt-in status, strongest first.
@@ -85,7 +85,7 @@ def customer_sms(messages: DataFrame, *, whole_word: bool = False) -> DataFrame:
 
 
 def next_message_flag(messages: DataFrame, keys: list[str], order_by: list[str], flag: str,
-                      name: str, *, bucket: str | None = "month") -> DataFrame:
+                      name: str, *, bucket: Bucket | None = "month") -> DataFrame:
     """The flag of the customer's next message; FALSE after the last one."""
     known = messages.withColumn("__flag", F.coalesce(F.col(flag), F.lit(False)))
     out = fill_ordered(known, keys, order_by, {name: "__flag"}, direction="up",

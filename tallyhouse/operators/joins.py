@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import fill_ordered, latest_row, number_rows
+from .ordered import Bucket, fill_ordered, latest_row, number_rows
 
 # How many pieces the rows with a missing join key are spread over.
 NULL_KEY_SPREAD = 64
@@ -94,7 +94,7 @@ def null_safe_lookup(df: DataFrame, lookup: DataFrame, keys: list[str],
 
 def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_time: str,
                touch_time: str, touch_columns: dict[str, str], order_tie: list[str],
-               touch_tie: list[str], bucket: str | None = "month") -> DataFrame:
+               touch_tie: list[str], bucket: Bucket | None = "month") -> DataFrame:
     """As-of join: the latest touch strictly before each order.
 
     ``touch_columns`` maps output column -> touch column. Both sides are stacked
@@ -122,7 +122,7 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
 
 def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_time: str,
                     course_time: str, course_id: str, order_tie: list[str],
-                    bucket: str | None = "month") -> DataFrame:
+                    bucket: Bucket | None = "month") -> DataFrame:
     """Previous and next course around each order of the same staff member.
 
     Here an order and a course at the same instant see each other in stacking

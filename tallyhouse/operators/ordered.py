@@ -10,6 +10,8 @@ that is shuffled is shuffled by (key, bucket).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,20 +19,29 @@ _BUCKET = "__bucket"
 _REAL = "__is_row"
 
 
-def _bucket_of(time_col: str, bucket: str) -> Column:
-    return F.date_trunc(bucket, F.col(time_col))
+# A date_trunc unit, a width for number columns, or any non-decreasing function
+# of the leading order column.
+Bucket = str | int | Callable[[Column], Column]
+
+
+def _bucket_of(leading: str, bucket: Bucket) -> Column:
+    if callable(bucket):
+        return bucket(F.col(leading))
+    if isinstance(bucket, int):
+        return F.floor(F.col(leading) / bucket)
+    return F.date_trunc(bucket, F.col(leading))
 
 
 def fill_ordered(df: DataFrame, keys: list[str], order_by: list[str], fills: dict[str, str], *,
                  direction: str = "down", include_current: bool = True,
-                 bucket: str | None = "month") -> DataFrame:
+                 bucket: Bucket | None = "month") -> DataFrame:
     """Add, per row, the nearest non-NULL value before (or after) it in order.
 
     ``fills`` maps new column -> source column; every column is filled on its
-    own. ``order_by`` starts with a date or timestamp column, followed by the
-    columns that break ties. ``include_current=False`` looks only at the other
-    rows, which for a time column is ``lag`` (down) or ``lead`` (up).
-    ``bucket`` is a ``date_trunc`` unit; ``None`` uses one window per key.
+    own. ``order_by`` starts with the column that is cut into buckets, usually a
+    time, followed by the columns that break ties. ``include_current=False``
+    looks only at the other rows, which for a time column is ``lag`` (down) or
+    ``lead`` (up). ``bucket=None`` uses one window per key.
     """
     down = direction == "down"
     time_col = order_by[0]
@@ -70,7 +81,7 @@ def fill_ordered(df: DataFrame, keys: list[str], order_by: list[str], fills: dic
 
 
 def number_rows(df: DataFrame, keys: list[str], order_by: list[str], name: str, *,
-                bucket: str | None = "month") -> DataFrame:
+                bucket: Bucket | None = "month") -> DataFrame:
     """Running number 1, 2, 3 … of each key's rows in order."""
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(F.col(order_by[0]).asc_nulls_last(), *order_by[1:])

@@ -107,9 +107,10 @@ def hoist(df: DataFrame, column: str, paths: dict[str, str]) -> DataFrame:
                             for new, path in paths.items()])
 
 
-ADDRESS_SCHEMA = T.ArrayType(T.StructType.fromDDL(
-    "type string, street1 string, street2 string, city string, state string, primary boolean, "
-    "zipcode string"))
+# Fields of an address object.
+_ADDRESS_TEXT = ["type", "street1", "street2", "city", "state", "zipcode"]
+_ADDRESS_DDL = ("array<struct<" + ", ".join(f"{f}: string" for f in _ADDRESS_TEXT)
+                + ", primary: boolean>>")
 
 
 def explode_addresses(df: DataFrame, *, column: str = "addresses", key: str = "customer_id",
@@ -119,12 +120,11 @@ def explode_addresses(df: DataFrame, *, column: str = "addresses", key: str = "c
     Customers without an address stay. Among one run's addresses the order is
     other, primary, unmarked, and the last one stands.
     """
-    rows = (df.select("*", F.explode_outer(F.from_json(
-        F.coalesce(column, F.lit("[]")), ADDRESS_SCHEMA)).alias("__a")).drop(column))
-    rows = rows.select(*[c for c in rows.columns if c != "__a"], *[
-        F.nullif(F.col(f"__a.{f}"), F.lit("")).alias(f"address_{f}")
-        if f != "primary" else F.col("__a.primary").alias("address_primary")
-        for f in ADDRESS_SCHEMA.elementType.names])
+    rows = df.select("*", F.explode_outer(F.from_json(
+        F.coalesce(column, F.lit("[]")), _ADDRESS_DDL)).alias("__a"))
+    rows = rows.select(
+        *[c for c in df.columns if c != column], F.col("__a.primary").alias("address_primary"),
+        *[F.nullif(F.col(f"__a.{f}"), F.lit("")).alias(f"address_{f}") for f in _ADDRESS_TEXT])
     rest = [c for c in rows.columns if c not in (key, run_ts, "address_primary")]
     return first_row_per_key(rows, [key], [
         F.col(run_ts).desc_nulls_last(), F.col("address_primary").desc_nulls_first(),

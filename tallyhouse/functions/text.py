@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def squish(col: Column) -> Column:
-    """Collapse runs of whitespace to one blank and trim both ends."""
-    return F.trim(F.regexp_replace(col, r"\s+", " "))
+    """Collapse runs of whitespace, also non-ASCII, to one blank and trim both ends."""
+    return F.trim(F.regexp_replace(col, r"[\s\p{Z}]+", " "))
 
 
 def blank_to_null(col: Column) -> Column:

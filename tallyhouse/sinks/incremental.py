@@ -63,3 +63,8 @@ def active_rows(df: DataFrame, active: DataFrame, org: str) -> DataFrame:
 def snapshot_bin(ts: Column, minutes: int = 30) -> Column:
     """Snapshot label: time floored to the half hour."""
     return floor_to(ts, minutes)
+
+
+def replaced(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """Target with the partitions the batch has rows for replaced by the batch."""
+    return only_new(target, batch, [column]).unionByName(batch)

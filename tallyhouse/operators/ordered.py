@@ -43,6 +43,8 @@ def fill_ordered(df: DataFrame, keys: list[str], order_by: list[str], fills: dic
     looks only at the other rows, which for a time column is ``lag`` (down) or
     ``lead`` (up). ``bucket=None`` uses one window per key.
     """
+    if not fills:
+        return df
     down = direction == "down"
     time_col = order_by[0]
     in_order = [F.col(c).asc() if down else F.col(c).desc() for c in order_by]

@@ -96,8 +96,8 @@ emsg AS (
 SMS_CTES = EVENT_CTES + """,
 contact AS (SELECT DISTINCT customer_id, org, phone FROM epop),
 gap AS (
-  SELECT o.*, date_diff('day', CAST(lag(order_time_utc) OVER w AS DATE),
-                        CAST(order_time_utc AS DATE)) AS time_since_last_order
+  SELECT o.*, contact.phone, date_diff('day', CAST(lag(order_time_utc) OVER w AS DATE),
+                                       CAST(order_time_utc AS DATE)) AS time_since_last_order
   FROM (SELECT DISTINCT org, customer_id, order_id, order_facility, order_time_utc, order_total
         FROM epop) o JOIN contact USING (customer_id, org)
   WINDOW w AS (PARTITION BY org, customer_id ORDER BY order_time_utc, order_id)),

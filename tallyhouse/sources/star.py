@@ -7,7 +7,7 @@ timestamps as instants.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, "customer_id").withColumn("order_time_local", F.col("order_time_utc"))
 
 
+def star_category(raw: Column) -> Column:
+    return apply_rules(F.lower(raw), F.lit(None).cast("string"), rules=STAR_RULES)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with product attributes, without the order."""
     li, p = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part")
@@ -112,17 +116,13 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * (1 - off) * F.col("l_tax")).alias("item_tax"),
         (price * (1 - off) * (1 + F.col("l_tax"))).alias("item_total"),
         F.col("l_suppkey").cast("string").alias("sold_by_id"),
-        (F.col("l_returnflag") == "R").alias("is_returned"))
-
-
-def star_category(raw):
-    return apply_rules(F.lower(raw), F.lit(None).cast("string"), rules=STAR_RULES)
+        (F.col("l_returnflag") == "R").alias("is_returned"),
+        star_category(F.col("p_type")).alias("category3"))
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide order-line table: one row per line with order, customer and product."""
-    both = lines(spark, sf_dir).join(orders(spark, sf_dir), "order_id")
-    return both.withColumn("category3", star_category(F.col("raw_category_name")))
+    return lines(spark, sf_dir).join(orders(spark, sf_dir), "order_id")
 
 
 def order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,7 +85,7 @@ _SENSITIVE = f"""
 SELECT customer_id, phone, n >= 3 AND sxx > 0 AND syy > 0 AND
   abs(slope) / sqrt(greatest(syy - slope * sxy, 0) / (n - 2) / sxx)
     > {_CRIT}[n - 2] AS is_disc_sensitive
-FROM (SELECT customer_id, phone, regr_count(order_subtot, order_disc) AS n,
+FROM (SELECT customer_id, phone, CAST(regr_count(order_subtot, order_disc) AS BIGINT) AS n,
         regr_slope(order_subtot, order_disc) AS slope, regr_sxx(order_subtot, order_disc) AS sxx,
         regr_syy(order_subtot, order_disc) AS syy, regr_sxy(order_subtot, order_disc) AS sxy
       FROM kept WHERE order_disc < 0 GROUP BY ALL)"""

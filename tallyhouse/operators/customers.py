@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between
 from ..functions.orders import all_of
+from ..session import Stage, lazily
 from .ordered import fill_ordered
 from .quantiles import exact_percentiles
 from .reshape import pivot_levels
@@ -146,7 +147,8 @@ def favourite_brands(lines: DataFrame, keys: list[str], categories: list[str], *
 
 
 def customer_profile(population: DataFrame, as_of: Column, categories: list[str],
-                     keys: list[str] = ["customer_id", "phone"]) -> DataFrame:
+                     keys: list[str] = ["customer_id", "phone"], stage: Stage = lazily
+                     ) -> DataFrame:
     """Purchase rhythm of customers with more than three orders.
 
     Mean and spread of the gap between orders, median ticket, whether the
@@ -154,8 +156,8 @@ def customer_profile(population: DataFrame, as_of: Column, categories: list[str]
     sensitivity of those not lost and favourite brand per category.
     """
     lines = population.where(all_of([F.col(k).isNotNull() for k in keys]))
-    orders = one_row_per_order(lines, ["org_uuid", *keys], ["order_time_utc", "order_tot",
-                                                             "order_subtot", "order_disc"])
+    orders = stage(one_row_per_order(lines, ["org_uuid", *keys], [
+        "order_time_utc", "order_tot", "order_subtot", "order_disc"]))
     gaps = fill_ordered(orders, keys, ["order_time_utc", "order_id"], {"prev": "order_time_utc"},
                         include_current=False)
     gaps = gaps.withColumn("gap", days_between(F.col("prev"), F.col("order_time_utc")))
@@ -188,58 +190,59 @@ VIP_CUTS = {"items": (0.50, 0.85, 0.98), "orders": (0.45, 0.70, 0.85),
             "dollars": (0.45, 0.70, 0.95)}
 
 
-def _last_new_value(lines: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def _last_new_value(orders: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Per column the value that was first seen latest (not the latest value:
     going back to an earlier name does not bring it back)."""
-    seen = lines.groupBy(*keys, *columns).agg(F.min("order_time_utc").alias("__t"))
+    seen = orders.groupBy(*keys, *columns).agg(F.min("at").alias("__t"))
     long = seen.select(*keys, "__t", F.explode(F.array(*[
         F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("v"))
         for c in columns])).alias("x")).select(*keys, "__t", "x.*")
     first = long.groupBy(*keys, "field", "v").agg(F.min("__t").alias("__t"))
-    types = dict(lines.dtypes)
+    types = dict(orders.dtypes)
     return first.groupBy(*keys).agg(*[
         F.max_by("v", F.when(F.col("field") == c, F.struct("__t", "v"))).cast(types[c]).alias(c)
         for c in columns])
 
 
-def vip_points(population: DataFrame, as_of: Column) -> DataFrame:
-    """0 to 3 points each for items, orders and dollars, against the organisation."""
+def vip_points(population: DataFrame, as_of: Column, stage: Stage = lazily) -> DataFrame:
+    """0 to 3 points each for items, orders and dollars, against the organisation.
+
+    Order time and personal data are the same on all lines of an order.
+    """
+    person = ["first_name", "last_name", "birthday"]
     keys = ["org_uuid", "customer_id", "phone"]
     lines = (population.where(F.col("phone").isNotNull() | F.col("customer_id").isNotNull())
              .where(all_of([F.col(c).isNotNull()
                             for c in ("item_subtotal", "product_qty", "order_time_utc")])))
-    per_order = lines.groupBy(*keys, "order_id").agg(
+    per_order = stage(lines.groupBy(*keys, "order_id").agg(
         F.min("order_tot").alias("tot"), F.min("order_disc").alias("disc"),
-        F.sum("product_qty").alias("qty"), F.max("order_time_utc").alias("at"))
+        F.sum("product_qty").alias("qty"), F.max("order_time_utc").alias("at"),
+        *[F.max(c).alias(c) for c in person]))
     cut = F.abs("disc")
-    spend = per_order.groupBy(*keys).agg(
+    spend = stage(per_order.groupBy(*keys).agg(
         F.floor(days_between(F.max("at"), as_of)).alias("days_since_last_order"),
         F.avg("tot").alias("avg_order_total"),
         F.avg(F.try_divide(cut, F.col("tot") + cut)).alias("avg_discount_to_date"),
         F.bround(F.avg("qty")).alias("avg_order_items"),
         F.sum("qty").alias("total_items"), F.count(F.lit(1)).alias("total_orders"),
-        F.coalesce(F.sum("tot"), F.lit(0.0)).alias("total_dollars"))
+        F.coalesce(F.sum("tot"), F.lit(0.0)).alias("total_dollars")))
     prices = (lines.groupBy(*keys, "pos_product_id")
               .agg(F.max_by("item_subtotal", F.struct("order_time_utc", "pos_order_line_id",
                                                       "item_subtotal")).alias("p"))
               .groupBy(*keys).agg(F.avg("p").alias("avg_item_price")))
-    times = lines.select(*keys, "order_time_utc").distinct()
-    gaps = (fill_ordered(times, keys, ["order_time_utc"], {"prev": "order_time_utc"},
-                         include_current=False)
-            .groupBy(*keys).agg(F.avg(F.ceil(days_between(F.col("prev"),
-                                                          F.col("order_time_utc"))))
+    times = per_order.select(*keys, "at").distinct()
+    gaps = (fill_ordered(times, keys, ["at"], {"prev": "at"}, include_current=False)
+            .groupBy(*keys).agg(F.avg(F.ceil(days_between(F.col("prev"), F.col("at"))))
                                 .alias("avg_days_between_orders")))
-    people = _last_new_value(lines, keys, ["first_name", "last_name", "birthday"])
+    people = _last_new_value(per_order, keys, person)
 
     cuts = exact_percentiles(spend, ["org_uuid"], [
         (f"{measure}_{i}", f"total_{measure}", p)
         for measure, ps in VIP_CUTS.items() for i, p in enumerate(ps)])
     measured = spend.join(cuts, "org_uuid", "left")
-    for measure in VIP_CUTS:
-        value = F.col(f"total_{measure}")
-        points = sum((F.when(value > F.col(f"{measure}_{i}"), 1).otherwise(0)
-                      for i in range(3)), F.lit(0))
-        measured = measured.withColumn(f"vip_{measure}", points)
+    measured = measured.withColumns({f"vip_{measure}": sum(
+        (F.when(F.col(f"total_{measure}") > F.col(f"{measure}_{i}"), 1).otherwise(0)
+         for i in range(3)), F.lit(0)) for measure in VIP_CUTS})
     measured = measured.drop(*cuts.columns[1:]).withColumn(
         "vip_points", F.col("vip_items") + F.col("vip_orders") + F.col("vip_dollars"))
     for extra in (people, gaps, prices):
@@ -250,7 +253,8 @@ def vip_points(population: DataFrame, as_of: Column) -> DataFrame:
     return measured
 
 
-def loyalty_benchmarks(population: DataFrame, org: str = "org_uuid") -> DataFrame:
+def loyalty_benchmarks(population: DataFrame, org: str = "org_uuid", stage: Stage = lazily
+                       ) -> DataFrame:
     """Percentiles over an organisation's customers that mark loyalty levels."""
     def finite(c):
         return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
@@ -264,7 +268,7 @@ def loyalty_benchmarks(population: DataFrame, org: str = "org_uuid") -> DataFram
         F.sum("spend").alias("spend"), F.sum("qty").alias("items"),
         F.count(F.lit(1)).alias("orders"), F.abs(F.sum("disc")).alias("disc"))
     rate = F.try_divide("disc", "spend")
-    customers = customers.withColumn("disc", F.when(rate > 0.01, rate))
+    customers = stage(customers.withColumn("disc", F.when(rate > 0.01, rate)))
     levels = ("silver", "gold", "platinum")
     # Percentile per measure and level.
     cuts = {"spend": (0.45, 0.70, 0.95), "items": (0.50, 0.85, 0.98),
@@ -296,8 +300,21 @@ def segment_lines(population: DataFrame, *, since: str = "2017-01-01", low: floa
         & (F.col("item_subtotal") < high) & (F.col("item_subtotal") > low))
 
 
+def segment_days(lines: DataFrame, org: str = "org_uuid") -> DataFrame:
+    """Lines summed per contact, customer, day and category.
+
+    All segment figures follow from these sums, so a stored result replaces the
+    lines as input of ``customer_segments`` for every contact kind.
+    """
+    return lines.groupBy(org, "phone", "email", "customer_id",
+                         F.date_trunc("day", "order_time_utc").alias("order_time_utc"),
+                         "category3").agg(
+        F.sum("item_subtotal").alias("item_subtotal"),
+        F.sum("item_discount").alias("item_discount"))
+
+
 def customer_segments(lines: DataFrame, by: str, *, min_customers: int = 100,
-                      org: str = "org_uuid") -> DataFrame:
+                      org: str = "org_uuid", stage: Stage = lazily) -> DataFrame:
     """Segment flags per contact (``phone`` or ``email``) and customer.
 
     Needs three order days. Organisations with fewer than ``min_customers``
@@ -314,7 +331,7 @@ def customer_segments(lines: DataFrame, by: str, *, min_customers: int = 100,
     gap = F.datediff("order_date", "prev").cast("long")
     # Whole-number sums keep the standard deviation exact, which matters
     # because it is rounded up to full days afterwards.
-    summ = (gaps.groupBy(*keys).agg(
+    summ = stage(gaps.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("order_tot").alias("spend"),
         F.sum("order_disc").alias("disc"), F.avg("order_tot").alias("size"),
         F.count(gap).alias("g"), F.sum(gap).alias("gap_sum"),

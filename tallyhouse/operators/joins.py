@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import Stage, lazily
 from .ordered import Bucket, fill_ordered, latest_row, number_rows
 
 # How many pieces the rows with a missing join key are spread over.
@@ -94,7 +95,8 @@ def null_safe_lookup(df: DataFrame, lookup: DataFrame, keys: list[str],
 
 def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_time: str,
                touch_time: str, touch_columns: dict[str, str], order_tie: list[str],
-               touch_tie: list[str], bucket: Bucket | None = "month") -> DataFrame:
+               touch_tie: list[str], bucket: Bucket | None = "month", stage: Stage = lazily
+               ) -> DataFrame:
     """As-of join: the latest touch strictly before each order.
 
     ``touch_columns`` maps output column -> touch column. Both sides are stacked
@@ -114,7 +116,7 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
                            *tie_columns(touch_tie),
                            *[F.col(src).alias(f"__src_{new}")
                              for new, src in touch_columns.items()])
-    stacked = left.unionByName(right, allowMissingColumns=True)
+    stacked = stage(left.unionByName(right, allowMissingColumns=True))
     filled = fill_ordered(stacked, keys, ["__time", "__side", *ties],
                           {new: f"__src_{new}" for new in touch_columns}, bucket=bucket)
     return filled.where(F.col("__side") == 0).select(*orders.columns, *touch_columns)
@@ -122,7 +124,7 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
 
 def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_time: str,
                     course_time: str, course_id: str, order_tie: list[str],
-                    bucket: Bucket | None = "month") -> DataFrame:
+                    bucket: Bucket | None = "month", stage: Stage = lazily) -> DataFrame:
     """Previous and next course around each order of the same staff member.
 
     Here an order and a course at the same instant see each other in stacking
@@ -138,10 +140,11 @@ def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_ti
                             F.col(course_id).alias("__c_id"), F.col(course_time).alias("__c_ts"),
                             F.col("n_course").alias("__c_n"))
     order_by = ["__time", "__side", *ties]
-    stacked = left.unionByName(right, allowMissingColumns=True)
-    back = fill_ordered(stacked, [key], order_by,
-                        {"last_course_id": "__c_id", "last_course_completed_utc": "__c_ts",
-                         "last_n_course": "__c_n"}, bucket=bucket)
+    stacked = stage(left.unionByName(right, allowMissingColumns=True))
+    back = stage(fill_ordered(
+        stacked, [key], order_by,
+        {"last_course_id": "__c_id", "last_course_completed_utc": "__c_ts",
+         "last_n_course": "__c_n"}, bucket=bucket))
     both = fill_ordered(back, [key], order_by,
                         {"next_course_id": "__c_id", "next_course_completed_utc": "__c_ts",
                          "next_n_course": "__c_n"}, direction="up", bucket=bucket)

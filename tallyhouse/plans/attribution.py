@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_body
 from ..operators.joins import horizon_flags, last_touch
 from ..operators.ordered import Bucket, fill_ordered
+from ..session import Stage, lazily
 
 _CUSTOMER = ["org", "customer_id"]
 
 
-def _orders_with_gap(population: DataFrame, contacts: DataFrame, bucket: Bucket | None
-                     ) -> DataFrame:
+def _orders_with_gap(population: DataFrame, contacts: DataFrame, bucket: Bucket | None,
+                     stage: Stage) -> DataFrame:
     """Orders per contact with whole days since the customer's previous order.
 
     A customer with two contacts has each order twice, and the second copy
@@ -23,7 +24,7 @@ def _orders_with_gap(population: DataFrame, contacts: DataFrame, bucket: Bucket
         "customer_id", "org", "source_system", "order_id", "order_type", "order_facility",
         F.col("order_time_utc").alias("event_time_utc"), "order_time_local",
         "order_total").distinct()
-    orders = orders.join(contacts, ["customer_id", "org", "source_system"])
+    orders = stage(orders.join(contacts, ["customer_id", "org", "source_system"]))
     contact = [c for c in contacts.columns if c not in ("customer_id", "org", "source_system")]
     gaps = fill_ordered(orders, _CUSTOMER, ["order_time_local", "order_id", *contact],
                         {"__prev": "order_time_local"}, include_current=False, bucket=bucket)
@@ -47,7 +48,7 @@ LINE_COLUMNS = ["order_line_id", "product_name", "product_id", "brand_name", "pr
 
 def sms_attribution(messages: DataFrame, campaigns: DataFrame, population: DataFrame, *,
                     line_columns: list[str] = [*LINE_COLUMNS, "category3"],
-                    bucket: Bucket | None = "month") -> DataFrame:
+                    bucket: Bucket | None = "month", stage: Stage = lazily) -> DataFrame:
     """Order lines with the text message their customer received last before.
 
     ``messages``: org, to, body, date_sent, campaign_id; ``campaigns``: org,
@@ -55,6 +56,7 @@ def sms_attribution(messages: DataFrame, campaigns: DataFrame, population: DataF
     """
     contacts = (population.where(F.coalesce("phone", F.lit("")) != "")
                 .select("customer_id", "org", "source_system", "phone").distinct())
+    contacts = stage(contacts)
     sent = (messages.join(campaigns.select("org", "campaign_id", "campaign_body"),
                           ["org", "campaign_id"], "left")
             .withColumn("body", clean_body(F.coalesce("campaign_body", "body")))
@@ -62,21 +64,23 @@ def sms_attribution(messages: DataFrame, campaigns: DataFrame, population: DataF
             .join(contacts, ["phone", "org"])
             .select("org", "customer_id", "campaign_id", "body", "date_sent"))
     touched = last_touch(
-        _orders_with_gap(population, contacts, bucket), sent, _CUSTOMER,
+        _orders_with_gap(population, contacts, bucket, stage), sent, _CUSTOMER,
         order_time="event_time_utc", touch_time="date_sent",
         touch_columns={"last_sms_date_sent": "date_sent", "last_sms_body": "body",
                        "last_sms_campaign_id": "campaign_id"},
-        order_tie=["order_id", "phone"], touch_tie=["campaign_id", "body"], bucket=bucket)
+        order_tie=["order_id", "phone"], touch_tie=["campaign_id", "body"], bucket=bucket,
+        stage=stage)
     return _credited_lines(touched, population, "last_sms_date_sent", "last_sms_body",
                            line_columns)
 
 
 def email_attribution(sent_emails: DataFrame, campaigns: DataFrame, population: DataFrame, *,
-                      line_columns: list[str] = LINE_COLUMNS, bucket: Bucket | None = "month"
-                      ) -> DataFrame:
+                      line_columns: list[str] = LINE_COLUMNS, bucket: Bucket | None = "month",
+                      stage: Stage = lazily) -> DataFrame:
     """The same for emails. ``sent_emails``: campaign_id, email, sent_at_utc."""
     contacts = (population.where(F.col("email").isNotNull())
                 .select("customer_id", "org", "source_system", "email").distinct())
+    contacts = stage(contacts)
     info = {"campaign_uuid": F.col("campaign_uuid"), "img_path": F.col("email_img_path"),
             "template_id": F.col("email_template_id"),
             "subject": clean_body(F.col("email_subject")), "body": clean_body(F.col("email_body"))}
@@ -84,11 +88,11 @@ def email_attribution(sent_emails: DataFrame, campaigns: DataFrame, population:
     sent = (sent_emails.join(described, "campaign_id", "left").join(contacts, "email")
             .select("org", "customer_id", "sent_at_utc", *info))
     touched = last_touch(
-        _orders_with_gap(population, contacts, bucket), sent, _CUSTOMER,
+        _orders_with_gap(population, contacts, bucket, stage), sent, _CUSTOMER,
         order_time="event_time_utc", touch_time="sent_at_utc",
         touch_columns={"last_email_date_sent": "sent_at_utc",
                        **{f"last_email_{n}": n for n in info}},
         order_tie=["order_id", "email"], touch_tie=["campaign_uuid", "subject", "body"],
-        bucket=bucket)
+        bucket=bucket, stage=stage)
     return _credited_lines(touched, population, "last_email_date_sent", "last_email_body",
                            line_columns)

@@ -9,6 +9,7 @@ from ..operators import campaigns as ops
 from ..operators import contacts
 from ..operators.joins import email_delivery_stats
 from ..plans.attribution import email_attribution, sms_attribution
+from ..session import cut_lineage
 from ..sources import star
 from . import event_sales
 from .registry import digits, query
@@ -21,7 +22,7 @@ SMS = event_sales.SMS_CTES
 def attributed(spark, sf_dir) -> DataFrame:
     return sms_attribution(event_sales.messages(spark, sf_dir),
                            event_sales.campaigns(spark, sf_dir),
-                           event_sales.population(spark, sf_dir))
+                           event_sales.population(spark, sf_dir), stage=cut_lineage)
 
 
 @query(f"WITH {SMS} " + f"""
@@ -90,7 +91,7 @@ email_lines AS (
 
 def _email_attributed(spark, sf_dir):
     sent, info = _emails(spark, sf_dir)
-    return email_attribution(sent, info, event_sales.population(spark, sf_dir))
+    return email_attribution(sent, info, event_sales.population(spark, sf_dir), stage=cut_lineage)
 
 
 @query(f"WITH {_EMAIL} " + f"""

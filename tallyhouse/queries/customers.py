@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import customers as ops
 from ..operators.reshape import stack
 from ..operators.statistics import EXACT_DF, critical_t
+from ..session import cut_lineage
 from ..sources import star
 from . import event_sales
 from .registry import AS_OF, LINES, ORDS, POP, TOTALS, at, digits, query
@@ -151,7 +152,7 @@ def customer_profile(spark, sf_dir) -> DataFrame:
     heads = star.order_totals(spark, sf_dir)
     pop = (star.lines(spark, sf_dir).drop("sold_by_id").join(heads, "order_id")
            .withColumn("category2", F.col("raw_category_name")))
-    return ops.customer_profile(pop, at(AS_OF), ["PROMO", "SMALL"])
+    return ops.customer_profile(pop, at(AS_OF), ["PROMO", "SMALL"], stage=cut_lineage)
 
 
 def _cut_sql(values, name):
@@ -205,7 +206,7 @@ def vip_points(spark, sf_dir) -> DataFrame:
         "pos_product_id": F.col("product_id"), "pos_order_line_id": F.col("order_line_id"),
         "first_name": F.col("order_type"), "last_name": F.lit("x"), "birthday": F.lit(None)
         .cast("date")})
-    return ops.vip_points(pop, at(AS_OF)).drop("last_name", "birthday")
+    return ops.vip_points(pop, at(AS_OF), stage=cut_lineage).drop("last_name", "birthday")
 
 
 _LOYALTY_CUTS = {"spend": ("spend", (0.45, 0.70, 0.95)), "items": ("items", (0.50, 0.85, 0.98)),
@@ -226,7 +227,7 @@ SELECT org_uuid, {_LOYALTY_SQL} FROM (
              for level in ("silver", "gold", "platinum")})
 def loyalty_benchmarks(spark, sf_dir) -> DataFrame:
     """Percentiles of spend, items, orders and discount rate per organisation."""
-    return ops.loyalty_benchmarks(star.population(spark, sf_dir))
+    return ops.loyalty_benchmarks(star.population(spark, sf_dir), stage=cut_lineage)
 
 
 def _segments_sql(by: str) -> str:
@@ -269,7 +270,8 @@ seg AS (SELECT * FROM pop WHERE order_time_utc > TIMESTAMP '1995-06-01'
 def _segments(spark, sf_dir) -> DataFrame:
     lines = ops.segment_lines(star.population(spark, sf_dir), since="1995-06-01", low=100,
                               high=60000)
-    return stack(*[ops.customer_segments(lines, by, min_customers=20)
+    days = cut_lineage(ops.segment_days(lines))
+    return stack(*[ops.customer_segments(days, by, min_customers=20, stage=cut_lineage)
                    for by in ("phone", "email")])
 
 

@@ -10,6 +10,7 @@ from ..operators import extract
 from ..plans import pos_tables
 from ..plans.population import population as build_population
 from ..schemas import add_location_ids, conform_schema, location_problems
+from ..session import cut_lineage
 from ..sources import star
 from ..sources.payloads import parse_pos_json
 from . import payloads
@@ -490,7 +491,7 @@ FROM (SELECT l.*, c2.gender, c2.phone, p2.product_name, p2.raw_brand_name,
 def population_from_payloads(spark, sf_dir) -> DataFrame:
     """Wide line table built from nested JSON: extract, clean, join, categorise."""
     where = payloads.locations(spark, sf_dir)
-    tx = payloads.transactions(spark, sf_dir)
+    tx = cut_lineage(payloads.transactions(spark, sf_dir))
     pop = build_population(
         pos_tables.customer_summary(payloads.customers(spark, sf_dir), where),
         pos_tables.order_summary(tx, where), pos_tables.order_items(tx, where),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins
 from ..plans.attribution import sms_attribution
+from ..session import cut_lineage
 from ..sources import star
 from . import event_sales
 from .registry import CUST, ORDS, digits, query
@@ -190,7 +191,8 @@ def touch_both_ways(spark, sf_dir) -> DataFrame:
     courses = e.where("event_type = 'signup'").select(
         "user_id", F.col("event_id").alias("course_id"), F.col("ts").alias("done"))
     out = joins.touch_both_ways(orders, courses, "user_id", order_time="ts", course_time="done",
-                                course_id="course_id", order_tie=["event_id"], bucket="week")
+                                course_id="course_id", order_tie=["event_id"], bucket="week",
+                                stage=cut_lineage)
     return out.select("event_id", "user_id", "last_course_id", "last_n_course", "next_course_id",
                       "next_n_course", "time_since_last_course", "time_to_next_course",
                       "time_normalized", "course_ts_utc")

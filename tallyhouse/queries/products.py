@@ -9,6 +9,7 @@ from ..operators import extract, stock
 from ..plans.population import population2 as build_population2
 from ..plans.population import population_multi as build_population_multi
 from ..plans.population import standardize_brand
+from ..session import cut_lineage
 from ..sources import star
 from . import payloads
 from .registry import AS_OF, LINES, POP, TOTALS, at, digits, query
@@ -83,7 +84,7 @@ def stock_by_sku(spark, sf_dir) -> DataFrame:
     inventory = payloads.inventory(spark, sf_dir)
     part = star.load(spark, sf_dir, "part")
     size = part.select(F.col("p_partkey").alias("productId"), "p_size")
-    inventory = inventory.join(size, "productId").where("p_size < 40").drop("p_size")
+    inventory = cut_lineage(inventory.join(size, "productId").where("p_size < 40").drop("p_size"))
     rooms = extract.extract_inventory(inventory)["stock_by_room"]
     sold = star.population(spark, sf_dir).select(
         "org", "store", F.col("product_id").cast("bigint").alias("p_partkey")).distinct()

@@ -9,6 +9,7 @@ from ..operators import staff as ops
 from ..operators.joins import touch_both_ways
 from ..plans.orders import flatfile_order_lines as flatfile
 from ..plans.orders import order_dashboard as dashboard
+from ..session import cut_lineage
 from ..sources import star
 from .registry import AS_OF, LINES, POP, TOTALS, at, digits, query
 
@@ -154,14 +155,14 @@ def discount_training_targets(spark, sf_dir) -> DataFrame:
 
 def _trained(spark, sf_dir) -> DataFrame:
     """Orders around courses; a course is a staff member's order whose number 50 divides."""
-    o = _info(spark, sf_dir).withColumn("posId", F.col("sold_by_id"))
+    o = cut_lineage(_info(spark, sf_dir)).withColumn("posId", F.col("sold_by_id"))
     courses = o.where(F.col("order_id").cast("bigint") % 50 == 0).select(
         "posId", F.col("order_id").alias("course_id"), F.col("order_time_utc").alias("done"))
     return touch_both_ways(
         o.select("posId", "order_id", "order_time_utc", "sold_by", "store", "store_uuid",
                  "order_subtotal", "is_upsell", "preorder_change_dollars"), courses, "posId",
         order_time="order_time_utc", course_time="done", course_id="course_id",
-        order_tie=["order_id"], bucket="year")
+        order_tie=["order_id"], bucket="year", stage=cut_lineage)
 
 
 _DAYS = (7, 14, 30, 60, 90)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE does three jobs here: it splits hot join partitions, merges small
 # shuffle partitions, and turns a sort-merge join into a broadcast join only
@@ -36,11 +37,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def reliable_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, taking it from the session.
+def reliable_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder, taken from the session.
 
-    A cluster names the folder in ``spark.checkpoint.dir``. Only a local master
-    with nothing configured gets a temporary folder of its own.
+    A cluster names the folder in ``spark.checkpoint.dir``. A local master with
+    nothing configured gets a temporary folder; any other master without the
+    setting has none.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -48,7 +50,28 @@ def reliable_checkpoint_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+            return None
         folder = tempfile.mkdtemp(prefix="tallyhouse-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+# What an operator does with an intermediate result it reads more than once.
+Stage = Callable[[DataFrame], DataFrame]
+
+
+def lazily(df: DataFrame) -> DataFrame:
+    """Leave the plan as it is; Spark computes the intermediate per use."""
+    return df
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store the frame once on shared storage and go on from there.
+
+    For compact intermediates of large inputs: every later use reads the stored
+    rows instead of the inputs, and a lost executor loses none of them. Without
+    a shared folder the frame stays lazy.
+    """
+    if reliable_checkpoint_dir(df.sparkSession) is None:
+        return df
+    return df.checkpoint(eager=True)

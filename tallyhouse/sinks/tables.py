@@ -33,7 +33,8 @@ def _detached(df: DataFrame) -> DataFrame:
     A table cannot be overwritten while the plan still reads it. A reliable
     checkpoint also survives lost executors.
     """
-    reliable_checkpoint_dir(df.sparkSession)
+    if reliable_checkpoint_dir(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return df.checkpoint(eager=True)
 
 

@@ -55,7 +55,8 @@ def _critical_z(p_two_sided: float) -> float:
 
 def critical_t_column(df: Column, p_two_sided: float) -> Column:
     """Critical t per row for a column of degrees of freedom (at least 1)."""
-    exact = F.array(*[F.lit(critical_t(k, p_two_sided)) for k in range(1, EXACT_DF + 1)])
+    values = (f"{critical_t(k, p_two_sided)!r}D" for k in range(1, EXACT_DF + 1))
+    exact = F.expr(f"array({', '.join(values)})")
     z = _critical_z(p_two_sided)
     g1 = (z**3 + z) / 4
     g2 = (5 * z**5 + 16 * z**3 + 3 * z) / 96

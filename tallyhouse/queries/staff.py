@@ -228,7 +228,7 @@ def upsell_roi(spark, sf_dir) -> DataFrame:
 SELECT store AS facility, phone, CAST((order_time_utc AT TIME ZONE 'UTC')
     AT TIME ZONE 'America/New_York' AS DATE) AS order_dt, sum(order_tot) AS amount,
   count(DISTINCT order_id) AS orders, count(*) AS items, sum(order_subtot) AS item_lvl_list_price,
-  sum(order_subtot + order_disc) AS item_lvl_subtotal, sum(2.0) AS item_qty
+  sum(order_subtot + order_disc) AS item_lvl_subtotal, sum(2.0::DOUBLE) AS item_qty
 FROM totals WHERE order_source = 'app' GROUP BY ALL
 """, digits={**digits(2, "amount", "item_lvl_list_price"), **digits(4, "item_lvl_subtotal"),
              **digits(1, "item_qty")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint_dir
@@ -47,8 +47,12 @@ def append_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str
     spark = df.sparkSession
     if not _exists(spark, path):
         return _write(df, path, "append", partition_by)
-    fresh = _detached(inc.new_rows(df, spark.read.parquet(path), keys))
-    log.info("dropped %d rows already stored", df.count() - fresh.count())
+    # Both counts come out of the one job that computes the new rows.
+    given, kept = Observation("given"), Observation("kept")
+    n = F.count(F.lit(1)).alias("n")
+    fresh = inc.new_rows(df.observe(given, n), spark.read.parquet(path), keys).observe(kept, n)
+    fresh = _detached(fresh)
+    log.info("dropped %d rows already stored", given.get["n"] - kept.get["n"])
     _write(fresh, path, "append", partition_by)
 
 

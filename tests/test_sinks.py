@@ -19,10 +19,12 @@ def stored(spark, path):
     return rows(spark.read.parquet(path), "org", "id", "v")
 
 
-def test_append_new_and_newer(spark, tmp_path):
+def test_append_new_and_newer(spark, tmp_path, caplog):
     path = str(tmp_path / "t")
     tables.append_new(make(spark, ("a", 1, "x", 0)), path, ["id"])
-    tables.append_new(make(spark, ("a", 1, "y", 1), ("a", 2, "z", 1)), path, ["id"])
+    with caplog.at_level("INFO", logger="tallyhouse"):
+        tables.append_new(make(spark, ("a", 1, "y", 1), ("a", 2, "z", 1)), path, ["id"])
+    assert "dropped 1 rows" in caplog.text
     assert stored(spark, path) == [("a", 1, "x"), ("a", 2, "z")]
     batch = make(spark, ("a", 1, "n", 5), ("a", 2, "old", 0), ("a", 3, "new", 0))
     known = inc.newer_rows(batch, spark.read.parquet(path), ["id"], "t", include_unseen=False)

@@ -131,7 +131,7 @@ def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_ti
     order: the course is after the order. Only staff with any course stay.
     """
     numbered = number_rows(courses.select(key, course_id, course_time).distinct(), [key],
-                           [course_time, course_id], "n_course", bucket=None)
+                           [course_time, course_id], "n_course", bucket=bucket)
     ties = [f"__tie_{i}" for i in range(len(order_tie) or 1)]
     left = orders.select("*", F.col(order_time).alias("__time"), F.lit(0).alias("__side"),
                          *[F.col(c).cast("string").alias(t) for c, t in zip(order_tie, ties)])

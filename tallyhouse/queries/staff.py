@@ -154,9 +154,9 @@ def discount_training_targets(spark, sf_dir) -> DataFrame:
 
 
 def _trained(spark, sf_dir) -> DataFrame:
-    """Orders around courses; a course is a staff member's order whose number 50 divides."""
+    """Orders around courses; large orders of another channel stand for courses."""
     o = cut_lineage(_info(spark, sf_dir)).withColumn("posId", F.col("sold_by_id"))
-    courses = o.where(F.col("order_id").cast("bigint") % 50 == 0).select(
+    courses = o.where("channel = 'OTHER' AND order_subtotal > 300000").select(
         "posId", F.col("order_id").alias("course_id"), F.col("order_time_utc").alias("done"))
     return touch_both_ways(
         o.select("posId", "order_id", "order_time_utc", "sold_by", "store", "store_uuid",
@@ -168,7 +168,7 @@ def _trained(spark, sf_dir) -> DataFrame:
 _DAYS = (7, 14, 30, 60, 90)
 _TRAINED = _INFO + """,
 course AS (SELECT sold_by_id, order_id AS cid, order_time_local AS done FROM info
-           WHERE CAST(order_id AS BIGINT) % 50 = 0),
+           WHERE channel = 'OTHER' AND order_subtotal > 300000),
 pairs AS (
   SELECT i.*, (SELECT max(done) FROM course c WHERE c.sold_by_id = i.sold_by_id
                  AND c.done < i.order_time_local) AS last_done,

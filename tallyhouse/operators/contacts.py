@@ -11,13 +11,14 @@ from .joins import first_row_per_key, flag_listed
 from .ordered import Bucket, fill_ordered, keep_at_max, latest_row
 from .reshape import stack
 
-# Channels of an opt-in status, strongest first.
-CHANNELS = ["sms_response", "custom_code", "hca_webhook", "file_import", "pos"]
+# Channels of an opt-in status, strongest first. Tables that already hold other
+# labels for the five channels are continued by passing those labels.
+CHANNELS = ["sms_response", "custom_code", "webhook", "file_import", "pos"]
 
 
 def optin_status(sms_response: DataFrame, custom_code: DataFrame, webhook: DataFrame,
                  file_import: DataFrame, pos: DataFrame, active_orgs: DataFrame, *,
-                 latest_only: bool = False) -> DataFrame:
+                 latest_only: bool = False, channels: list[str] = CHANNELS) -> DataFrame:
     """Opt-in status per organisation and phone from its strongest channel.
 
     All channels are stacked with their rank and the best rank per (org, phone)
@@ -46,7 +47,7 @@ def optin_status(sms_response: DataFrame, custom_code: DataFrame, webhook: DataF
         ["orguuid", "phone"], ["ts"])
     ranked = stack(*[df.withColumn("channel", F.lit(name)).withColumn("__rank", F.lit(rank))
                      for rank, (name, df) in enumerate(zip(
-                         CHANNELS, (replied, custom, hook, imported, register)))])
+                         channels, (replied, custom, hook, imported, register)))])
     active = active_orgs.select("orguuid").distinct()
     ranked = ranked.join(active, "orguuid", "left_semi")
     best = keep_at_max(ranked, ["orguuid", "phone"], "__rank", smallest=True).drop("__rank")

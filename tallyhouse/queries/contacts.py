@@ -29,7 +29,7 @@ src AS (
   SELECT org_uuid, phone, TIMESTAMP '2001-01-01', 'opt_in', 'custom_code', 1 FROM cust
   WHERE user_type = 'BUILDING'
   UNION ALL
-  SELECT org_uuid, phone, TIMESTAMP '2001-02-01', 'opt_in', 'hca_webhook', 2 FROM cust
+  SELECT org_uuid, phone, TIMESTAMP '2001-02-01', 'opt_in', 'webhook', 2 FROM cust
   WHERE user_type = 'MACHINERY'
   UNION ALL
   SELECT org_uuid, phone, TIMESTAMP '2001-03-01', CASE WHEN balance > 0 THEN 'opt_in'

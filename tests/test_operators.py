@@ -74,7 +74,7 @@ def test_optin_strongest_channel(spark):
     got = contacts.optin_status(sms, custom, hook, imported, pos, active)
     assert rows(got, "phone", "channel", "status") == [
         ("1", "sms_response", "opt_in"), ("2", "custom_code", "opt_in"),
-        ("2", "custom_code", "opt_out"), ("3", "hca_webhook", "opt_in"),
+        ("2", "custom_code", "opt_out"), ("3", "webhook", "opt_in"),
         ("4", "file_import", "opt_out"), ("5", "pos", "opt_out"), ("6", "pos", "opt_in")]
     latest = contacts.optin_status(sms, custom, hook, imported, pos, active, latest_only=True)
     assert latest.where("phone = '2'").collect()[0]["status"] == "opt_in"

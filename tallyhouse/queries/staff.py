@@ -302,7 +302,7 @@ WITH latest AS (
            l.l_orderkey * 100 + 10 + l.l_linenumber AS row_no, l_quantity AS q,
            l_extendedprice AS price, lower(p_type) AS cat, row_number() OVER (
              PARTITION BY l_orderkey, l_partkey ORDER BY l_orderkey * 100 + 10 + l_linenumber DESC,
-             l_extendedprice DESC, l_quantity DESC) AS rn
+             CAST(l_quantity AS VARCHAR) DESC, CAST(l_extendedprice AS VARCHAR) DESC) AS rn
     FROM lineitem l JOIN part ON l_partkey = p_partkey) WHERE rn = 1)
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(row_number() OVER (PARTITION BY l_orderkey
     ORDER BY product_name, row_no) AS VARCHAR) AS order_line_id, product_name,

@@ -175,7 +175,8 @@ def _links(docs, member, groups, key, text, n, threshold, block, folder) -> Data
     inside = stored(inside.join(sizes, "root"), folder, "inside")
     # The texts of candidates only; one row stands for each set.
     texts = docs.select(*row_key(key, text), F.col(text).alias("text"))
-    texts = inside.join(texts, ["k1", "k2"]).dropDuplicates(["id"])
+    # Shuffled at every size: how many candidates there are does not choose the plan.
+    texts = inside.join(texts.hint("merge"), ["k1", "k2"]).dropDuplicates(["id"])
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = texts.withColumn("mine", mine).withColumn("other", other).select(
@@ -193,4 +194,4 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
         F.when(F.col("n_grams") > 0, F.col("class_id")).alias("c"), F.when(F.col("n_grams") == 0, F.struct("k1", "k2")).alias("e")
     ).agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.*")
     keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text))
-    return keyed.join(chosen, ["k1", "k2"]).select("k1", "k2", "_doc").dropDuplicates(["k1", "k2"]).select("_doc.*")
+    return keyed.hint("merge").join(chosen, ["k1", "k2"]).select("k1", "k2", "_doc").dropDuplicates(["k1", "k2"]).select("_doc.*")

@@ -117,7 +117,7 @@ def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # Only candidates need their words: fetch them from the documents that hold their first occurrence.
     asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(distinct.select("id", "one"), "id")
     wanted = asked.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("id", F.col("one.at").alias("at"))).alias("w"))
-    held = rows.join(wanted, ["k1", "k2"]).select(F.split("text", "\n").alias("all"), F.explode("w").alias("w"))
+    held = rows.hint("merge").join(wanted, ["k1", "k2"]).select(F.split("text", "\n").alias("all"), F.explode("w").alias("w"))
     held = stored(held.select("w.id", normalized(F.get("all", F.col("w.at"))).alias("line")).dropDuplicates(["id"]),
                   folder, "held")
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
@@ -134,7 +134,7 @@ def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     gone = lines.join(placed, ["id", "id2"]).where(
         "not (k1 = kept.k1 and k2 = kept.k2 and at = kept.at)").select("k1", "k2", "at").distinct()
     gone = stored(gone.groupBy("k1", "k2").agg(F.collect_list("at").alias("_gone")), folder, "gone")
-    keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text)).join(gone, ["k1", "k2"], "left")
+    keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text)).hint("merge").join(gone, ["k1", "k2"], "left")
     keyed = keyed.select("_doc.*", "_gone")
     parts = F.split(F.col(text), "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")

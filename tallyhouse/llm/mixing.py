@@ -177,5 +177,5 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     drawn = draws(docs, key=key, text=text, source=source, **options).where("copies > 0")
     drawn = drawn.groupBy("k1", "k2").agg(F.max("copies").alias("_copies"))
     keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, source, text))
-    taken = keyed.join(drawn, ["k1", "k2"])
+    taken = keyed.hint("merge").join(drawn, ["k1", "k2"])
     return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")

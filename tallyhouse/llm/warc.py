@@ -68,7 +68,7 @@ def write_captures(pages: DataFrame, path: str | None = None, page_id: str = "pa
     path = path or f"{shared_folder(spark)}/warc"
     base = pages.select(F.col(page_id).cast("string").alias("_id"), F.col(page_id).alias("_page"),
                         F.col(url).alias("_url"), F.coalesce(F.col(html), F.lit("")).alias("_html"))
-    base = base.join(duplicates(base.select("_page", "_html"), "_page", "_html", least_bytes), "_page", "left")
+    base = base.hint("merge").join(duplicates(base.select("_page", "_html"), "_page", "_html", least_bytes), "_page", "left")
     name = F.coalesce("_id", F.lit("null"))
     uri = F.coalesce(F.regexp_replace("_url", "[\\x00-\\x20]", "%20"), F.concat(F.lit("urn:page:"), name))
     urn = lambda kind, of=name: F.concat(F.lit(f"urn:{kind}:page:"), of)

@@ -144,7 +144,7 @@ def _merged(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
     firsts = F.filter("_at", lambda x: ~F.array_contains("_at", x - 1))
     lasts = F.filter("_at", lambda x: ~F.array_contains("_at", x + 1))
     spans = F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first_word"), (b + 1).alias("end_word")))
-    return grouped.select(*names, "n_words", F.size("_at").cast("long").alias("n_hit"), "items", spans.alias("spans"),
+    return grouped.select(*names, "n_words", F.size("_at").cast("long").alias("n_hit"), "items", spans.cast(_SPANS).alias("spans"),
                           F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_n")).drop("_n")
 
 

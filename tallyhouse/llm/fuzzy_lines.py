@@ -1,7 +1,7 @@
 """Fuzzy line dedup with DataFrame functions only: SimHash, pigeonhole blocks, edit similarity, connected groups.
 
 A line is normalised (lower case, runs of white space to one blank, trimmed). Its SimHash has 64 bits, the majority of
-its words' hashes at each bit; counters are kept bit-sliced in eight longs, so a word costs a few bit operations. Lines
+its different words' hashes at each bit; counters are kept bit-sliced in eight longs, so a word costs a few bit operations. Lines
 of more than 255 words take the majority of the SimHashes of their 255-word pieces. Two lines are candidates if their
 SimHashes differ in at most ``distance`` bits: with the bits cut into ``distance + 2`` blocks, two blocks at least
 agree, and the join is on every pair of blocks; the join condition holds the distance itself and lets a pair through at
@@ -68,7 +68,8 @@ def _majority_of(hashes: Column) -> Column:
 
 
 def simhash(line: Column) -> Column:
-    return _bound(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)), _of_words)
+    words = F.array_distinct(F.split(line, r"[^\p{L}\p{N}]+"))  # a word counts once: rulers and separators say nothing
+    return _bound(F.transform(words, lambda w: F.xxhash64(w)), _of_words)
 
 
 def _of_words(words: Column) -> Column:

@@ -64,7 +64,12 @@ def complete_lines(lines: DataFrame, orders: DataFrame, customers: DataFrame,
 
 
 def only_new(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(existing.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key is not in ``existing``; a NULL key part equals a stored NULL."""
+    known = existing.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & df[key].eqNullSafe(F.col(f"__{i}"))
+    return df.join(known, same, "left_anti")
 
 
 def only_listed(df: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:

@@ -21,11 +21,15 @@ def newer_rows(df: DataFrame, existing: DataFrame, keys: list[str], ts: str, *,
     ``include_unseen=False`` also leaves out keys that are not stored at all,
     as a comparison with their missing maximum would.
     """
-    stored = existing.groupBy(*keys).agg(F.max(ts).alias("__stored"))
+    stored = existing.groupBy(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]).agg(
+        F.max(ts).alias("__stored"))
+    rows, same = df.distinct(), F.lit(True)
+    for i, key in enumerate(keys):
+        same = same & rows[key].eqNullSafe(F.col(f"__{i}"))
     newer = F.col(ts) > F.col("__stored")
     if include_unseen:
         newer = newer | F.col("__stored").isNull()
-    return df.distinct().join(stored, keys, "left").where(newer).drop("__stored")
+    return rows.join(stored, same, "left").where(newer).select(*df.columns)
 
 
 def new_members(df: DataFrame, existing: DataFrame, key: str | list[str], as_of: Column

@@ -20,6 +20,31 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(location))
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A partitioned table with its partition values as they were written, as text (``007`` stays ``007``)."""
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _typed(stored: DataFrame, like: DataFrame, column: str) -> DataFrame:
+    return stored.withColumn(column, F.col(column).cast(like.schema[column].dataType))
+
+
+def _having(df: DataFrame, listed: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join in which NULL equals NULL."""
+    names = {k: f"__{i}" for i, k in enumerate(keys)}
+    listed = listed.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    same = F.lit(True)
+    for k, n in names.items():
+        same = same & df[k].eqNullSafe(F.col(n))
+    return df.join(listed, same, how)
+
+
 def _write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> None:
     writer = df.write.mode(mode)
     if partition_by:
@@ -43,25 +68,26 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str] = []) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str] = []) -> None:
-    """Append rows whose key is not in the table; logs how many were dropped."""
+    """Append rows whose key is not in the table; logs how many were dropped.
+
+    NULL counts as a key value. Rows that share a new key inside the batch are all appended.
+    """
     spark = df.sparkSession
     if not _exists(spark, path):
         return _write(df, path, "append", partition_by)
-    # Both counts come out of the one job that computes the new rows.
+    # Both counts come out of the job that writes: an append does not touch the files that it reads.
     given, kept = Observation("given"), Observation("kept")
     n = F.count(F.lit(1)).alias("n")
     fresh = inc.new_rows(df.observe(given, n), spark.read.parquet(path), keys).observe(kept, n)
-    fresh = _detached(fresh)
-    log.info("dropped %d rows already stored", given.get["n"] - kept.get["n"])
     _write(fresh, path, "append", partition_by)
+    log.info("dropped %d rows already stored", given.get["n"] - kept.get["n"])
 
 
 def append_newer(df: DataFrame, path: str, keys: list[str], ts: str, *,
                  include_unseen: bool = True, partition_by: list[str] = []) -> None:
     spark = df.sparkSession
     if _exists(spark, path):
-        df = _detached(inc.newer_rows(df, spark.read.parquet(path), keys, ts,
-                                      include_unseen=include_unseen))
+        df = inc.newer_rows(df, spark.read.parquet(path), keys, ts, include_unseen=include_unseen)
     else:
         df = df.distinct()
     _write(df, path, "append", partition_by)
@@ -70,7 +96,7 @@ def append_newer(df: DataFrame, path: str, keys: list[str], ts: str, *,
 def append_dimension(df: DataFrame, path: str, key: str | list[str], as_of: Column) -> None:
     spark = df.sparkSession
     if _exists(spark, path):
-        df = _detached(inc.new_members(df, spark.read.parquet(path), key, as_of))
+        df = inc.new_members(df, spark.read.parquet(path), key, as_of)
     else:
         df = df.withColumn("date_added", F.to_date(as_of))
     _write(df, path, "append", [])
@@ -90,39 +116,44 @@ def upsert_by_key(updates: DataFrame, path: str, keys: list[str], partition: str
     spark = updates.sparkSession
     if not _exists(spark, path):
         return replace_partition(updates, path, partition)
-    target = spark.read.parquet(path)
-    touched = (target.join(updates.select(*keys).distinct(), keys, "left_semi")
-               .select(partition).union(updates.select(partition)).distinct())
-    affected = target.join(touched, partition, "left_semi")
+    target = _typed(read_table(spark, path), updates, partition)
+    touched = (_having(target, updates, keys, "left_semi").select(partition)
+               .union(updates.select(partition)).distinct())
+    affected = _having(target, touched, [partition], "left_semi")
     result = _detached(inc.merged(affected, updates, keys))
     # A partition whose last row moved elsewhere has no row to overwrite it, so
     # it is emptied by name.
-    gone = touched.join(result.select(partition).distinct(), partition, "left_anti")
-    gone = [r[0] for r in _detached(gone).toLocalIterator()]
+    gone = _detached(_having(touched, result, [partition], "left_anti").select(F.col(partition).cast("string")))
+    gone = [r[0] for r in gone.toLocalIterator()]
     replace_partition(result, path, partition)
     for value in gone:
         _drop_partition(spark, path, partition, value)
 
 
-def _drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+def _drop_partition(spark: SparkSession, path: str, column: str, value: str | None) -> None:
+    """Delete a partition's folder, named and escaped as Spark does it; a folder that is not there is an error."""
     jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-    location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+    location = jvm.org.apache.hadoop.fs.Path(path, name)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(location):
+        raise FileNotFoundError(f"no partition folder {name} in {path}")
+    files.delete(location, True)
 
 
 def update_from(source: DataFrame, path: str, key: str | list[str], columns: list[str],
                 partition: str) -> None:
     """Overwrite columns of stored rows from a source; rewrites changed partitions only."""
     spark = source.sparkSession
-    marked = inc.updated_from(spark.read.parquet(path), source, key, columns, mark="__changed")
-    dirty = marked.where("__changed").select(partition).distinct()
-    result = _detached(marked.join(dirty, partition, "left_semi").drop("__changed"))
+    marked = inc.updated_from(read_table(spark, path), source, key, columns, mark="__changed")
+    result = _detached(_having(marked, marked.where("__changed"), [partition], "left_semi").drop("__changed"))
     replace_partition(result, path, partition)
 
 
 def drop_inactive(active: DataFrame, path: str, org: str) -> None:
     """Delete the partitions of organisations that are not active."""
     spark = active.sparkSession
-    stored = spark.read.parquet(path).select(org).distinct()
-    for row in stored.join(active.select(org), org, "left_anti").toLocalIterator():
+    stored = read_table(spark, path).select(org).distinct()
+    listed = active.select(F.col(org).cast("string"))
+    for row in _having(stored, listed, [org], "left_anti").toLocalIterator():
         _drop_partition(spark, path, org, row[0])

@@ -68,3 +68,34 @@ def test_stream_appends_each_key_once(spark, tmp_path):
         stream = spark.readStream.schema(DDL).parquet(landing)
         ingest_new(stream, path, ["id"], str(tmp_path / "ck"), available_now=True).awaitTermination()
     assert rows(spark.read.parquet(path), "id") == [(1,), (2,), (3,)]
+
+
+def parts(spark, path):
+    return rows(tables.read_table(spark, path), "id", "v", "org")
+
+
+def test_null_typed_and_escaped_partitions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    table = spark.createDataFrame([(1, "x", None), (2, "y", None), (3, "z", "b"), (4, "w", "007"), (5, "q", "a/b")],
+                                  "id int, v string, org string")
+    tables.replace_partition(table, path, "org")
+    tables.upsert_by_key(spark.createDataFrame([(2, "new", None)], table.schema), path, ["id"], "org")
+    assert parts(spark, path) == rows(spark.createDataFrame(
+        [(1, "x", None), (2, "new", None), (3, "z", "b"), (4, "w", "007"), (5, "q", "a/b")], table.schema))
+    tables.upsert_by_key(spark.createDataFrame([(1, "moved", "b"), (5, "moved", "b")], table.schema), path, ["id"], "org")
+    assert parts(spark, path) == rows(spark.createDataFrame(
+        [(1, "moved", "b"), (2, "new", None), (3, "z", "b"), (4, "w", "007"), (5, "moved", "b")], table.schema))
+    tables.update_from(spark.createDataFrame([(2, "again")], "id int, v string"), path, "id", ["v"], "org")
+    assert (2, "again", None) in parts(spark, path)
+    tables.drop_inactive(spark.createDataFrame([("b",), (None,)], "org string"), path, "org")
+    assert [r[0] for r in parts(spark, path)] == [1, 2, 3, 5]
+    tables.drop_inactive(spark.createDataFrame([("b",)], "org string"), path, "org")
+    assert [r[0] for r in parts(spark, path)] == [1, 3, 5]
+
+
+def test_null_keys_are_stored_once(spark, tmp_path):
+    path = str(tmp_path / "n")
+    batch = spark.createDataFrame([(None, "a"), (1, "b")], "id int, v string")
+    for _ in range(2):
+        tables.append_new(batch, path, ["id"])
+    assert spark.read.parquet(path).count() == 2

@@ -147,22 +147,21 @@ def favourite_brands(lines: DataFrame, keys: list[str], categories: list[str], *
 
 
 def customer_profile(population: DataFrame, as_of: Column, categories: list[str],
-                     keys: list[str] = ["customer_id", "phone"], stage: Stage = lazily
-                     ) -> DataFrame:
-    """Purchase rhythm of customers with more than three orders.
+                     keys: list[str] = ["org_uuid", "customer_id", "phone"],
+                     stage: Stage = lazily) -> DataFrame:
+    """Purchase rhythm of an organisation's customers with more than three orders.
 
     Mean and spread of the gap between orders, median ticket, whether the
     customer is lost (five spreads late), when the next order is due, discount
     sensitivity of those not lost and favourite brand per category.
     """
     lines = population.where(all_of([F.col(k).isNotNull() for k in keys]))
-    orders = stage(one_row_per_order(lines, ["org_uuid", *keys], [
+    orders = stage(one_row_per_order(lines, keys, [
         "order_time_utc", "order_tot", "order_subtot", "order_disc"]))
     gaps = fill_ordered(orders, keys, ["order_time_utc", "order_id"], {"prev": "order_time_utc"},
                         include_current=False)
     gaps = gaps.withColumn("gap", days_between(F.col("prev"), F.col("order_time_utc")))
     rhythm = (gaps.groupBy(*keys).agg(
-        F.min("org_uuid").alias("org_uuid"),
         F.max("order_time_utc").alias("last_purchase_date"),
         F.avg("gap").alias("ave_days_between"), F.stddev_samp("gap").alias("sd_days_between"),
         F.count(F.lit(1)).alias("tot_orders"), F.sum("order_tot").alias("tot_dollars"))

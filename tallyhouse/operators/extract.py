@@ -113,7 +113,8 @@ _ADDRESS_DDL = ("array<struct<" + ", ".join(f"{f}: string" for f in _ADDRESS_TEX
                 + ", primary: boolean>>")
 
 
-def explode_addresses(df: DataFrame, *, column: str = "addresses", key: str = "customer_id",
+def explode_addresses(df: DataFrame, *, column: str = "addresses",
+                      keys: list[str] = ["org", "customer_id"],
                       run_ts: str = "run_date_utc") -> DataFrame:
     """Customer rows with one address: of the newest run, the last by primary flag.
 
@@ -125,13 +126,13 @@ def explode_addresses(df: DataFrame, *, column: str = "addresses", key: str = "c
     rows = rows.select(
         *[c for c in df.columns if c != column], F.col("__a.primary").alias("address_primary"),
         *[F.nullif(F.col(f"__a.{f}"), F.lit("")).alias(f"address_{f}") for f in _ADDRESS_TEXT])
-    rest = [c for c in rows.columns if c not in (key, run_ts, "address_primary")]
-    return first_row_per_key(rows, [key], [
+    rest = [c for c in rows.columns if c not in (*keys, run_ts, "address_primary")]
+    return first_row_per_key(rows, keys, [
         F.col(run_ts).desc_nulls_last(), F.col("address_primary").desc_nulls_first(),
         *[F.col(c).desc_nulls_last() for c in rest]])
 
 
-def extract_tags(df: DataFrame, *, key: str = "customer_id", column: str = "tags",
+def extract_tags(df: DataFrame, *, keys: list[str] = ["org", "customer_id"], column: str = "tags",
                  run_ts: str = "run_date_utc", keep: tuple[str, ...] = ("shop", "shop_id"),
                  flyer_label: str = "flyer", other_label: str = "regular") -> DataFrame:
     """Per customer the class and reward points its tags speak of.
@@ -140,15 +141,15 @@ def extract_tags(df: DataFrame, *, key: str = "customer_id", column: str = "tags
     flyer class when one of the first four tags says so; each reward tag gives
     one row with its number.
     """
-    newest = latest_row(df, [key], [run_ts]).where(F.col(column).isNotNull())
+    newest = latest_row(df, keys, [run_ts]).where(F.col(column).isNotNull())
     tags = F.from_json(column, T.ArrayType(T.StringType()))
-    parsed = newest.select(key, *keep, tags.alias("__tags"))
+    parsed = newest.select(*keys, *keep, tags.alias("__tags"))
     head = F.lower(F.array_join(F.slice("__tags", 1, 4), " ", "NA"))
     group = F.when(F.size("__tags") > 0, F.when(head.contains("flyer"), flyer_label)
                    .otherwise(other_label))
     rewards = F.filter("__tags", lambda t: t.contains("Reward"))
     points = F.transform(rewards, lambda t: F.regexp_replace(t, "[^0-9.]", "").try_cast("double"))
-    return parsed.select(key, *keep, group.alias("tags"), F.explode_outer(points)
+    return parsed.select(*keys, *keep, group.alias("tags"), F.explode_outer(points)
                          .alias("loyalty_pts"))
 
 

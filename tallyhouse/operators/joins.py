@@ -127,7 +127,7 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
     return filled.where(F.col("__side") == 0).select(*orders.columns, *touch_columns)
 
 
-def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_time: str,
+def touch_both_ways(orders: DataFrame, courses: DataFrame, keys: list[str], *, order_time: str,
                     course_time: str, course_id: str, order_tie: list[str],
                     bucket: Bucket | None = "month", stage: Stage = lazily) -> DataFrame:
     """Previous and next course around each order of the same staff member.
@@ -135,22 +135,22 @@ def touch_both_ways(orders: DataFrame, courses: DataFrame, key: str, *, order_ti
     Here an order and a course at the same instant see each other in stacking
     order: the course is after the order. Only staff with any course stay.
     """
-    numbered = number_rows(courses.select(key, course_id, course_time).distinct(), [key],
+    numbered = number_rows(courses.select(*keys, course_id, course_time).distinct(), keys,
                            [course_time, course_id], "n_course", bucket=bucket)
     ties = [f"__tie_{i}" for i in range(len(order_tie) or 1)]
     left = orders.select("*", F.col(order_time).alias("__time"), F.lit(0).alias("__side"),
                          *[F.col(c).cast("string").alias(t) for c, t in zip(order_tie, ties)])
-    right = numbered.select(key, F.col(course_time).alias("__time"), F.lit(1).alias("__side"),
+    right = numbered.select(*keys, F.col(course_time).alias("__time"), F.lit(1).alias("__side"),
                             F.col(course_id).cast("string").alias(ties[0]),
                             F.col(course_id).alias("__c_id"), F.col(course_time).alias("__c_ts"),
                             F.col("n_course").alias("__c_n"))
     order_by = ["__time", "__side", *ties]
     stacked = stage(left.unionByName(right, allowMissingColumns=True))
     back = stage(fill_ordered(
-        stacked, [key], order_by,
+        stacked, keys, order_by,
         {"last_course_id": "__c_id", "last_course_completed_utc": "__c_ts",
          "last_n_course": "__c_n"}, bucket=bucket))
-    both = fill_ordered(back, [key], order_by,
+    both = fill_ordered(back, keys, order_by,
                         {"next_course_id": "__c_id", "next_course_completed_utc": "__c_ts",
                          "next_n_course": "__c_n"}, direction="up", bucket=bucket)
     day = F.lit(86_400_000_000)
@@ -184,26 +184,29 @@ def horizon_flags(event_time: Column, touch_time: Column) -> list[Column]:
 
 
 def lookup_deliveries(lines: DataFrame, deliveries: DataFrame, *, order_id: str = "order_id",
-                      short_id: str = "pos_short_order_id") -> DataFrame:
+                      short_id: str = "pos_short_order_id",
+                      within: list[str] = ["org"]) -> DataFrame:
     """Delivery times on each line; the delivery system's value wins.
 
     A delivery names either the short or the full order id. It is matched on
-    the short id first; one that matches none is taken as a full id.
+    the short id first; one that matches none is taken as a full id. Ids name
+    an order among those that share the ``within`` columns.
     """
-    ids = lines.select(F.col(short_id), F.col(order_id).alias("__oid")).distinct()
-    keyed = (deliveries.join(ids, short_id, "left")
-             .select(F.coalesce(F.col("__oid"), F.col(short_id)).alias("__oid"),
+    ids = lines.select(*within, short_id, F.col(order_id).alias("__oid")).distinct()
+    keyed = (deliveries.join(ids, [*within, short_id], "left")
+             .select(*within, F.coalesce(F.col("__oid"), F.col(short_id)).alias("__oid"),
                      F.date_format(F.from_utc_timestamp("delivery_start_utc", F.col("timezone")),
                                    "yyyy-MM-dd HH:mm:ss").alias("__started"),
                      F.date_format(F.from_utc_timestamp("delivery_complete_utc",
                                                         F.col("timezone")),
                                    "yyyy-MM-dd HH:mm:ss").alias("__complete")))
-    keyed = latest_row(keyed, ["__oid"], ["__complete"])
+    keyed = latest_row(keyed, [*within, "__oid"], ["__complete"])
     started, complete = "delivery_order_started_local", "delivery_order_complete_local"
-    out = (lines.join(keyed, lines[order_id] == keyed["__oid"], "left")
+    keyed = keyed.withColumnRenamed("__oid", order_id)
+    out = (lines.join(keyed, [*within, order_id], "left")
            .withColumn(started, F.coalesce("__started", started))
            .withColumn(complete, F.coalesce("__complete", complete))
-           .drop("__oid", "__started", "__complete"))
+           .drop("__started", "__complete"))
     took = (F.unix_timestamp(F.try_to_timestamp(complete))
             - F.unix_timestamp(F.try_to_timestamp(started))) / F.lit(60.0)
     return out.withColumn("delivery_drive_minutes", took)
@@ -211,37 +214,41 @@ def lookup_deliveries(lines: DataFrame, deliveries: DataFrame, *, order_id: str
 
 def merge_customers(primary: DataFrame, secondary: DataFrame, *, phone: str = "phone",
                     customer_id: str = "customer_id", updated: str = "last_updated_utc",
-                    prefix: str = "other_", linked_as: str = "other_customer_id") -> DataFrame:
+                    prefix: str = "other_", linked_as: str = "other_customer_id",
+                    within: list[str] = ["org"]) -> DataFrame:
     """Link a second system's customers to the first system's by phone.
 
     Per phone the second system's latest row counts. Phones several primary
     customers share are left out on the second side. What finds no primary
-    customer is added with a prefixed id.
+    customer is added with a prefixed id. A phone only links customers that share
+    the ``within`` columns.
     """
-    shared = (primary.groupBy(phone).count().where(F.col("count") > 1)
-              .where(F.col(phone).isNotNull()).select(phone))
+    keys = [*within, phone]
+    shared = (primary.where(F.col(phone).isNotNull()).groupBy(*keys).count()
+              .where(F.col("count") > 1).select(*keys))
     newest = latest_row(secondary.where(F.col(phone).isNotNull())
-                        .join(shared, phone, "left_anti"), [phone], [updated])
+                        .join(shared, keys, "left_anti"), keys, [updated])
     newest = newest.withColumn(customer_id, F.concat(F.lit(prefix), F.col(customer_id)))
     newest = newest.withColumn(linked_as, F.col(customer_id))
-    linked = primary.join(newest.select(phone, linked_as), phone, "left")
-    unmatched = newest.join(primary.select(phone).distinct(), phone, "left_anti")
+    linked = primary.join(newest.select(*keys, linked_as), keys, "left")
+    unmatched = newest.join(primary.select(*keys).distinct(), keys, "left_anti")
     return linked.unionByName(unmatched, allowMissingColumns=True)
 
 
 def drop_never_ordered_dupes(customers: DataFrame, *, customer_id: str = "customer_id",
-                             phone: str = "phone", ordered: str = "last_order_facility"
-                             ) -> DataFrame:
+                             phone: str = "phone", ordered: str = "last_order_facility",
+                             within: list[str] = ["org"]) -> DataFrame:
     """Remove never-ordered profiles whose phone belongs to one that ordered.
 
     As in the source system the removal is by customer id, so other rows of the
-    same id go as well.
+    same id go as well. Phones and ids are compared among rows that share the
+    ``within`` columns.
     """
     buyers = (customers.where(F.col(ordered).isNotNull() & F.col(phone).isNotNull())
-              .select(phone).distinct())
+              .select(*within, phone).distinct())
     dupes = (customers.where(F.col(ordered).isNull() & F.col(phone).isNotNull())
-             .join(buyers, phone, "left_semi").select(customer_id).distinct())
-    return customers.join(dupes, customer_id, "left_anti")
+             .join(buyers, [*within, phone], "left_semi").select(*within, customer_id).distinct())
+    return customers.join(dupes, [*within, customer_id], "left_anti")
 
 
 def email_delivery_stats(send_log: DataFrame, stats: DataFrame, *, key: str = "campaign_id",

@@ -12,15 +12,19 @@ from ..functions.text import brand_from_title
 from ..operators.ordered import fill_ordered, is_first_day, latest_row, number_rows
 
 
-def order_dashboard(population: DataFrame, zip_city: DataFrame) -> DataFrame:
-    """Lines with delivery durations, first-order flag and one city column."""
+def order_dashboard(population: DataFrame, zip_city: DataFrame, *, org: str = "org"
+                    ) -> DataFrame:
+    """Lines with delivery durations, first-order flag and one city column.
+
+    A customer's first order is the first one in the organisation.
+    """
     received = F.col("delivery_order_received_local")
     df = population.withColumns({
         "full_name": full_name(F.col("first_name"), F.col("last_name")),
         "gender": F.coalesce("gender", F.lit("U")),
         "dur_process": minutes_between(received, F.col("delivery_order_started_local")),
         "dur_total": minutes_between(received, F.col("delivery_order_complete_local"))})
-    df = is_first_day(df, ["customer_id"], "order_time_local", "is_first_order")
+    df = is_first_day(df, [org, "customer_id"], "order_time_local", "is_first_order")
     cities = zip_city.select(F.col("zipcode").alias("delivery_order_zipcode"), "zipcity")
     return (df.join(cities, "delivery_order_zipcode", "left")
             .withColumn("city", F.upper(F.coalesce("customer_city", "zipcity",

@@ -12,7 +12,7 @@ from ..functions.orders import order_key
 from ..functions.people import gender_initial, numeric_name_to_null
 from ..functions.text import clean_text
 from ..operators.joins import (complete_lines, fill_from_products, lines_with_orders,
-                               lookup_deliveries, null_safe_lookup, with_customers)
+                               left_join_sparse, lookup_deliveries, null_safe_lookup, with_customers)
 from ..operators.ordered import latest_row
 
 # Above this many rules they run on the distinct names, not on every line.
@@ -148,16 +148,18 @@ def population_multi(lines: DataFrame, orders: DataFrame, customers: DataFrame,
     """Population over several register systems.
 
     Lines without an order are left out, lines without a customer kept. The
-    seller's newest name stands on all their orders.
+    seller's newest name in the organisation stands on all their orders there.
     """
     keys = ["org", "source_system", "order_id"]
     lines = lines.distinct().where(F.col("org").isNotNull() & F.col("order_line_id").isNotNull()
                                    & F.col("order_id").isNotNull()
                                    & F.col("source_system").isNotNull())
+    seller = ["org", "sold_by_id"]
     sellers = latest_row(orders.where(F.col("sold_by_id").isNotNull())
-                         .select("sold_by_id", "sold_by", "order_time_utc"), ["sold_by_id"],
+                         .select(*seller, "sold_by", "order_time_utc"), seller,
                          ["order_time_utc"]).drop("order_time_utc")
-    orders = orders.drop("sold_by").distinct().join(sellers, "sold_by_id", "left")
+    orders = left_join_sparse(orders.drop("sold_by").distinct(), sellers, seller, "sold_by_id",
+                              ["order_id"])
     customers = customers.distinct().withColumnsRenamed(
         {c: f"customer_{c}" for c in _CUSTOMER_PREFIXED if c in customers.columns})
     pop = complete_lines(lines, orders, customers, keys, ["customer_id", "org"],

@@ -122,13 +122,13 @@ pop AS (SELECT l.*, o.* EXCLUDE (order_id, sold_by_id) FROM lines l JOIN totals
 gaps AS (SELECT *, date_diff('microsecond', lag(order_time_utc) OVER (PARTITION BY customer_id,
            phone ORDER BY order_time_utc), order_time_utc) / 86400000000.0 AS gap FROM totals),
 prof AS (
-  SELECT customer_id, phone, min(org_uuid) AS org_uuid, max(order_time_utc) AS last_purchase_date,
+  SELECT customer_id, phone, org_uuid, max(order_time_utc) AS last_purchase_date,
     date_diff('microsecond', max(order_time_utc), TIMESTAMP '{AS_OF}') / 86400000000.0
       AS days_since_last_purchase,
     avg(gap) AS ave_days_between, stddev_samp(gap) AS sd_days_between,
     quantile_cont(order_tot, 0.5) AS med_order_total, count(*) AS tot_orders,
     sum(order_tot) AS tot_dollars
-  FROM gaps GROUP BY customer_id, phone HAVING count(*) > 3),
+  FROM gaps GROUP BY org_uuid, customer_id, phone HAVING count(*) > 3),
 prof2 AS (SELECT *, days_since_last_purchase > ave_days_between + sd_days_between * 5
             AS cust_is_lost, 2.65 * sd_days_between / sqrt(tot_orders) AS fac FROM prof),
 kept AS (SELECT * FROM totals JOIN (SELECT customer_id, phone FROM prof2 WHERE NOT cust_is_lost)

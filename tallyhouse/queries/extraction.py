@@ -200,7 +200,7 @@ def explode_customer_addresses(spark, sf_dir) -> DataFrame:
 
     text = F.to_json(F.array(address("home", F.col("store"), True),
                              address("work", F.col("org"), False)))
-    rows = c.select("customer_id", F.when(F.col("customer_id").cast("bigint") % 4 != 0, text)
+    rows = c.select("org", "customer_id", F.when(F.col("customer_id").cast("bigint") % 4 != 0, text)
                     .alias("addresses"),
                     F.explode(F.array(F.lit("2001-07-01"), F.lit("2001-08-01"))).alias("run"))
     rows = rows.withColumn("run_date_utc", F.col("run").cast("timestamp")).drop("run")
@@ -220,12 +220,12 @@ def extract_customer_tags(spark, sf_dir) -> DataFrame:
     """Tag array to flyer class and reward points; no tags, no row."""
     key = F.col("customer_id").cast("bigint")
     rows = star.customers(spark, sf_dir).select(
-        "customer_id", F.col("store").alias("shop"),
+        "org", "customer_id", F.col("store").alias("shop"),
         F.when(key % 5 != 0, F.to_json(F.array(
             F.when(key % 3 == 0, "April FLYER").otherwise("walk-in"),
             F.when(key % 2 == 0, F.concat(F.lit("$"), key, F.lit(".5 Reward"))).otherwise("x"))))
         .alias("tags"), F.lit("2001-08-01").cast("timestamp").alias("run_date_utc"))
-    return extract.extract_tags(rows, keep=("shop",))
+    return extract.extract_tags(rows, keep=("shop",)).drop("org")
 
 
 @query(_TX + """

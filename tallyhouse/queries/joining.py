@@ -190,7 +190,7 @@ def touch_both_ways(spark, sf_dir) -> DataFrame:
     orders = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     courses = e.where("event_type = 'signup'").select(
         "user_id", F.col("event_id").alias("course_id"), F.col("ts").alias("done"))
-    out = joins.touch_both_ways(orders, courses, "user_id", order_time="ts", course_time="done",
+    out = joins.touch_both_ways(orders, courses, ["user_id"], order_time="ts", course_time="done",
                                 course_id="course_id", order_tie=["event_id"], bucket="week",
                                 stage=cut_lineage)
     return out.select("event_id", "user_id", "last_course_id", "last_n_course", "next_course_id",
@@ -239,51 +239,51 @@ FROM ords o LEFT JOIN d USING (order_id)
 def delivery_lookup(spark, sf_dir) -> DataFrame:
     """Delivery times by short id, else by full id, over the order's own."""
     o = star.orders(spark, sf_dir)
-    lines = o.select("order_id", F.concat(F.lit("s"), "order_id").alias("pos_short_order_id"),
+    lines = o.select("org", "order_id", F.concat(F.lit("s"), "order_id").alias("pos_short_order_id"),
                      F.lit("2000-01-01 00:00:00").alias("delivery_order_started_local"),
                      F.lit(None).cast("string").alias("delivery_order_complete_local"))
     short = F.col("order_type") == "Delivery"
     t = F.unix_timestamp("order_time_utc")
     deliveries = o.where("order_type <> 'Other'").select(
-        F.when(short, F.concat(F.lit("s"), "order_id")).otherwise(F.col("order_id"))
+        "org", F.when(short, F.concat(F.lit("s"), "order_id")).otherwise(F.col("order_id"))
         .alias("pos_short_order_id"),
         F.timestamp_seconds(t + 600).alias("delivery_start_utc"),
         F.timestamp_seconds(t + 4200).alias("delivery_complete_utc"),
         F.when(F.col("org") == "AMERICA", "America/New_York").otherwise("UTC").alias("timezone"))
-    return joins.lookup_deliveries(lines, deliveries).drop("pos_short_order_id")
+    return joins.lookup_deliveries(lines, deliveries).drop("pos_short_order_id", "org")
 
 
 @query(f"WITH {CUST} " + """,
-one AS (SELECT customer_id, phone FROM cust WHERE org <> 'ASIA'),
-two AS (SELECT customer_id, phone, balance FROM cust WHERE org <> 'EUROPE'),
-shared AS (SELECT phone FROM one GROUP BY phone HAVING count(*) > 1),
-newest AS (SELECT phone, 'other_' || arg_max(customer_id, (balance, customer_id)) AS linked,
+one AS (SELECT org, customer_id, phone FROM cust WHERE org <> 'ASIA'),
+two AS (SELECT org, customer_id, phone, balance FROM cust WHERE org <> 'EUROPE'),
+shared AS (SELECT org, phone FROM one GROUP BY ALL HAVING count(*) > 1),
+newest AS (SELECT org, phone, 'other_' || arg_max(customer_id, (balance, customer_id)) AS linked,
                   max(balance) AS balance
-           FROM two WHERE phone NOT IN (FROM shared) GROUP BY phone)
+           FROM two ANTI JOIN shared USING (org, phone) GROUP BY org, phone)
 SELECT one.customer_id, one.phone, linked AS other_customer_id FROM one LEFT JOIN newest
-  USING (phone)
-UNION ALL SELECT linked, phone, linked FROM newest WHERE phone NOT IN (SELECT phone FROM one)
+  USING (org, phone)
+UNION ALL SELECT linked, phone, linked FROM newest ANTI JOIN one USING (org, phone)
 """)
 def merge_customer_systems(spark, sf_dir) -> DataFrame:
     """Second system's customers linked by phone or added with a prefixed id."""
     c = star.customers(spark, sf_dir).select("customer_id", "phone", "org", "balance")
-    one = c.where("org <> 'ASIA'").select("customer_id", "phone")
-    two = c.where("org <> 'EUROPE'").select("customer_id", "phone",
+    one = c.where("org <> 'ASIA'").select("org", "customer_id", "phone")
+    two = c.where("org <> 'EUROPE'").select("org", "customer_id", "phone",
                                             F.col("balance").alias("last_updated_utc"))
     return joins.merge_customers(one, two).select("customer_id", "phone", "other_customer_id")
 
 
 @query(f"WITH {CUST} " + """,
-x AS (SELECT customer_id, phone, customer_id IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders
+x AS (SELECT org, customer_id, phone, customer_id IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders
         WHERE o_totalprice > 300000) AS bought FROM cust)
 SELECT customer_id, phone, bought FROM x
-WHERE bought OR phone NOT IN (SELECT phone FROM x WHERE bought)
+WHERE bought OR (org, phone) NOT IN (SELECT (org, phone) FROM x WHERE bought)
 """)
 def drop_never_ordered_profiles(spark, sf_dir) -> DataFrame:
     """Profiles without an order whose phone is another buyer's."""
     big = star.load(spark, sf_dir, "orders").where("o_totalprice > 300000").select(
         F.col("o_custkey").cast("string").alias("customer_id"))
-    c = joins.flag_listed(star.customers(spark, sf_dir).select("customer_id", "phone"), big,
+    c = joins.flag_listed(star.customers(spark, sf_dir).select("org", "customer_id", "phone"), big,
                           "customer_id", "bought")
     c = c.withColumn("last_order_facility", F.when(F.col("bought"), "shop"))
     return joins.drop_never_ordered_dupes(c).select("customer_id", "phone", "bought")

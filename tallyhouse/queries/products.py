@@ -164,8 +164,8 @@ def _register(spark, sf_dir):
 
 
 @query(f"WITH {TOTALS}, {LINES}, " + """
-sellers AS (SELECT sold_by_id, sold_by_id || ' ' || year(max(order_time_utc)) AS sold_by
-            FROM totals WHERE status <> 'P' GROUP BY 1)
+sellers AS (SELECT org, sold_by_id, sold_by_id || ' ' || year(max(order_time_utc)) AS sold_by
+            FROM totals WHERE status <> 'P' GROUP BY 1, 2)
 SELECT DISTINCT l.order_id, l.order_line_id, o.org, CASE WHEN order_type <> 'Delivery'
     THEN o.customer_id END AS customer_id, c.phone, coalesce(CASE WHEN c.gender = 'M' THEN 'M' END,
     'U') AS gender, 0 AS age, c.store AS customer_city, s.sold_by,
@@ -174,7 +174,7 @@ SELECT DISTINCT l.order_id, l.order_line_id, o.org, CASE WHEN order_type <> 'Del
 FROM lines l JOIN totals o ON l.order_id = o.order_id AND o.status <> 'P'
 LEFT JOIN cust c ON c.customer_id = CASE WHEN order_type <> 'Delivery' THEN o.customer_id END
   AND c.org = o.org AND c.user_type <> 'BUILDING'
-LEFT JOIN sellers s ON s.sold_by_id = o.sold_by_id
+LEFT JOIN sellers s ON s.sold_by_id = o.sold_by_id AND s.org = o.org
 """, digits=digits(4, "order_line_total"))
 def population_multi(spark, sf_dir) -> DataFrame:
     """Population over consolidated tables: lines with an order, customer if known."""

@@ -160,7 +160,7 @@ def _trained(spark, sf_dir) -> DataFrame:
         "posId", F.col("order_id").alias("course_id"), F.col("order_time_utc").alias("done"))
     return touch_both_ways(
         o.select("posId", "order_id", "order_time_utc", "sold_by", "store", "store_uuid",
-                 "order_subtotal", "is_upsell", "preorder_change_dollars"), courses, "posId",
+                 "order_subtotal", "is_upsell", "preorder_change_dollars"), courses, ["posId"],
         order_time="order_time_utc", course_time="done", course_id="course_id",
         order_tie=["order_id"], bucket="year", stage=cut_lineage)
 
@@ -271,7 +271,7 @@ SELECT order_id, order_line_id, customer_id, full_name || ' Smith' AS full_name,
   CASE WHEN order_type = 'Retail' THEN upper(org)
        WHEN CAST(customer_id AS BIGINT) % 10 < 5 THEN 'TOWN ' || CAST(customer_id AS BIGINT) % 10
        ELSE 'FAR' END AS city
-FROM (SELECT *, min(CAST(order_time_utc AS DATE)) OVER (PARTITION BY customer_id) AS first FROM pop)
+FROM (SELECT *, min(CAST(order_time_utc AS DATE)) OVER (PARTITION BY org, customer_id) AS first FROM pop)
 WHERE order_type <> 'Other'
 """)
 def order_dashboard(spark, sf_dir) -> DataFrame:

@@ -155,16 +155,18 @@ def test_unreadable_payload_gives_no_rows(spark):
 
 def test_addresses_and_tags(spark):
     df = spark.createDataFrame(
-        [("a", '[{"type": "x", "street1": "", "primary": true}, {"type": "y", "primary": false}]',
-          day(2)), ("a", '[{"type": "old", "primary": true}]', day(1)), ("b", None, day(1))],
-        "customer_id string, addresses string, run_date_utc timestamp")
-    assert rows(extract.explode_addresses(df), "customer_id", "address_type",
-                "address_street1") == [("a", "x", None), ("b", None, None)]
+        [("o", "a", '[{"type": "x", "street1": "", "primary": true}, {"type": "y", "primary": false}]',
+          day(2)), ("o", "a", '[{"type": "old", "primary": true}]', day(1)),
+         ("o", "b", None, day(1)), ("p", "a", '[{"type": "z"}]', day(1))],
+        "org string, customer_id string, addresses string, run_date_utc timestamp")
+    assert rows(extract.explode_addresses(df), "org", "customer_id", "address_type",
+                "address_street1") == [("o", "a", "x", None), ("o", "b", None, None),
+                                       ("p", "a", "z", None)]
     tags = spark.createDataFrame(
         [("a", '["Flyer", "$5 Reward", "7.5 Reward"]', day(2)), ("b", "[]", day(2)),
          ("c", None, day(2)), ("c", '["x"]', day(1)), ("d", '["1","2","3","4","flyer"]', day(1))],
         "customer_id string, tags string, run_date_utc timestamp")
-    assert rows(extract.extract_tags(tags, keep=())) == [
+    assert rows(extract.extract_tags(tags, keys=["customer_id"], keep=())) == [
         ("a", "flyer", 5.0), ("a", "flyer", 7.5), ("b", None, None), ("d", "regular", None)]
 
 

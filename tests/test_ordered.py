@@ -99,7 +99,7 @@ def test_courses_around_orders(spark):
                                    "s string, o string, at timestamp")
     courses = spark.createDataFrame([("s", "k1", day(0)), ("s", "k2", day(9))],
                                     "s string, k string, done timestamp")
-    got = joins.touch_both_ways(orders, courses, "s", order_time="at", course_time="done",
+    got = joins.touch_both_ways(orders, courses, ["s"], order_time="at", course_time="done",
                                 course_id="k", order_tie=["o"])
     assert rows(got, "o", "last_course_id", "last_n_course", "next_course_id",
                 "time_normalized") == [("a", None, 0, "k1", -0.0), ("b", "k1", 1, "k2", -4.0)]
@@ -114,14 +114,16 @@ def test_sparse_join_keeps_rows(spark):
 
 
 def test_merge_customers(spark):
-    one = spark.createDataFrame([("1", "p"), ("2", "q"), ("3", "q"), ("4", None)],
-                                "customer_id string, phone string")
-    two = spark.createDataFrame([("9", "p", 1), ("8", "p", 2), ("7", "q", 1), ("6", "r", 1),
-                                 ("5", None, 1)],
-                                "customer_id string, phone string, last_updated_utc int")
+    one = spark.createDataFrame([("o", "1", "p"), ("o", "2", "q"), ("o", "3", "q"),
+                                 ("o", "4", None), ("b", "1", "q")],
+                                "org string, customer_id string, phone string")
+    two = spark.createDataFrame([("o", "9", "p", 1), ("o", "8", "p", 2), ("o", "7", "q", 1),
+                                 ("o", "6", "r", 1), ("o", "5", None, 1), ("b", "3", "q", 1)],
+                                "org string, customer_id string, phone string, last_updated_utc int")
     got = joins.merge_customers(one, two, prefix="x_")
-    assert rows(got, "customer_id", "other_customer_id") == [
-        ("1", "x_8"), ("2", None), ("3", None), ("4", None), ("x_6", "x_6")]
+    assert rows(got, "org", "customer_id", "other_customer_id") == [
+        ("b", "1", "x_3"), ("o", "1", "x_8"), ("o", "2", None), ("o", "3", None), ("o", "4", None),
+        ("o", "x_6", "x_6")]
 
 
 def test_exact_percentiles(spark):

@@ -1,15 +1,16 @@
 """Fuzzy line dedup with DataFrame functions only: SimHash, pigeonhole blocks, edit similarity, connected groups.
 
-A line is normalised (lower case, runs of white space to one blank, trimmed). Its SimHash has 64 bits, the majority of
-its different words' hashes at each bit; counters are kept bit-sliced in eight longs, so a word costs a few bit operations. Lines
-of more than 255 words take the majority of the SimHashes of their 255-word pieces. Two lines are candidates if their
-SimHashes differ in at most ``distance`` bits: with the bits cut into ``distance + 2`` blocks, two blocks at least
-agree, and the join is on every pair of blocks; the join condition holds the distance itself and lets a pair through at
-its first agreeing block pair only. Candidates are linked if ``1 - levenshtein / longer length`` is at least
-``similarity``. Of each connected group of lines, equal lines included, only the occurrence with the smallest (key,
-place) stays.
-
-Equal lines collapse in an aggregation before anything is joined, so the number of copies of a line costs nothing there.
+A line is normalised (lower case, runs of white space to one blank, trimmed) and equal lines collapse in an aggregation
+before anything else, so the number of copies of a line costs nothing later. A line's SimHash has 64 bits, each the
+strict majority of its different words' hashes at that bit. The words are exploded and counted by sums of packed counters:
+eight bits a counter for lines of up to 127 different words, 32 bits for longer ones; both give the same majority.
+
+Two lines are candidates if their SimHashes differ in at most ``distance`` bits: with the bits cut into ``distance + 2``
+blocks, two blocks at least agree, so candidates share a bucket of a pair of blocks. They are linked if
+``1 - levenshtein / longer length`` is at least ``similarity``. Of each connected group of lines, equal lines included,
+only the occurrence with the smallest (key, place) stays. Groups need connections, not all links: first each bucket's
+members are compared with its smallest member only, then the pairs of lines that are not yet connected; no pair of lines
+that are connected already is made.
 
 Defined results: a null text stays null and has no lines; blank lines are never dropped; rows equal in key and text are
 one occurrence (both keep or lose a line together); a null key sorts last; an empty table gives no rows.
@@ -25,57 +26,51 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import row_key, shared_folder, stored
 from tallyhouse.llm.components import components
 
-_SLICES = 8
-_PIECE = (1 << _SLICES) - 1
+_NARROW = 127  # different words that eight-bit counters packed in a signed long can count
+_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def normalized(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
 
 
-def _bound(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _majority(hashes: Column) -> Column:
-    """Bits set in more than half of at most 255 longs, by bit-sliced counting."""
-    return _bound(hashes, _majority_of)
+def _packed(width: int) -> list[Column]:
+    """Sums of the bits of ``_h``, ``64 / width`` counters of ``width`` bits in each of ``width`` longs."""
+    ones = sum(1 << at for at in range(0, 64, width))
+    return [F.sum(F.shiftright("_h", i).bitwiseAND(F.lit(ones))).alias(f"s{i}") for i in range(width)]
 
 
-def _majority_of(hashes: Column) -> Column:
-    names = [f"c{i}" for i in range(_SLICES)]
-    zero = F.struct(*[F.lit(0).cast("long").alias(n) for n in names])
+def _narrow_majority() -> Column:
+    half = F.expr("n div 2")
+    lanes, out = 0x0001000100010001, F.lit(0).cast("long")
+    for i in range(8):
+        for odd in (0, 8):  # every other counter, so that the sum with what is missing to 256 has room
+            counts = F.shiftrightunsigned(f"s{i}", odd).bitwiseAND(F.lit(0xFF * lanes))
+            above = F.shiftright(counts + (F.lit(255) - half) * F.lit(lanes), 8).bitwiseAND(F.lit(lanes))
+            out = out.bitwiseOR(F.shiftleft(above, odd + i))
+    return out
 
-    def add(acc, h):
-        out, carry = [], h
-        for n in names:
-            out.append(acc[n].bitwiseXOR(carry).alias(n))
-            carry = acc[n].bitwiseAND(carry)
-        return F.struct(*out)
 
-    def above(acc):
-        # Compare every bit's counter with half the number of words, from the highest slice down.
-        half = F.floor(F.size(hashes) / 2).cast("long")
-        more, level = F.lit(0).cast("long"), F.lit(-1).cast("long")
-        for i in reversed(range(_SLICES)):
-            wanted = -(F.shiftright(half, i).bitwiseAND(F.lit(1).cast("long")))
-            more = more.bitwiseOR(level.bitwiseAND(acc[names[i]]).bitwiseAND(F.bitwise_not(wanted)))
-            level = level.bitwiseAND(F.bitwise_not(acc[names[i]].bitwiseXOR(wanted)))
-        return more
+def _wide_majority() -> Column:
+    half, out = F.expr("n div 2"), F.lit(0).cast("long")
+    for i in range(32):
+        low, high = F.col(f"s{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"s{i}", 32)
+        for counts, bit in ((low, i), (high, 32 + i)):
+            out = out.bitwiseOR(F.shiftleft((counts > half).cast("long"), bit))
+    return out
 
-    return F.aggregate(hashes, zero, add, above)
 
+def simhashes(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, sim`` of different lines (``keys, line``)."""
+    # A word counts once: rulers and separators say nothing.
+    words = lines.select(*keys, F.array_distinct(F.split("line", _WORDS)).alias("words"))
 
-def simhash(line: Column) -> Column:
-    words = F.array_distinct(F.split(line, r"[^\p{L}\p{N}]+"))  # a word counts once: rulers and separators say nothing
-    return _bound(F.transform(words, lambda w: F.xxhash64(w)), _of_words)
+    def counted(part: DataFrame, width: int, majority: Column) -> DataFrame:
+        hashes = part.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("_h"))
+        return hashes.groupBy(*keys).agg(F.count("*").alias("n"), *_packed(width)).select(*keys, majority.alias("sim"))
 
-
-def _of_words(words: Column) -> Column:
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / _PIECE).cast("int")),
-                         lambda i: _majority(F.slice(words, i * _PIECE + 1, _PIECE)))
-    return F.when(F.size(words) <= _PIECE, _majority(words)).otherwise(_majority(F.slice(pieces, 1, _PIECE)))
+    return counted(words.where(F.size("words") <= _NARROW), 8, _narrow_majority()).unionByName(
+        counted(words.where(F.size("words") > _NARROW), 32, _wide_majority()))
 
 
 def _block_masks(distance: int) -> list[Column]:
@@ -87,19 +82,49 @@ def _block_masks(distance: int) -> list[Column]:
     return [F.lit(signed(masks[i] | masks[j])) for i, j in combinations(range(n), 2)]
 
 
-def linked_lines(lines: DataFrame, distance: int) -> DataFrame:
-    """``a, b``: pairs of line ids (``id, sim``) whose SimHashes differ in at most ``distance`` bits, each once."""
-    masks = _block_masks(distance)
-    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("sim").bitwiseAND(m).alias("bits")) for i, m in enumerate(masks)])
+def shared_buckets(lines: DataFrame, distance: int) -> DataFrame:
+    """Lines (``id, sim``) in buckets with others: ``t`` (pair of blocks), ``low, low_sim`` (the bucket's smallest line)."""
+    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("sim").bitwiseAND(m).alias("bits"))
+                     for i, m in enumerate(_block_masks(distance))])
     dealt = lines.select("id", "sim", F.explode(keys).alias("k")).select("id", "sim", "k.t", "k.bits")
-    a, b = dealt.alias("a"), dealt.alias("b")
+    first = dealt.groupBy("t", "bits").agg(F.min(F.struct("id", "sim")).alias("low"), F.count("*").alias("n"))
+    first = first.where("n > 1").select("t", "bits", F.col("low.id").alias("low"), F.col("low.sim").alias("low_sim"))
+    return dealt.join(first, ["t", "bits"]).select("t", "low", "low_sim", "id", "sim")
+
+
+def star_pairs(buckets: DataFrame, distance: int) -> DataFrame:
+    """``a, b``: each bucket's smallest line with the members near it."""
+    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("low_sim"))) <= distance
+    return buckets.where((F.col("id") != F.col("low")) & near).select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def open_pairs(buckets: DataFrame, groups: DataFrame, distance: int) -> DataFrame:
+    """``a, b``: pairs near each other and in different groups (``node, root``), each at its first agreeing blocks only."""
+    masks = _block_masks(distance)
+    members = buckets.join(groups, F.col("id") == F.col("node"), "left").select(
+        "t", "low", "id", "sim", F.coalesce("root", "id").alias("of"))
+    mixed = members.groupBy("t", "low").agg(F.min("of").alias("x"), F.max("of").alias("y")).where("x <> y").select("t", "low")
+    members = members.join(mixed, ["t", "low"], "left_semi")
+    a, b = members.alias("a"), members.alias("b")
     apart = F.col("a.sim").bitwiseXOR(F.col("b.sim"))
     first = F.coalesce(*[F.when(apart.bitwiseAND(m) == 0, F.lit(i)) for i, m in enumerate(masks)])
-    joined = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.bits") == F.col("b.bits")) & (F.col("a.id") < F.col("b.id"))
+    # What the stars have compared already is left out.
+    joined = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.low") == F.col("b.low")) & (F.col("a.id") < F.col("b.id"))
+                    & (F.col("a.of") != F.col("b.of")) & (F.col("a.id") != F.col("a.low"))
                     & (F.bit_count(apart) <= distance) & (first == F.col("a.t")))
     return joined.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
 
 
+def linked(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose lines (``id, line``) are similar enough, as edges ``u, v``."""
+    both = pairs.join(held.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
+        held.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
+    longer = F.greatest(F.length("x"), F.length("y"))
+    limit = F.floor((1 - F.lit(similarity)) * longer + 1e-9).cast("int")
+    near = both.withColumn("most", limit).where("abs(length(x) - length(y)) <= most and levenshtein(x, y, most) >= 0")
+    return near.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
 def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 3,
                        similarity: float = 0.8) -> DataFrame:
     """The documents without repeated lines, with ``n_lines`` and ``n_dropped``; other columns stay."""
@@ -109,24 +134,24 @@ def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     lines = rows.select("k1", "k2", "key", F.posexplode(F.split("text", "\n")).alias("at", "line")).select(
         "k1", "k2", "key", "at", normalized(F.col("line")).alias("line")).where("line <> ''")
     lines = lines.select("k1", "k2", "key", "at", F.xxhash64("line").alias("id"),
-                         F.xxhash64(F.lit("second"), "line").alias("id2"), simhash(F.col("line")).alias("sim"))
+                         F.xxhash64(F.lit("second"), "line").alias("id2"))
     lines = stored(lines, folder, "lines")
     place = F.struct(F.col("key").isNull().alias("none"), "key", "k1", "k2", "at")
-    distinct = stored(lines.groupBy("id", "id2").agg(F.first("sim").alias("sim"), F.min(place).alias("one"),
-                                                     F.count("*").alias("n")), folder, "distinct")
-    pairs = stored(linked_lines(distinct.select("id", "sim"), distance), folder, "pairs")
-    # Only candidates need their words: fetch them from the documents that hold their first occurrence.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(distinct.select("id", "one"), "id")
-    wanted = asked.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("id", F.col("one.at").alias("at"))).alias("w"))
-    held = rows.hint("merge").join(wanted, ["k1", "k2"]).select(F.split("text", "\n").alias("all"), F.explode("w").alias("w"))
-    held = stored(held.select("w.id", normalized(F.get("all", F.col("w.at"))).alias("line")).dropDuplicates(["id"]),
-                  folder, "held")
-    both = pairs.join(held.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").join(
-        held.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
-    longer = F.greatest(F.length("x"), F.length("y"))
-    limit = F.floor((1 - F.lit(similarity)) * longer + 1e-9).cast("int")
-    near = both.withColumn("most", limit).where("abs(length(x) - length(y)) <= most and levenshtein(x, y, most) >= 0")
-    groups = components(near.select(F.col("a").alias("u"), F.col("b").alias("v")), f"{folder}/groups")
+    distinct = stored(lines.groupBy("id", "id2").agg(F.min(place).alias("one"), F.count("*").alias("n")), folder, "distinct")
+    # Each different line once, from the document that holds its first occurrence.
+    wanted = distinct.groupBy("one.k1", "one.k2").agg(F.collect_list(F.struct("id", "id2", F.col("one.at").alias("at"))).alias("w"))
+    once = rows.select("k1", "k2", "text").hint("merge").join(wanted, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    held = once.select(F.split("text", "\n").alias("all"), F.explode("w").alias("w")).select(
+        "w.id", "w.id2", normalized(F.get("all", F.col("w.at"))).alias("line"))
+    held = stored(held, folder, "held")
+    sims = simhashes(held, ["id", "id2"]).groupBy("id").agg(F.min("sim").alias("sim"))
+    buckets = stored(shared_buckets(stored(sims, folder, "sims"), distance), folder, "buckets")
+    stars = stored(linked(star_pairs(buckets, distance), held, similarity), folder, "stars")
+    groups = stored(components(stars, f"{folder}/star_groups"), folder, "grouped")
+    others = stored(open_pairs(buckets, groups, distance), folder, "open_pairs")
+    edges = groups.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(
+        linked(others, held, similarity))
+    groups = components(edges, f"{folder}/groups")
     placed = distinct.join(groups, F.col("id") == F.col("node"), "left").select(
         "id", "id2", "one", "n", "root", F.coalesce("root", "id").alias("group"))
     keep = placed.where("root is not null").groupBy("group").agg(F.min("one").alias("kept"))

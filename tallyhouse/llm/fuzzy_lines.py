@@ -63,14 +63,16 @@ def _wide_majority() -> Column:
 def simhashes(lines: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, sim`` of different lines (``keys, line``)."""
     # A word counts once: rulers and separators say nothing.
-    words = lines.select(*keys, F.array_distinct(F.split("line", _WORDS)).alias("words"))
+    words = F.array_distinct(F.split("line", _WORDS)).alias("words")
+    narrow = lines.select(*keys, words).where(F.size("words") <= _NARROW)
+    # So many words need so many characters: other lines are not split a second time.
+    wide = lines.where(F.length("line") >= 2 * _NARROW).select(*keys, words).where(F.size("words") > _NARROW)
 
     def counted(part: DataFrame, width: int, majority: Column) -> DataFrame:
         hashes = part.select(*keys, F.explode("words").alias("word")).select(*keys, F.xxhash64("word").alias("_h"))
         return hashes.groupBy(*keys).agg(F.count("*").alias("n"), *_packed(width)).select(*keys, majority.alias("sim"))
 
-    return counted(words.where(F.size("words") <= _NARROW), 8, _narrow_majority()).unionByName(
-        counted(words.where(F.size("words") > _NARROW), 32, _wide_majority()))
+    return counted(narrow, 8, _narrow_majority()).unionByName(counted(wide, 32, _wide_majority()))
 
 
 def _block_masks(distance: int) -> list[Column]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,23 +20,17 @@ def tidy_brand(brand: Column) -> Column:
     return F.regexp_replace(name, "[\"'.]", "")
 
 
-def _settle(name: str, later_rules: list[tuple[str, str]]) -> str:
-    """Where a replacement ends up after the rules below it have seen it."""
-    for pattern, replacement in later_rules:
-        if re.search(pattern, name):
-            name = replacement
-    return name
-
-
 def apply_brand_rules(brand: Column, patterns: list[tuple[str, str]]) -> Column:
     """Sequential (regex -> name) rules, each seeing the previous output.
 
-    Only the first match looks at the data: from then on the value is one of
-    the rule table's own names, so where it goes next is known beforehand.
-    That makes the chain a flat first-match list. A value left starting with
-    ``$`` is HOUSE.
+    The rules are one array that is folded over the name, so all patterns are
+    read by the same regex dialect. A value left starting with ``$`` is HOUSE.
     """
-    hits = [F.when(brand.rlike(pattern), F.lit(_settle(name, patterns[i + 1:])))
-            for i, (pattern, name) in enumerate(patterns)]
-    settled = F.coalesce(*hits, brand) if hits else brand
+    if not patterns:
+        settled = brand
+    else:
+        rules = F.array(*[F.struct(F.lit(pattern).alias("pattern"), F.lit(name).alias("name"))
+                          for pattern, name in patterns])
+        settled = F.aggregate(rules, brand, lambda seen, rule: F.when(
+            F.rlike(seen, rule["pattern"]), rule["name"]).otherwise(seen))
     return F.when(settled.startswith("$"), "HOUSE").otherwise(settled)

@@ -117,6 +117,45 @@ def email_campaigns(campaign_info: DataFrame, delivery: DataFrame, roi: DataFram
     return out.join(roi, "campaign_uuid", "left")
 
 
+def sms_campaigns(delivery: DataFrame, opt_outs: DataFrame, campaign_info: DataFrame,
+                  roi: DataFrame, *, hidden_orgs: tuple[str, ...] = ("demo",)) -> DataFrame:
+    """Text campaigns: delivery, opt-out rate, campaign text and return per (campaign, org).
+
+    Every delivered campaign stays; what is unknown about it is NULL. Campaigns
+    of hidden organisations and of none are left out.
+    """
+    keys = ["campaign_id", "org"]
+    out = with_opt_out_rate(delivery, opt_outs)
+    out = out.join(campaign_info.withColumnRenamed("campaign_body", "body"), keys, "left")
+    return (out.join(roi, keys, "left")
+            .where(F.col("org").isNotNull() & ~F.col("org").isin(*hidden_orgs)))
+
+
+# Carrier states that mean a text was not delivered.
+_FAILED = ["delivery_failed", "sending_failed"]
+
+
+def keep_send_exclusions(exclusions: DataFrame, send_log: DataFrame, carrier: DataFrame,
+                         as_of: Column, *, retry_hours: int = 13, kept_hours: int = 24) -> DataFrame:
+    """Recipients a campaign must not text again, without those that may be tried again.
+
+    ``exclusions`` has (org, campaign_id, phone, timestamp). A recipient leaves
+    it when a send of the last ``retry_hours`` was refused (a code other than
+    200) or the carrier could not deliver it, or when the entry is older than
+    ``kept_hours``. Entries without a time stay.
+    """
+    second = F.date_trunc("second", as_of)
+    failed = (carrier.where((F.col("direction") == "outbound") & F.col("status").isin(_FAILED))
+              .select(F.col("id").alias("msg_id")).distinct().withColumn("__failed", F.lit(True)))
+    retried = (send_log.where(F.col("created_at_utc") >= second - F.expr(f"INTERVAL {retry_hours} HOURS"))
+               .join(failed, "msg_id", "left")
+               .where((F.col("http_code") != "200") | F.col("__failed"))
+               .select("org", "campaign_id", F.col("to").alias("phone")).distinct())
+    old = F.col("timestamp") < second - F.expr(f"INTERVAL {kept_hours} HOURS")
+    return (exclusions.join(retried, ["org", "campaign_id", "phone"], "left_anti")
+            .where(~F.coalesce(old, F.lit(False))))
+
+
 def delivery_rates(campaigns: DataFrame, send_log: DataFrame, carriers: dict[str, DataFrame]
                    ) -> DataFrame:
     """Sends per campaign and status code as logged and as the carriers saw them.

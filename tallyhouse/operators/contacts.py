@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.orders import order_key
 from ..functions.text import alnum_words, clean_body, opt_in_flag, opt_out_flag
+from ..session import Stage, lazily
 from .joins import first_row_per_key, flag_listed
 from .ordered import Bucket, fill_ordered, keep_at_max, latest_row
 from .reshape import stack
@@ -18,12 +19,14 @@ CHANNELS = ["sms_response", "custom_code", "webhook", "file_import", "pos"]
 
 def optin_status(sms_response: DataFrame, custom_code: DataFrame, webhook: DataFrame,
                  file_import: DataFrame, pos: DataFrame, active_orgs: DataFrame, *,
-                 latest_only: bool = False, channels: list[str] = CHANNELS) -> DataFrame:
+                 latest_only: bool = False, channels: list[str] = CHANNELS,
+                 stage: Stage = lazily) -> DataFrame:
     """Opt-in status per organisation and phone from its strongest channel.
 
     All channels are stacked with their rank and the best rank per (org, phone)
     is kept: one aggregation instead of a chain of anti joins. Several rows of
-    that channel stay unless ``latest_only``.
+    that channel stay unless ``latest_only``. The stacked channels are read
+    twice; ``stage`` keeps their inputs from being read twice as well.
     """
     def choice(cond):
         return F.when(cond, "opt_in").otherwise("opt_out")
@@ -49,11 +52,11 @@ def optin_status(sms_response: DataFrame, custom_code: DataFrame, webhook: DataF
                      for rank, (name, df) in enumerate(zip(
                          channels, (replied, custom, hook, imported, register)))])
     active = active_orgs.select("orguuid").distinct()
-    ranked = ranked.join(active, "orguuid", "left_semi")
+    ranked = stage(ranked.join(active, "orguuid", "left_semi").distinct())
     best = keep_at_max(ranked, ["orguuid", "phone"], "__rank", smallest=True).drop("__rank")
     if latest_only:
         return latest_row(best, ["orguuid", "phone"], ["ts"])
-    return best.distinct()
+    return best
 
 
 def customer_sms(messages: DataFrame, *, whole_word: bool = False) -> DataFrame:
@@ -116,25 +119,28 @@ def integrated_customers(customers: DataFrame, opt_outs: DataFrame, zip_city: Da
             .withColumn("city", F.upper(F.coalesce("zipcity", "city"))).drop("zipcity"))
 
 
-def merge_person_ids(customers: DataFrame, known: DataFrame, *, ids_per_row: int = 10_000,
-                     org: str = "org_uuid") -> DataFrame:
-    """Per new phone: a stable person id and its register ids joined by ``|``.
+def person_ids(customers: DataFrame, known: DataFrame, *, org: str = "org_uuid") -> DataFrame:
+    """A stable person id for new phones: one row per (org, phone, register id).
 
-    A placeholder phone can belong to a large part of all customers. Its ids
-    are spread over several rows (``part`` 0, 1, …) of about ``ids_per_row``
-    each; all ids are kept and an ordinary phone has the single part 0.
+    The grain is the same for a placeholder phone that a large part of all
+    customers share and for any other, so joins on (org, phone, customer_id)
+    never repeat rows.
     """
     new = (customers.where(F.col("phone").isNotNull())
            .join(known.select(org, "phone").distinct(), [org, "phone"], "left_anti")
            .select(org, "phone", F.col("customer_id").cast("string").alias("customer_id"))
            .distinct())
-    sizes = new.groupBy(org, "phone").agg(
-        F.ceil(F.count(F.lit(1)) / ids_per_row).cast("int").alias("__parts"))
-    part = F.pmod(F.xxhash64("customer_id"), F.col("__parts")).cast("int")
-    return (new.join(sizes, [org, "phone"]).groupBy(org, "phone", part.alias("part"))
-            .agg(F.concat_ws("|", F.sort_array(F.collect_list("customer_id")))
-                 .alias("pos_customer_id"))
-            .withColumn("person_id", order_key(F.col(org), F.col("phone"))))
+    return new.withColumn("person_id", order_key(F.col(org), F.col("phone")))
+
+
+def joined_person_ids(ids: DataFrame, *, org: str = "org_uuid") -> DataFrame:
+    """One row per phone: its register ids as one text, joined by ``|``.
+
+    The text holds all ids of a phone; where placeholder phones are not removed
+    beforehand, use the rows of ``person_ids`` instead.
+    """
+    return ids.groupBy(org, "phone", "person_id").agg(
+        F.concat_ws("|", F.sort_array(F.collect_list("customer_id"))).alias("pos_customer_id"))
 
 
 def phones_info(customer_sms: DataFrame, optins: DataFrame, carriers: DataFrame,

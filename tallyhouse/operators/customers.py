@@ -164,13 +164,13 @@ def customer_profile(population: DataFrame, as_of: Column, categories: list[str]
     rhythm = (gaps.groupBy(*keys).agg(
         F.max("order_time_utc").alias("last_purchase_date"),
         F.avg("gap").alias("ave_days_between"), F.stddev_samp("gap").alias("sd_days_between"),
-        F.count(F.lit(1)).alias("tot_orders"), F.sum("order_tot").alias("tot_dollars"))
+        F.count(F.lit(1)).alias("tot_orders"), F.sum("order_tot").alias("tot_dollars"),
+        # Many small groups of amounts in cents: their different values fit a task.
+        F.percentile("order_tot", 0.5).alias("med_order_total"))
         .where((F.col("tot_orders") > 3) & F.col("sd_days_between").isNotNull())
         .withColumn("days_since_last_purchase", days_between(F.col("last_purchase_date"), as_of)))
-    medians = exact_percentiles(orders, keys, [("med_order_total", "order_tot", 0.5)])
-    profile = (rhythm.join(medians, keys, "left")
-               .withColumn("cust_is_lost", F.col("days_since_last_purchase")
-                           > F.col("ave_days_between") + F.col("sd_days_between") * 5))
+    profile = rhythm.withColumn("cust_is_lost", F.col("days_since_last_purchase")
+                                > F.col("ave_days_between") + F.col("sd_days_between") * 5)
     kept = profile.where(~F.col("cust_is_lost")).select(*keys)
     sensitive = discount_sensitivity(orders.join(kept, keys, "left_semi"), keys)
     favourites = favourite_brands(lines, keys, categories)

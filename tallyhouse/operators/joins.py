@@ -13,20 +13,17 @@ from pyspark.sql import functions as F
 from ..session import Stage, lazily
 from .ordered import Bucket, fill_ordered, latest_row, number_rows
 
-# How many pieces the rows with a missing join key are spread over.
-NULL_KEY_SPREAD = 64
-
-
 def left_join_sparse(left: DataFrame, right: DataFrame, keys: list[str], sparse_key: str,
                      spread_by: list[str]) -> DataFrame:
     """Left join on keys of which one is often NULL (sales without a customer).
 
     NULL never matches, yet a plain join sends all such rows to one partition.
     Adding a salt to the key that is constant wherever the key is known spreads
-    them and changes no result.
+    them over as many values as there are shuffle partitions and changes no result.
     """
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = (F.when(F.col(sparse_key).isNull(),
-                   F.pmod(F.hash(*spread_by), F.lit(NULL_KEY_SPREAD)))
+                   F.pmod(F.hash(*spread_by), F.lit(spread)))
             .otherwise(F.lit(0)))
     return (left.withColumn("__salt", salt)
             .join(right.withColumn("__salt", F.lit(0)), [*keys, "__salt"], "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.orders import room_id_label, room_name_label
+from ..functions.text import clean_text
 from .joins import first_row_per_key
 from .ordered import with_group_stats
 from .reshape import stack
@@ -118,3 +119,40 @@ def rooms_stock(snapshot: DataFrame, order_by: list[str]) -> DataFrame:
     out = unified.groupBy(*group, *[F.col(f"__{c}").alias(c) for c in attributes]).agg(
         F.coalesce(F.sum("units_in_stock"), F.lit(0.0)).alias("units_in_stock"))
     return out.where(F.col("sku").isNotNull() & (F.col("sku") != ""))
+
+
+# Categories of things that have no product class.
+_NO_CLASS = ["GLASS_PARAPH", "ACCESSORY_MERCH"]
+
+
+def map_stock_categories(stock: DataFrame, default_categories: DataFrame,
+                         org_categories: DataFrame, classes: DataFrame, *,
+                         category2: Column | None = None,
+                         classification2: Column | None = None) -> DataFrame:
+    """Category and class of stock rows from the organisation's and the default mapping.
+
+    Raw names are looked up in lower case. ``default_categories`` has
+    (raw_category_name, product_category_name), ``org_categories`` the same with
+    org_uuid and precedence, ``classes`` (raw_product_class, product_class); a
+    raw name stands once in each, a NULL name is mapped to nothing.
+    ``category2`` and ``classification2`` are expressions over the mapped
+    ``category`` and ``classification``, by default these two; accessories have
+    the class "None".
+    """
+    default = default_categories.select(
+        "raw_category_name", F.col("product_category_name").alias("__default"))
+    own = org_categories.where(F.col("org_uuid").isNotNull()).select(
+        "org_uuid", "raw_category_name", F.col("product_category_name").alias("__own"))
+    mapped = (stock.withColumns({c: F.lower(c) for c in ("raw_category_name", "raw_product_class")})
+              .join(default, "raw_category_name", "left")
+              .join(own, ["org_uuid", "raw_category_name"], "left")
+              .join(classes.select("raw_product_class", "product_class"), "raw_product_class",
+                    "left"))
+    mapped = mapped.withColumns({
+        "category": clean_text(F.coalesce("__own", "__default"), "upper"),
+        "classification": clean_text(F.col("product_class"), "upper"),
+    }).drop("__own", "__default", "product_class")
+    mapped = mapped.withColumn("category2", F.col("category") if category2 is None else category2)
+    plain = F.col("classification") if classification2 is None else classification2
+    return mapped.withColumn("classification2", F.when(F.col("category2").isin(_NO_CLASS), "None")
+                             .otherwise(plain))

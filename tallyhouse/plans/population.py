@@ -15,21 +15,14 @@ from ..operators.joins import (complete_lines, fill_from_products, lines_with_or
                                left_join_sparse, lookup_deliveries, null_safe_lookup, with_customers)
 from ..operators.ordered import latest_row
 
-# Above this many rules they run on the distinct names, not on every line.
-MAX_INLINE_BRAND_RULES = 200
-
-
 def standardize_brand(df: DataFrame, patterns: list[tuple[str, str]], *,
-                      brand: str = "brand_name", product: str = "product_name",
-                      max_inline: int = MAX_INLINE_BRAND_RULES) -> DataFrame:
+                      brand: str = "brand_name", product: str = "product_name") -> DataFrame:
     """Clean brand names; a missing brand takes the product's name.
 
-    ``patterns`` is the ordered (regex, name) rule table.
+    ``patterns`` is the ordered (regex, name) rule table. It runs on the
+    distinct names, whose result is joined back to the lines.
     """
-    named = F.coalesce(F.col(brand), F.col(product))
-    if len(patterns) <= max_inline:
-        return df.withColumn(brand, apply_brand_rules(tidy_brand(named), patterns))
-    tidied = df.withColumn("__tidy", tidy_brand(named))
+    tidied = df.withColumn("__tidy", tidy_brand(F.coalesce(F.col(brand), F.col(product))))
     mapping = (tidied.select("__tidy").distinct()
                .withColumn("__brand", apply_brand_rules(F.col("__tidy"), patterns)))
     out = null_safe_lookup(tidied, mapping, ["__tidy"], ["__brand"])

@@ -12,7 +12,7 @@ from ..plans.attribution import email_attribution, sms_attribution
 from ..session import cut_lineage
 from ..sources import star
 from . import event_sales
-from .registry import digits, query
+from .registry import EVENTS_AS_OF, digits, query
 
 _HORIZONS = ("24hr", "72hr", "7day", "2wk", "30day")
 _FLAGS = ", ".join(f"is_{h}" for h in _HORIZONS)
@@ -231,6 +231,57 @@ def campaign_roi(spark, sf_dir) -> DataFrame:
         "last_sms_campaign_id", "campaign_id")
 
 
+@query(f"WITH {_SHORT}, {_DELIVERY}, {_STATE.strip()}, " + """
+outs AS (SELECT org, last_campaign_id AS campaign_id, count(*) FILTER (WHERE NOT is_subscribed)
+           AS unsubscribes FROM state GROUP BY ALL),
+info AS (SELECT DISTINCT org, campaign_id,
+           CASE WHEN CAST(substr(campaign_id, 2) AS INTEGER) % 2 = 0
+                THEN 'text  of ' || campaign_id END AS body
+         FROM emsg WHERE campaign_id IS NOT NULL),
+roi AS (""" + _roi_sql("sms_lines", "last_sms_campaign_id, org",
+                       "last_sms_campaign_id AS campaign_id, org") + """)
+SELECT d.*, unsubscribes, unsubscribes / nullif(customers, 0)::DOUBLE AS opt_out_rate, body,
+  roi.* EXCLUDE (campaign_id, org)
+FROM delivery2 d LEFT JOIN outs USING (campaign_id, org) LEFT JOIN info USING (campaign_id, org)
+LEFT JOIN roi USING (campaign_id, org) WHERE org <> 'ASIA'
+""", digits={**_DELIVERY_DIGITS, **_ROI_DIGITS, **digits(6, "opt_out_rate")})
+def sms_campaigns(spark, sf_dir) -> DataFrame:
+    """Text campaigns with delivery, opt-outs, text and return."""
+    lines = attributed(spark, sf_dir).withColumn("was_lost",
+                                                 F.col("time_since_last_order") >= 3)
+    roi = ops.campaign_roi(lines, ["last_sms_campaign_id", "org"]).withColumnRenamed(
+        "last_sms_campaign_id", "campaign_id")
+    delivery = ops.campaign_delivery(_messages(spark, sf_dir), _org_config(spark, sf_dir)).withColumn(
+        "text_length", F.col("text_length").cast("bigint"))
+    return ops.sms_campaigns(delivery, ops.campaign_opt_outs(sms_state(spark, sf_dir)),
+                             event_sales.campaigns(spark, sf_dir), roi, hidden_orgs=("ASIA",))
+
+
+@query(f"WITH {event_sales.EVENT_CTES}, " + """
+failed AS (
+  SELECT DISTINCT org, campaign_id, phone FROM emsg
+  WHERE outbound AND date_sent >= TIMESTAMP '2024-01-21 00:00:00'
+    AND (error_code IS NOT NULL OR (segments = 2 AND is_mms)))
+SELECT org, campaign_id, phone, max(date_sent) AS timestamp
+FROM emsg e WHERE outbound AND campaign_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM failed f WHERE f.org = e.org AND f.campaign_id = e.campaign_id
+                  AND f.phone = e.phone)
+GROUP BY ALL HAVING max(date_sent) >= TIMESTAMP '2024-01-11 00:00:00'
+""")
+def send_exclusions(spark, sf_dir) -> DataFrame:
+    """Recipients that a campaign must not text again."""
+    m = event_sales.messages(spark, sf_dir).where("sent_from_messaging_service")
+    sent = m.where("campaign_id IS NOT NULL").groupBy(
+        "org", "campaign_id", F.col("to").alias("phone")).agg(F.max("date_sent").alias("timestamp"))
+    log = m.select("org", "campaign_id", "to", "msg_id", F.col("date_sent").alias("created_at_utc"),
+                   F.when(F.col("error_code").isNull(), "200").otherwise("500").alias("http_code"))
+    lost = (F.col("num_segments") == "2") & F.col("is_mms")
+    carrier = m.select(F.col("msg_id").alias("id"), F.lit("outbound").alias("direction"),
+                       F.when(lost, "delivery_failed").otherwise("delivered").alias("status"))
+    return ops.keep_send_exclusions(sent, log, carrier, F.lit(EVENTS_AS_OF).cast("timestamp"),
+                                    retry_hours=240, kept_hours=480)
+
+
 _PRODUCT_CELLS = ", ".join(
     f"coalesce(sum(order_line_total) FILTER (WHERE is_{h}), 0) AS x{h}_roi, "
     f"count(*) FILTER (WHERE is_{h}) AS x{h}_orders" for h in _HORIZONS)

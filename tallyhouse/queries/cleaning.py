@@ -188,27 +188,28 @@ ON l_partkey = p_partkey
 """
 
 
-def _branded(spark, sf_dir, max_inline):
-    part = star.load(spark, sf_dir, "part").select(
+def _odd_brands(spark, sf_dir):
+    return star.load(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name"),
         F.when(F.col("p_size") % 6 == 0, None)
         .when(F.col("p_size") % 6 == 1, F.concat(F.lit("x  "), "p_brand", F.lit(" (1/4) oz")))
         .otherwise(F.concat(F.lit(" '"), "p_brand", F.lit(".\""))).alias("brand_name"))
-    lines = star.load(spark, sf_dir, "lineitem").join(part, "l_partkey")
-    return standardize_brand(lines, _RULES, max_inline=max_inline).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "brand_name")
 
 
 @query(_BRANDS)
 def brands_standardized(spark, sf_dir) -> DataFrame:
     """Brand clean-up and ordered rules on every line; product name as fallback."""
-    return _branded(spark, sf_dir, 200)
+    lines = star.load(spark, sf_dir, "lineitem").join(_odd_brands(spark, sf_dir), "l_partkey")
+    return standardize_brand(lines, _RULES).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "brand_name")
 
 
 @query(_BRANDS)
 def brands_by_distinct_name(spark, sf_dir) -> DataFrame:
-    """The same over the distinct names, as a long rule table is applied."""
-    return _branded(spark, sf_dir, 0)
+    """The same on the product table, before the lines are joined."""
+    parts = standardize_brand(_odd_brands(spark, sf_dir), _RULES)
+    return star.load(spark, sf_dir, "lineitem").join(parts, "l_partkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "brand_name")
 
 
 @query("""

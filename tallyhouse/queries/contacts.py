@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import contacts as ops
 from ..operators.reshape import checked_in_customers as check_in_list
+from ..session import cut_lineage
 from ..sources import star
 from .campaigns import STATE_CTES, sms_state
 from .registry import CUST, EVENTS_AS_OF, at, digits, query
@@ -66,7 +67,7 @@ def optins(spark, sf_dir) -> DataFrame:
         c.select("orguuid", "phone", F.timestamp_seconds(
             F.unix_timestamp(F.lit("1990-01-01").cast("timestamp"))
             + F.bround("balance").cast("bigint")).alias("last_updated_utc"),
-            (F.col("balance") > 5000).alias("pos_is_subscribed")), active)
+            (F.col("balance") > 5000).alias("pos_is_subscribed")), active, stage=cut_lineage)
 
 
 @query(_OPTIN)
@@ -102,7 +103,7 @@ def integrated_customers(spark, sf_dir) -> DataFrame:
 
 
 @query(f"WITH {CUST} " + """
-SELECT org_uuid, phone, 0 AS part, string_agg(customer_id, '|' ORDER BY customer_id)
+SELECT org_uuid, phone, string_agg(customer_id, '|' ORDER BY customer_id)
     AS pos_customer_id, sha256(org_uuid || chr(31) || phone) AS person_id
 FROM cust WHERE phone NOT IN (SELECT phone FROM cust k WHERE k.user_type = 'BUILDING'
   AND k.org_uuid = cust.org_uuid) GROUP BY org_uuid, phone
@@ -110,7 +111,7 @@ FROM cust WHERE phone NOT IN (SELECT phone FROM cust k WHERE k.user_type = 'BUIL
 def person_ids(spark, sf_dir) -> DataFrame:
     """New phones with a stable person id and their register ids."""
     c = star.customers(spark, sf_dir)
-    return ops.merge_person_ids(c, c.where("user_type = 'BUILDING'"))
+    return ops.joined_person_ids(ops.person_ids(c, c.where("user_type = 'BUILDING'")))
 
 
 @query(f"{_OPTIN.replace('SELECT DISTINCT orguuid', ', opt AS (SELECT DISTINCT orguuid')}), " + """

@@ -25,7 +25,9 @@ def population(spark, sf_dir) -> DataFrame:
     """Purchases as one-line orders."""
     e = _with_customer(spark, sf_dir).where("event_type = 'purchase'")
     p = star.load(spark, sf_dir, "part")
-    rows = e.join(p, F.col("event_id") % 100 == p["p_partkey"])
+    # Product keys run from 1 to the number of products.
+    e = e.withColumn("__part", F.col("event_id") % p.agg(F.count(F.lit(1))).scalar() + 1)
+    rows = e.join(p, F.col("__part") == p["p_partkey"])
     return rows.select(
         "org", "org_uuid", "customer_id", F.lit("till").alias("source_system"), "phone", "email",
         F.col("event_id").cast("string").alias("order_id"), F.lit("Retail").alias("order_type"),
@@ -80,7 +82,8 @@ epop AS (
          CASE p_type WHEN 'ECONOMY' THEN 'EDIBLES' WHEN 'SMALL' THEN 'VAPES'
               WHEN 'MEDIUM' THEN 'FLOWER' WHEN 'PROMO' THEN 'PREROLLS'
               WHEN 'STANDARD' THEN 'EXTRACTS' WHEN 'LARGE' THEN 'DRINKS' END AS category3
-  FROM ec JOIN part ON event_id % 100 = p_partkey WHERE event_type = 'purchase'),
+  FROM ec, part WHERE event_id % (SELECT count(*) FROM part) + 1 = p_partkey
+    AND event_type = 'purchase'),
 emsg AS (
   SELECT CAST(event_id AS VARCHAR) AS msg_id, event_id, org, org_uuid, phone, ts AS date_sent,
          event_type IN ('view', 'click') AS outbound, event_type,

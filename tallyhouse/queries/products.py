@@ -141,6 +141,37 @@ def rooms_stock(spark, sf_dir) -> DataFrame:
                              ).select("sku", "room_id", "room_name", "brand", "units_in_stock")
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, lower(p_type) AS raw_category_name,
+  lower(p_brand) AS raw_product_class,
+  CASE WHEN p_type = 'PROMO' AND l_suppkey % 2 = 0 THEN 'ACCESSORY_MERCH'
+       WHEN p_type <> 'LARGE' THEN 'CAT ' || upper(p_type) END AS category2,
+  CASE WHEN p_type = 'PROMO' AND l_suppkey % 2 = 0 THEN 'None'
+       WHEN length(p_brand) % 2 = 0 THEN 'CLASS ' || upper(p_brand) END AS classification2
+FROM lineitem JOIN part ON l_partkey = p_partkey
+""")
+def stock_categories(spark, sf_dir) -> DataFrame:
+    """Category and class of stock rows by the organisation's map, then the default one."""
+    li, p = star.load(spark, sf_dir, "lineitem"), star.load(spark, sf_dir, "part")
+    rows = li.join(p, li["l_partkey"] == p["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", F.col("p_type").alias("raw_category_name"),
+        F.col("p_brand").alias("raw_product_class"),
+        F.concat(F.lit("o"), F.col("l_suppkey") % 2).alias("org_uuid"))
+    kind, brand = F.lower("p_type"), F.lower("p_brand")
+    default = p.where("p_type <> 'LARGE'").select(
+        kind.alias("raw_category_name"), F.concat(F.lit(" cat  "), kind).alias(
+            "product_category_name")).distinct()
+    own = p.where("p_type = 'PROMO'").select(
+        F.lit("o0").alias("org_uuid"), kind.alias("raw_category_name"),
+        F.lit("accessory_merch").alias("product_category_name")).distinct()
+    classes = p.where("length(p_brand) % 2 = 0").select(
+        brand.alias("raw_product_class"), F.concat(F.lit("Class "), brand).alias(
+            "product_class")).distinct()
+    return stock.map_stock_categories(rows, default, own, classes).select(
+        "l_orderkey", "l_linenumber", "raw_category_name", "raw_product_class", "category2",
+        "classification2")
+
+
 def _register(spark, sf_dir):
     """Lines, orders and customers as three consolidated tables."""
     li, o = star.lines(spark, sf_dir), star.order_totals(spark, sf_dir)

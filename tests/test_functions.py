@@ -70,13 +70,12 @@ def test_brand_rules_see_earlier_output(spark):
         "ACMES", "ACME", "(1/8)"]
 
 
-def test_long_brand_table_equals_inline(spark):
+def test_long_brand_table(spark):
     df = spark.createDataFrame([("acme", "p"), (None, "acme"), (None, None), ("b. x", "q")],
                                "brand_name string, product_name string")
-    rules = [("^ACME$", "TOP"), ("X", "EX")]
-    inline = rows(standardize_brand(df, rules), "brand_name")
-    assert inline == rows(standardize_brand(df, rules, max_inline=0), "brand_name")
-    assert inline == [("EX",), ("TOP",), ("TOP",), (None,)]
+    # Unicode classes are read by Spark's regex dialect, also in what earlier rules gave.
+    rules = [(r"^\p{L}CME$", "TOP"), ("X", "EX"), *[(f"^NAME{i}$", f"N{i}") for i in range(199)]]
+    assert rows(standardize_brand(df, rules), "brand_name") == [("EX",), ("TOP",), ("TOP",), (None,)]
 
 
 def test_opt_words_match_inside_words(spark):

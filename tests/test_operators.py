@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tallyhouse.operators import contacts, customers, extract, logs, staff
+from tallyhouse.operators import campaigns, contacts, customers, extract, logs, staff
 from tallyhouse.operators.statistics import critical_t
 from tallyhouse.plans.attribution import sms_attribution
 from tallyhouse.schemas import SCHEMA_NAMES, SchemaMismatch, conform_schema, pos_schema
-from tallyhouse.sources.payloads import parse_pos_json, read_pos_json
+from tallyhouse.sources.payloads import (parse_pos_json, read_pos_json, rejected_payloads,
+                                          rejected_pos_json)
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -81,19 +82,16 @@ def test_optin_strongest_channel(spark):
 
 
 def test_person_ids_keep_every_id_of_a_shared_phone(spark):
-    data = [("o", "hot", str(i)) for i in range(200)] + [("o", "p", "b"), ("o", "p", "a"),
+    data = [("o", "hot", str(i)) for i in range(10_001)] + [("o", "p", "b"), ("o", "p", "a"),
                                                         ("o", "known", "z"), ("o", None, "n")]
     df = spark.createDataFrame(data, "org_uuid string, phone string, customer_id string")
     known = spark.createDataFrame([("o", "known")], "org_uuid string, phone string")
-    got = contacts.merge_person_ids(df, known, ids_per_row=50)
-    by_phone = {}
-    for r in got.collect():
-        by_phone.setdefault(r["phone"], []).append(r)
-    assert set(by_phone) == {"hot", "p"}
-    assert [r["pos_customer_id"] for r in by_phone["p"]] == ["a|b"]
-    assert len(by_phone["hot"]) == 4 and len({r["person_id"] for r in by_phone["hot"]}) == 1
-    ids = [i for r in by_phone["hot"] for i in r["pos_customer_id"].split("|")]
-    assert sorted(ids) == sorted(str(i) for i in range(200))
+    got = contacts.person_ids(df, known)
+    assert {r["phone"] for r in got.collect()} == {"hot", "p"}
+    assert got.where("phone = 'hot'").select("customer_id").distinct().count() == 10_001
+    assert got.where("phone = 'hot'").select("person_id").distinct().count() == 1
+    joined = {r["phone"]: r["pos_customer_id"] for r in contacts.joined_person_ids(got).collect()}
+    assert joined["p"] == "a|b" and len(joined["hot"].split("|")) == 10_001 and len(joined) == 2
 
 
 def test_message_state(spark):
@@ -153,6 +151,35 @@ def test_unreadable_payload_gives_no_rows(spark):
     assert rows(parse_pos_json(df, "payload", "Brand"), "brandId", "brandName") == [(3, None)]
 
 
+def test_rejected_payloads_are_returned(spark, tmp_path):
+    df = spark.createDataFrame([("o", "s", "oops"), ("o", "s", '[{"brandId": 3}]'), ("o", "t", None)],
+                               "org string, store string, payload string")
+    assert rows(rejected_payloads(df, "payload", "Brand"), "store", "payload") == [
+        ("s", "oops"), ("t", None)]
+    path = tmp_path / "org=o" / "store=s"
+    path.mkdir(parents=True)
+    (path / "day.json").write_text('{"brandId": 1}\n{"brandId": \n{"brandId": 2}\n')
+    assert rows(read_pos_json(spark, str(tmp_path), "Brand"), "brandId") == [(1,), (2,)]
+    assert rows(rejected_pos_json(spark, str(tmp_path), "Brand"), "org", "store", "text") == [
+        ("o", "s", '{"brandId": ')]
+
+
+def test_send_exclusions(spark):
+    kept = [("o", "k", p, t) for p, t in (("ok", day(9)), ("old", day(1)), ("refused", day(9)),
+                                           ("lost", day(9)), ("timeless", None))]
+    df = spark.createDataFrame(kept, "org string, campaign_id string, phone string, timestamp timestamp")
+    log = spark.createDataFrame(
+        [("o", "k", p, f"m-{p}", day(9), c) for p, c in (("ok", "200"), ("refused", "500"), ("lost", "200"))]
+        + [("o", "k", "ok", "m-x", day(2), "500")],
+        "org string, campaign_id string, to string, msg_id string, created_at_utc timestamp, "
+        "http_code string")
+    carrier = spark.createDataFrame([("m-lost", "outbound", "sending_failed"),
+                                     ("m-ok", "inbound", "sending_failed")],
+                                    "id string, direction string, status string")
+    got = campaigns.keep_send_exclusions(df, log, carrier, F.lit(day(9)) + F.expr("INTERVAL 1 HOUR"))
+    assert rows(got, "phone") == [("ok",), ("timeless",)]
+
+
 def test_addresses_and_tags(spark):
     df = spark.createDataFrame(
         [("o", "a", '[{"type": "x", "street1": "", "primary": true}, {"type": "y", "primary": false}]',

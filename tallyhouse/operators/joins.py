@@ -181,26 +181,32 @@ def horizon_flags(event_time: Column, touch_time: Column) -> list[Column]:
 
 
 def lookup_deliveries(lines: DataFrame, deliveries: DataFrame, *, order_id: str = "order_id",
-                      short_id: str = "pos_short_order_id",
+                      short_id: str = "pos_short_order_id", created: str = "created_at_utc",
                       within: list[str] = ["org"]) -> DataFrame:
     """Delivery times on each line; the delivery system's value wins.
 
     A delivery names either the short or the full order id. It is matched on
     the short id first; one that matches none is taken as a full id. Ids name
-    an order among those that share the ``within`` columns.
+    an order among those that share the ``within`` columns. Of several rows for
+    an id, and of several ids for an order, the one created last counts, so a
+    correction replaces what it corrects.
     """
+    deliveries = latest_row(deliveries.select(*within, short_id, created, "delivery_start_utc",
+                                              "delivery_complete_utc", "timezone"),
+                            [*within, short_id], [created])
     ids = lines.select(*within, short_id, F.col(order_id).alias("__oid")).distinct()
     keyed = (deliveries.join(ids, [*within, short_id], "left")
              .select(*within, F.coalesce(F.col("__oid"), F.col(short_id)).alias("__oid"),
+                     F.col(created).alias("__created"),
                      F.date_format(F.from_utc_timestamp("delivery_start_utc", F.col("timezone")),
                                    "yyyy-MM-dd HH:mm:ss").alias("__started"),
                      F.date_format(F.from_utc_timestamp("delivery_complete_utc",
                                                         F.col("timezone")),
                                    "yyyy-MM-dd HH:mm:ss").alias("__complete")))
-    keyed = latest_row(keyed, [*within, "__oid"], ["__complete"])
+    keyed = latest_row(keyed, [*within, "__oid"], ["__created"]).drop("__created")
     started, complete = "delivery_order_started_local", "delivery_order_complete_local"
     keyed = keyed.withColumnRenamed("__oid", order_id)
-    out = (lines.join(keyed, [*within, order_id], "left")
+    out = (left_join_sparse(lines, keyed, [*within, order_id], order_id, lines.columns)
            .withColumn(started, F.coalesce("__started", started))
            .withColumn(complete, F.coalesce("__complete", complete))
            .drop("__started", "__complete"))

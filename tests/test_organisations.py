@@ -56,8 +56,10 @@ def test_deliveries_and_dupes(spark):
                                   "org string, order_id string, pos_short_order_id string, "
                                   "delivery_order_started_local string, "
                                   "delivery_order_complete_local string")
-    sent = spark.createDataFrame([("b", "s1", T0, T0 + dt.timedelta(minutes=9), "UTC")],
-                                 "org string, pos_short_order_id string, delivery_start_utc timestamp, "
+    sent = spark.createDataFrame([("b", "s1", T0 + dt.timedelta(1), T0, T0 + dt.timedelta(minutes=9), "UTC"),
+                                  ("b", "s1", T0, T0, T0 + dt.timedelta(minutes=99), "UTC")],
+                                 "org string, pos_short_order_id string, created_at_utc timestamp, "
+                                 "delivery_start_utc timestamp, "
                                  "delivery_complete_utc timestamp, timezone string")
     got = joins.lookup_deliveries(lines, sent)
     assert rows(got, "org", "delivery_drive_minutes") == [("a", None), ("b", 9.0)]

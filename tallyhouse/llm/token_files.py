@@ -130,13 +130,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
     def encode(batches):
         encoder, offset = _encoder(tokenizer), 0
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                ids = [x + end for x in encoder.ids(texts[at:at + 256])]
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)  # only a slice's texts become Python strings at a time
+                ids = [x + end for x in encoder.ids(part.column(1).to_pylist())]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
                                                  pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                part = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes), pa.array(offset + np.cumsum(sizes) - sizes), lists,
                      *part.columns[2:]], names=schema.names)

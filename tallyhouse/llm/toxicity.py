@@ -230,7 +230,7 @@ def _gates(x, p):
 class Scorer:
     """Score texts; keeps the gate inputs of up to ``memory`` words it has met."""
 
-    def __init__(self, model: Model, memory: int = 400_000):
+    def __init__(self, model: Model, memory: int = 150_000):
         self.p, self.word_ids, self.piece_ids, self.shift = model.p, model.word_ids, model.piece_ids, model.shift
         self.memory, self.width = memory, model.p["W0"].shape[0]
         self.ids: dict[str, int] = {}

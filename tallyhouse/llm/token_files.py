@@ -42,7 +42,7 @@ class Encoder:
     string; the byte lengths of the ids tell where each piece ends.
     """
 
-    def __init__(self, path: str, memory: int = 1_000_000):
+    def __init__(self, path: str, memory: int = 400_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)

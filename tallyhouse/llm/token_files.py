@@ -9,7 +9,7 @@ of each document from file totals and the offset stored with it, so a reader can
 the token column, or for the tokens of a key range without reading the other pages.
 
 Defined results: a null text is the empty text (just the end id); an empty table writes no rows; rows repeating a key
-all stay, ordered by their text; null keys come first; metadata columns clashing with ``n_tokens``, ``offset`` or ``tokens`` are
+all stay, in an order fixed by their text; null keys come first; metadata columns clashing with ``n_tokens``, ``offset`` or ``tokens`` are
 left out, other columns can be asked for with ``keep``.
 """
 
@@ -118,9 +118,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
     path = path or f"{shared_folder(spark)}/tokens"
     keep = [c for c in keep if c in docs.columns and c not in (key, "n_tokens", "offset", "tokens")]
     rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"), *keep)
-    order = [F.col(key).asc_nulls_first(), F.col("_text")]
+    # Ranges are found from a sample of these values on the driver: a hash stands there for the text.
+    order = [F.col(key).asc_nulls_first(), F.xxhash64("_text").asc()]
     rows = (rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order))
-    rows = rows.sortWithinPartitions(*order)
+    rows = rows.sortWithinPartitions(*order, F.col("_text"))
     schema = T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType(), False),
                            T.StructField("offset", T.LongType(), False),
                            T.StructField("tokens", T.ArrayType(T.IntegerType(), False), False),

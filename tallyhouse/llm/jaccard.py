@@ -140,6 +140,19 @@ def _compare(threshold: float, n: int):
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8,
            trees: int = 32, depth: int = 8, recall: float = 0.99999, block: int = 200) -> DataFrame:
     """Every row's ``k1, k2`` (see ``row_key``), ``key``, ``n_grams``, ``class_id`` and ``links``."""
+    found = _classed(docs, key, text, n, threshold, trees, depth, recall, block)
+    lowest = found.where("_class is not null").groupBy(F.col("_class").alias("_of")).agg(F.min("key").alias("_lowest"))
+    out = found.join(lowest, F.col("_class") == F.col("_of"), "left")
+    return out.select("k1", "k2", "key", "n_grams", F.when(F.col("_class").isNull(), F.col("key")).otherwise(
+        F.col("_lowest")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
+def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8,
+             trees: int = 32, depth: int = 8, recall: float = 0.99999, block: int = 200) -> DataFrame:
+    """Every row's ``k1, k2, key, n_grams, links`` and ``_class``, the smallest set id of its class (null without words).
+
+    Keys do not name classes: they may be null or repeat with other texts.
+    """
     spark = docs.sparkSession
     folder = shared_folder(spark)
     d = level(threshold, trees, depth, recall)
@@ -160,11 +173,8 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
     degree = links.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
     found = stored(degree.join(classes, "node", "left"), folder, "classes_of_sets")
     out = marked.withColumn("_id", F.when(F.col("n_grams") > 0, F.xxhash64("s1", "s2"))).drop("labels", "s1", "s2")
-    out = out.join(found, F.col("_id") == F.col("node"), "left").withColumn("_class", F.coalesce("root", "_id"))
-    lowest = out.where("_class is not null").groupBy(F.col("_class").alias("_of")).agg(F.min("key").alias("_lowest"))
-    out = out.join(lowest, F.col("_class") == F.col("_of"), "left")
-    return out.select("k1", "k2", "key", "n_grams", F.when(F.col("_class").isNull(), F.col("key")).otherwise(
-        F.col("_lowest")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    out = out.join(found, F.col("_id") == F.col("node"), "left")
+    return out.select("k1", "k2", "key", "n_grams", "links", F.coalesce("root", "_id").alias("_class"))
 
 
 def _links(docs, member, groups, key, text, n, threshold, block, folder) -> DataFrame:
@@ -189,9 +199,8 @@ def _links(docs, member, groups, key, text, n, threshold, block, folder) -> Data
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class, with its own columns: the one with the smallest key, text and other columns."""
     names = docs.columns
-    found = linked(docs, key, text, **options)
-    chosen = found.where("n_grams = 0 or key <=> class_id").groupBy(
-        F.when(F.col("n_grams") > 0, F.col("class_id")).alias("c"), F.when(F.col("n_grams") == 0, F.struct("k1", "k2")).alias("e")
-    ).agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.*")
+    found = _classed(docs, key, text, **options)
+    chosen = found.groupBy(F.col("_class").alias("c"), F.when(F.col("n_grams") == 0, F.struct("k1", "k2")).alias("e")).agg(
+        F.min(F.struct(F.col("key").isNull().alias("none"), "key", "k1", "k2")).alias("k")).select("k.k1", "k.k2")
     keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text))
     return keyed.hint("merge").join(chosen, ["k1", "k2"]).select("k1", "k2", "_doc").dropDuplicates(["k1", "k2"]).select("_doc.*")

@@ -370,6 +370,15 @@ def test_jaccard_against_brute_force(spark, odd_docs):
     assert jaccard.linked(docs.limit(0)).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d") + " end"),
+            (8, text("e")), (None, text("e")), (9, None), (None, "")]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    near = Counter((r["doc_id"], (r["text"] or "")[:3]) for r in kept)
+    assert near == Counter([(None, "a0 "), (None, "b0 "), (7, "c0 "), (7, "d0 "), (8, "e0 "), (9, ""), (None, "")])
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=12) * (1 + i % 3)]) for i in range(300)]

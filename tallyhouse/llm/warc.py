@@ -12,7 +12,7 @@ of a request). One nested row comes out per capture.
 
 Defined results: a null html is an empty payload; a null url is written as ``urn:page:<id>``; of pages with equal
 payloads of at least ``least_bytes`` bytes the one with the smallest id is the response and the others revisit it (rows
-repeating a page id too: of them one is the response, see ``write_captures``); records naming no known capture come out
+repeating a page id are captures of their own, see ``write_captures``); records naming no known capture come out
 as nested rows without a response (their own id as capture id); an empty table writes no records.
 
 An archive file is read as one row, so file size bounds a reader's memory: ``write_captures`` starts a new file every
@@ -44,17 +44,23 @@ def _record(kind: str, record_id, headers: list, block):
     return F.concat(*lines)
 
 
-def duplicates(pages: DataFrame, page_id: str, payload: str, least_bytes: int) -> DataFrame:
-    """``_page, refers_to`` of the pages that repeat the payload of a page with a smaller id.
+def captured(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """``_name, _digest, _mark, _refers_to`` of the payloads (``_name, _page, _digest, _bytes``) that are not plain.
 
-    The smallest id of each payload comes from an aggregation that reduces before its shuffle; the ids join it by
-    digest without their payloads, and Spark splits a digest that very many pages share.
+    ``_mark`` tells the payloads of one page id apart: empty for the one with the smallest digest, ``;`` and the start of
+    the digest for the others. ``_refers_to`` names the capture of the smallest id with the same payload, if that is
+    another page. Both come from aggregations that reduce before their shuffle; no payload enters here.
     """
-    light = pages.select(F.col(page_id).alias("_page"), F.sha2(F.encode(payload, "UTF-8"), 256).alias("_digest"),
-                         F.octet_length(payload).alias("_bytes")).where(F.col("_bytes") >= least_bytes)
-    first = light.groupBy("_digest").agg(F.min("_page").alias("refers_to"), F.count("*").alias("_n")).where("_n > 1")
-    return light.join(first.drop("_n"), "_digest").where(F.col("_page") != F.col("refers_to")).select(
-        "_page", "refers_to").distinct()
+    light = pages.groupBy("_name", "_digest").agg(F.min("_page").alias("_page"), F.min("_bytes").alias("_bytes"))
+    lead = light.groupBy("_name").agg(F.min("_digest").alias("_lead"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    light = light.join(lead, "_name", "left").withColumn("_mark", F.when(
+        F.col("_digest") != F.col("_lead"), F.concat(F.lit(";"), F.substring("_digest", 1, 16))).otherwise(F.lit("")))
+    mine = F.struct("_page", F.concat("_name", "_mark").alias("name"))
+    first = light.where((F.col("_bytes") >= least_bytes) & F.col("_page").isNotNull()).groupBy("_digest").agg(
+        F.min(mine).alias("_low"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    low = F.when((F.col("_bytes") >= least_bytes) & (F.col("_page") != F.col("_low._page")), F.col("_low.name"))
+    return light.join(first, "_digest", "left").select("_name", "_digest", "_mark", low.alias("_refers_to")).where(
+        "_mark <> '' or _refers_to is not null")
 
 
 def write_captures(pages: DataFrame, path: str | None = None, page_id: str = "page_id", url: str = "url",
@@ -62,17 +68,26 @@ def write_captures(pages: DataFrame, path: str | None = None, page_id: str = "pa
                    records_per_file: int = 6000, compression: str = "gzip") -> str:
     """Write one capture (request, response or revisit, metadata) per page; returns the folder of the archives.
 
-    Rows that repeat a page id are captures of their own: equal ones all count as the response of that id.
+    Rows that repeat a page id are captures of their own with record ids of their own: the id, followed by ``;`` and the
+    start of the payload's digest for all payloads of the id but one, and by ``;`` and a number for repeats of a payload.
     """
     spark = pages.sparkSession
     path = path or f"{shared_folder(spark)}/warc"
-    base = pages.select(F.col(page_id).cast("string").alias("_id"), F.col(page_id).alias("_page"),
-                        F.col(url).alias("_url"), F.coalesce(F.col(html), F.lit("")).alias("_html"))
-    base = base.hint("merge").join(duplicates(base.select("_page", "_html"), "_page", "_html", least_bytes), "_page", "left")
-    name = F.coalesce("_id", F.lit("null"))
-    uri = F.coalesce(F.regexp_replace("_url", "[\\x00-\\x20]", "%20"), F.concat(F.lit("urn:page:"), name))
+    html_or_none = F.coalesce(F.col(html), F.lit(""))
+    base = pages.select(F.coalesce(F.col(page_id).cast("string"), F.lit("null")).alias("_name"), F.col(page_id).alias("_page"),
+                        F.col(url).alias("_url"), html_or_none.alias("_html"),
+                        F.sha2(F.encode(html_or_none, "UTF-8"), 256).alias("_digest"))
+    marks = captured(base.select("_name", "_page", "_digest", F.octet_length("_html").alias("_bytes")), least_bytes)
+    base = base.hint("merge").join(marks, ["_name", "_digest"], "left")
+    # Dealt by these columns already: no second exchange of the payloads.
+    turn = F.row_number().over(Window.partitionBy("_name", "_digest").orderBy("_url"))
+    base = base.withColumn("_turn", turn)
+    page = F.col("_name")
+    name = F.concat("_name", F.coalesce("_mark", F.lit("")), F.when(F.col("_turn") > 1, F.concat(
+        F.lit(";"), F.col("_turn").cast("string"))).otherwise(F.lit("")))
+    uri = F.coalesce(F.regexp_replace("_url", "[\\x00-\\x20]", "%20"), F.concat(F.lit("urn:page:"), page))
     urn = lambda kind, of=name: F.concat(F.lit(f"urn:{kind}:page:"), of)
-    digest = F.concat(F.lit("sha256:"), F.sha2(F.encode("_html", "UTF-8"), 256))
+    digest = F.concat(F.lit("sha256:"), F.col("_digest"))
     common = [("WARC-Date", F.lit(date)), ("WARC-Target-URI", uri)]
     linked = [*common, ("WARC-Concurrent-To", F.concat(F.lit("<"), urn("capture"), F.lit(">")))]
     http = F.lit(f"HTTP/1.1 200 OK{_END}Content-Type: text/html; charset=utf-8{_END}{_END}")
@@ -82,14 +97,14 @@ def write_captures(pages: DataFrame, path: str | None = None, page_id: str = "pa
     revisit = _record("revisit", urn("capture"), [
         *common, ("WARC-Payload-Digest", digest),
         ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        ("WARC-Refers-To", F.concat(F.lit("<"), urn("capture", F.col("refers_to").cast("string")), F.lit(">"))),
+        ("WARC-Refers-To", F.concat(F.lit("<"), urn("capture", F.col("_refers_to")), F.lit(">"))),
         ("Content-Type", F.lit("application/http; msgtype=response"))], http)
     request = _record("request", urn("request"), [*linked, ("Content-Type", F.lit("application/http; msgtype=request"))],
                       F.concat(F.lit("GET "), uri, F.lit(f" HTTP/1.1{_END}{_END}")))
     metadata = _record("metadata", urn("metadata"), [*linked, ("Content-Type", F.lit("application/warc-fields"))],
-                       F.concat(F.lit("page-id: "), name, F.lit(_END)))
+                       F.concat(F.lit("page-id: "), page, F.lit(_END)))
     records = base.select(F.explode(F.array(
-        request, F.when(F.col("refers_to").isNull(), response).otherwise(revisit), metadata)).alias("value"))
+        request, F.when(F.col("_refers_to").isNull(), response).otherwise(revisit), metadata)).alias("value"))
     (records.write.option("lineSep", _END + _END).option("compression", compression)
      .option("maxRecordsPerFile", records_per_file).text(path))
     return path

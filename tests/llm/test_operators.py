@@ -61,6 +61,19 @@ def test_warc_round_trip_with_odd_pages(spark):
     assert empty and pages.limit(0).count() == 0
 
 
+def test_warc_repeated_ids_keep_every_payload(spark):
+    a, b = "a" * 200, "b" * 150
+    rows = [(1, a), (2, a), (2, "own"), (3, a), (3, b), (4, b), (5, "x"), (5, "x"), (5, a), (None, "p"), (None, "q"), (1, b)]
+    pages = spark.createDataFrame([(i, f"u{n}", t) for n, (i, t) in enumerate(rows)], "page_id long, url string, html string")
+    records = warc.read_records(spark, warc.write_captures(pages))
+    assert records.count() == records.select("record_id").distinct().count() == 3 * len(rows)
+    got = warc.transactions(records).collect()
+    assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in got)
+    assert Counter((r["response"]["target_uri"], bytes(r["response"]["payload"]).decode()) for r in got) == Counter(
+        (f"u{n}", t) for n, (_, t) in enumerate(rows))
+    assert sorted(r["response"]["target_uri"] for r in got if r["response"]["record_type"] == "revisit") == ["u1", "u3", "u4", "u5", "u8"]
+
+
 def test_warc_links_through_other_records(spark):
     record = lambda i, kind, to: (i, kind, to)
     rows = [record("r1", "response", ["q2"]), record("q1", "request", ["r1"]), record("q2", "request", []),

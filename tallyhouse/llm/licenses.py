@@ -1,6 +1,9 @@
 """License scans: a trained paragraph classifier with a calibrated unknown class, confirmed against templates.
 
-Paragraphs (lines; longer ones as overlapping windows of words) become sparse binary word 1- to 3-grams over the
+Each line is judged alone (longer ones as overlapping windows of words), then what crosses line ends inside a paragraph
+(lines up to a blank one): runs of neighbouring lines of at most ``WINDOW`` words, and overlapping windows of the whole
+paragraph. A notice found across lines is reported at its first line, unless its family is found on these lines already.
+All these pieces become sparse binary word 1- to 3-grams over the
 vocabulary of the licence templates, without those that ordinary text holds too. A multinomial logistic regression over
 licence families and ``unknown`` is fitted in numpy on variants of the templates (words dropped, replaced and surrounded
 by ordinary words) and on ordinary paragraphs: a bounded sample of the collection and scrambled templates. The lowest
@@ -75,13 +78,39 @@ def grams(words: list[str]) -> set[str]:
 def paragraphs(text: str | None):
     """(line number, words) of each line, longer lines as overlapping windows that end with the line."""
     for at, line in enumerate(text.split("\n") if text else ()):
-        words = tokens(line)
-        if len(words) <= WINDOW:
-            if words:
-                yield at, words
-            continue
-        for a in [*range(0, len(words) - WINDOW, STRIDE), len(words) - WINDOW]:
-            yield at, words[a:a + WINDOW]
+        for words in windows(tokens(line)):
+            yield at, words
+
+
+def windows(words: list) -> list[list]:
+    """The words if they are few (none give no window), else overlapping windows that end with them."""
+    if len(words) <= WINDOW:
+        return [words] if words else []
+    return [words[a:a + WINDOW] for a in [*range(0, len(words) - WINDOW, STRIDE), len(words) - WINDOW]]
+
+
+def crossing(lines: list[list[str]], marked: list[bool]):
+    """(line of each word, words) of what crosses line ends, runs of lines before windows, shorter runs first.
+
+    ``marked`` tells the lines with a template's word pair, the pair across their end included. A run must start with a
+    marked line and hold a pair in or before its last line: all pairs of another run are in a shorter one.
+    """
+    size = [len(words) for words in lines]
+    runs = []
+    for i in range(len(lines)):
+        total, j = size[i], i + 1
+        while marked[i] and j < len(lines) and (total := total + size[j]) <= WINDOW:
+            if marked[j] or marked[j - 1]:
+                runs.append((j - i, i, j))
+            j += 1
+    for _, i, j in sorted(runs):
+        yield [k for k in range(i, j + 1) for _ in lines[k]], [w for words in lines[i:j + 1] for w in words]
+    if any(marked) and sum(size) > WINDOW:
+        numbered = windows([(k, w) for k, words in enumerate(lines) for w in words])
+        for window in numbered:
+            of = [k for k, _ in window]
+            if of[0] < of[-1] and any(marked[of[0]:of[-1] + 1]):
+                yield of, [w for _, w in window]
 
 
 @dataclass
@@ -93,6 +122,11 @@ class Model:
     pairs: dict[str, list[set[tuple[str, str]]]]
     confirm: float
 
+    def __post_init__(self):
+        # A paragraph without a vocabulary word is unknown whatever else it holds.
+        self.words = {w for g in self.columns for w in g.split(" ")}
+        self.any_pair = set().union(*(t for templates in self.pairs.values() for t in templates))
+
     def probabilities(self, words: list[str]) -> np.ndarray | None:
         """Of the families; None if the paragraph holds no gram of the vocabulary (then it is unknown)."""
         at = [i for g in grams(words) if (i := self.columns.get(g)) is not None]
@@ -109,6 +143,43 @@ class Model:
         shared = max(len(mine & t) / len(t) for t in self.pairs[family])
         return (family, float(p[best])) if shared >= self.confirm else None
 
+    def find(self, text: str | None) -> dict[tuple[int, str], float]:
+        """Probability by (line, family)."""
+        best: dict[tuple[int, str], float] = {}
+        block: list[tuple[int, list[str]]] = []
+        for at, line in enumerate(text.split("\n") if text else ()):
+            words = tokens(line)
+            for window in windows(words):
+                if not self.words.isdisjoint(window) and (hit := self.judge(window)):
+                    best[at, hit[0]] = max(best.get((at, hit[0]), 0.0), hit[1])
+            if words:
+                block.append((at, words))
+            elif not line.strip():
+                self._across(block, best)
+                block = []
+        self._across(block, best)
+        return best
+
+    def _across(self, block: list[tuple[int, list[str]]], best: dict[tuple[int, str], float]) -> None:
+        """Add what is found across the line ends of one paragraph."""
+        if len(block) < 2:
+            return
+        lines = [words for _, words in block]
+        marked = [not self.any_pair.isdisjoint(zip(words, (*words[1:], *after[:1]), strict=False))
+                  for words, after in zip(lines, (*lines[1:], ()), strict=True)]
+        taken = [(family, line, line) for line, family in best]
+        for of, words in crossing(lines, marked):
+            if (hit := self.judge(words)) is None:
+                continue
+            # The lines that hold the pairs of the template that fits best.
+            mine = list(zip(words, words[1:], strict=False))
+            template = max(self.pairs[hit[0]], key=lambda t: len(t.intersection(mine)) / len(t))
+            at = [i for i, pair in enumerate(mine) if pair in template]
+            a, b = block[of[at[0]]][0], block[of[at[-1] + 1]][0]
+            if not any(f == hit[0] and low <= b and a <= high for f, low, high in taken):
+                taken.append((hit[0], a, b))
+                best[a, hit[0]] = hit[1]
+
 
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
@@ -193,15 +264,10 @@ def scan_licenses(docs: DataFrame, model: Model, text: str = "text") -> DataFram
 
     def run(batches):
         m = sent.value
-        # A paragraph without a vocabulary word is unknown whatever else it holds.
-        keys = {g for g in m.columns if " " not in g} | {w for g in m.columns for w in g.split(" ")}
         for batch in batches:
             found = []
             for value in batch.column(where):
-                best: dict[tuple[int, str], float] = {}
-                for line, words in paragraphs(value.as_py()):
-                    if not keys.isdisjoint(words) and (hit := m.judge(words)):
-                        best[line, hit[0]] = max(best.get((line, hit[0]), 0.0), hit[1])
+                best = m.find(value.as_py())
                 found.append([{"line": k[0], "family": k[1], "probability": p} for k, p in sorted(best.items())])
             top = [max(f, key=lambda h: (h["probability"], h["family"])) if f else None for f in found]
             yield pa.RecordBatch.from_arrays(

@@ -294,6 +294,21 @@ def test_licenses(spark, odd_docs):
     assert licenses.scan_licenses(odd_docs.limit(0), licenses.fit(odd_docs.limit(0))).count() == 0
 
 
+def test_licenses_across_lines():
+    model = licenses.train([f"thing{i} ouble erent and anre tion shea".split() for i in range(200)])
+    wrapped = "This work is licensed under the GNU\nGeneral Public License, version 3."
+    filler = "thing ouble erent and anre tion shea\n"
+    found = lambda text: sorted(model.find(text))
+    assert found(wrapped.replace("\n", " ")) == [(0, "gpl")]
+    assert found(wrapped) == found(wrapped.replace("\n", "\n * ")) == [(0, "gpl")]
+    assert found(filler * 3 + wrapped + "\n" + filler * 3) == [(3, "gpl")]
+    assert found(filler * 40 + wrapped + "\n" + filler * 40) == [(40, "gpl")]
+    assert found(filler.strip() + " " + (filler.replace("\n", " ") * 12) + wrapped + " " + filler.replace("\n", " ") * 12) == [(0, "gpl")]
+    assert found("Licensed under the\nApache License,\nVersion 2.0.\nReleased under the MIT License.") == [(0, "apache-2.0"), (3, "mit")]
+    assert found("Licensed under the\nApache License,\nVersion 2.0.\nReleased under\nthe MIT License.") == [(0, "apache-2.0"), (3, "mit")]
+    assert found(wrapped.replace("\n", "\n\n")) == found(filler * 20) == found(None) == found("") == []
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(0)
     p = {"W0": rng.normal(size=(4, 9)), "W1": rng.normal(size=(4, 9)), "U0": rng.normal(size=(3, 9)), "U1": rng.normal(size=(3, 9)),

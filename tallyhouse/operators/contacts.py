@@ -133,14 +133,21 @@ def person_ids(customers: DataFrame, known: DataFrame, *, org: str = "org_uuid")
     return new.withColumn("person_id", order_key(F.col(org), F.col("phone")))
 
 
-def joined_person_ids(ids: DataFrame, *, org: str = "org_uuid") -> DataFrame:
+def joined_person_ids(ids: DataFrame, *, org: str = "org_uuid", part: int = 10_000) -> DataFrame:
     """One row per phone: its register ids as one text, joined by ``|``.
 
-    The text holds all ids of a phone; where placeholder phones are not removed
-    beforehand, use the rows of ``person_ids`` instead.
+    A phone with more than ``part`` ids is first gathered in parts of about that
+    many; only these meet in one row. The text still holds all ids of a phone;
+    where it may grow too long for a row, use the rows of ``person_ids``.
     """
-    return ids.groupBy(org, "phone", "person_id").agg(
-        F.concat_ws("|", F.sort_array(F.collect_list("customer_id"))).alias("pos_customer_id"))
+    keys = [org, "phone", "person_id"]
+    large = (ids.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > part)
+             .withColumn("__parts", F.ceil(F.col("__n") / part)).drop("__n"))
+    dealt = ids.join(large, keys, "left").withColumn("__part", F.coalesce(
+        F.pmod(F.xxhash64("customer_id"), F.col("__parts")), F.lit(0)))
+    parts = dealt.groupBy(*keys, "__part").agg(F.collect_list("customer_id").alias("__ids"))
+    return parts.groupBy(*keys).agg(F.concat_ws("|", F.sort_array(
+        F.flatten(F.collect_list("__ids")))).alias("pos_customer_id"))
 
 
 def phones_info(customer_sms: DataFrame, optins: DataFrame, carriers: DataFrame,

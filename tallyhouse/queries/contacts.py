@@ -114,6 +114,17 @@ def person_ids(spark, sf_dir) -> DataFrame:
     return ops.joined_person_ids(ops.person_ids(c, c.where("user_type = 'BUILDING'")))
 
 
+@query(f"WITH {CUST} " + """
+SELECT DISTINCT org_uuid, phone, customer_id, sha256(org_uuid || chr(31) || phone) AS person_id
+FROM cust WHERE phone NOT IN (SELECT phone FROM cust k WHERE k.user_type = 'BUILDING'
+  AND k.org_uuid = cust.org_uuid)
+""")
+def person_id_rows(spark, sf_dir) -> DataFrame:
+    """New phones with a stable person id, one row per register id."""
+    c = star.customers(spark, sf_dir)
+    return ops.person_ids(c, c.where("user_type = 'BUILDING'"))
+
+
 @query(f"{_OPTIN.replace('SELECT DISTINCT orguuid', ', opt AS (SELECT DISTINCT orguuid')}), " + """
 carts AS (
   SELECT DISTINCT phone, org_uuid AS orguuid, date_diff('day', CAST(ts AS DATE),

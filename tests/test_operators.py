@@ -81,6 +81,15 @@ def test_optin_strongest_channel(spark):
     assert latest.where("phone = '2'").collect()[0]["status"] == "opt_in"
 
 
+def test_joined_person_ids_gather_a_shared_phone_in_parts(spark):
+    from tallyhouse.queries import QUERIES
+    rows = [("o", "555", f"c{i:03}", "p") for i in range(50)] + [("o", "556", "x", "q"), ("o", "556", "w", "q")]
+    ids = spark.createDataFrame(rows, "org_uuid string, phone string, customer_id string, person_id string")
+    got = {r["phone"]: r["pos_customer_id"] for r in contacts.joined_person_ids(ids, part=10).collect()}
+    assert got == {"555": "|".join(f"c{i:03}" for i in range(50)), "556": "w|x"}
+    assert "person_id_rows" in QUERIES
+
+
 def test_person_ids_keep_every_id_of_a_shared_phone(spark):
     data = [("o", "hot", str(i)) for i in range(10_001)] + [("o", "p", "b"), ("o", "p", "a"),
                                                         ("o", "known", "z"), ("o", None, "n")]

@@ -2,7 +2,8 @@
 
 A word enters as the sum of its own embedding (words frequent in the training sample) and the mean embedding of its
 character pieces (trigrams, the first four and the last four characters), so spellings never seen as words still carry
-their characters. Two gated recurrent units read a window of words in both directions, attention pools their states, and
+their characters. Longer runs of word characters (scripts without blanks, words joined by underscores) are read whole, in
+overlapping parts of 40 characters that are words of their own. Two gated recurrent units read a window of words in both directions, attention pools their states, and
 a logistic output scores the window. Every document is covered by overlapping windows; its score is that of its worst
 window. The model is fitted by gradient descent on document labels: each document's highest-scoring window carries the
 document's label.
@@ -30,16 +31,22 @@ from pyspark.sql import types as T
 
 _WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 24
+LONGEST = 40
 _SPREAD = np.arange(WINDOW)
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of word characters; a run of more than ``LONGEST`` enters as overlapping parts that end with the run."""
+    found = _WORD.findall(text.lower()) if text else []
+    if not found or len(max(found, key=len)) <= LONGEST:
+        return found
+    return [w[a:a + LONGEST] for w in found
+            for a in ([0] if len(w) <= LONGEST else [*range(0, len(w) - LONGEST, LONGEST // 2), len(w) - LONGEST])]
 
 
 def pieces(word: str) -> list[str]:
-    """Character trigrams of the marked word (its first 40 characters), its first and its last four characters."""
-    marked = f"<{word[:40]}>"
+    """Character trigrams of the marked word, its first and its last four characters."""
+    marked = f"<{word}>"
     return [marked[i:i + 3] for i in range(len(marked) - 2)] + ["^" + word[:4], word[-4:] + "$"]
 
 

@@ -353,6 +353,21 @@ def test_toxicity_on_unseen_texts(spark, odd_docs):
     assert toxicity.starts(33) == [0, 1] and toxicity.starts(32) == [0] and toxicity.starts(100)[-1] == 68
 
 
+def test_toxicity_reads_long_runs_whole(spark):
+    for n in (39, 40, 41, 60, 61, 250):
+        run = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(n))
+        parts = toxicity.words(f"short {run} end")
+        assert parts[0] == "short" and parts[-1] == "end" and max(map(len, parts)) <= 40
+        assert {run[i:i + 20] for i in range(n - 19)} <= {p[i:i + 20] for p in parts for i in range(len(p) - 19)}
+    rng = random.Random(2)
+    plain = ["".join(rng.choices(["an", "the", "re", "stone", "ul"], k=3)) for _ in range(60)]
+    docs = [" ".join(rng.choices(plain, k=30)) + (f" zkarg{rng.choice(plain)} blorp{rng.choice(plain)}" if i % 3 == 0 else "") for i in range(240)]
+    scorer = toxicity.Scorer(toxicity.train(docs, [int(i % 3 == 0) for i in range(240)], steps=100))
+    around = "_".join(["the", "stone"] * 12)
+    clean, bad = scorer.scores([f"{around}_{term}_{around}" for term in ("stone_stone", "zkarg_blorp")])
+    assert bad > clean
+
+
 def brute_sets(text, n=5):
     w = re.findall(r"\w+", (text or "").lower())
     return frozenset(tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))) if w else None

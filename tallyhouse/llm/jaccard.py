@@ -1,11 +1,11 @@
-"""N-gram Jaccard join: MinHash LSH forest candidates, exact verification, groups and link counts.
+"""N-gram Jaccard join: MinHash banding candidates, exact verification, groups and link counts.
 
 1. Every text becomes its set of word n-grams (64-bit hashes; a text of fewer words is one n-gram). Texts with equal
    sets are copies and enter once, so the size of a group of copies costs nothing later.
-2. Each set gets ``trees`` MinHash labels of ``depth`` values. A forest is the sorted tries of these labels; two sets
-   meet at the deepest level at which a label's prefix agrees. Prefixes are shortened level by level until sets of the
-   wanted similarity share one in at least one tree with probability ``recall``; that level follows from ``trees``,
-   ``threshold`` and ``recall`` alone. Sets with the prefix in common form a bucket; each links to the bucket's smallest
+2. Each set gets ``trees`` MinHash labels. Two sets meet if the first ``level`` values of a label agree; this one depth
+   follows from ``trees``, ``depth`` (the most), ``threshold`` and ``recall`` alone: it is the longest at which sets of
+   the wanted similarity meet in at least one label with probability ``recall``. This fixed-depth banding stands in for
+   an LSH forest; no prefix tries are built. Sets with the prefix in common form a bucket; each links to the bucket's smallest
    member (a star, never all pairs), and connected buckets are the candidate groups.
 3. Inside a candidate group all sets are compared exactly, in pairs of blocks of at most ``block`` sets, so that no task
    holds a group. A block pair gives each set's number of links and a spanning forest of the links: rows stay in

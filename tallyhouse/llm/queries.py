@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
+    bpe,
     decontaminate,
     fuzzy_lines,
     jaccard,
     licenses,
     mixing,
     repeats,
+    spelling,
     token_files,
     topk,
     toxicity,
     warc,
+    whitening,
 )
 from tallyhouse.llm.common import row_key, table
 
@@ -106,11 +109,34 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.where("vec_id % 20 = 0"), rows, k=20)
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's token ids, and the text that they decode to."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = bpe.decode_tokens(bpe.encode_texts(table(spark, sf_dir, "documents"), path, keep=("doc_id",)), path)
+    decimal = F.array_join(F.col("tokens").cast("array<string>"), ",")
+    return rows.select("doc_id", "n_tokens", F.sha2(F.encode(decimal, "UTF-8"), 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least 6 letters and 5 occurrences, their forms and roots."""
+    rows = spelling.spelling_forms(table(spark, sf_dir, "documents"), damage=199)
+    return rows.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc_transactions": warc_transactions, "op2_decontamination": decontamination,
     "op3_repeated_bytes": repeated_bytes, "op4_source_mix": source_mix, "op5_fuzzy_line_dedup": fuzzy_line_dedup,
     "op6_token_output": token_output, "op7_license_scan": license_scan, "op8_toxicity_scores": toxicity_scores,
     "op9_jaccard_classes": jaccard_classes, "op10_exact_top_k": exact_top_k,
+    "op11_bpe_round_trip": bpe_round_trip, "op12_spelling_variants": spelling_variants,
+    "op13_embedding_whitening": embedding_whitening,
 }
 
 ORACLE = {

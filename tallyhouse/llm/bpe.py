@@ -25,6 +25,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,6 @@ from pyspark.sql import types as T
 # Before a blank that a visible character follows, every pre-tokenizer of this kind starts a piece.
 _VISIBLE = re.compile(r"[^\s\x00-\x20\x7f-\xa0]")
 _BLANK = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0])")
-_POSITION = (1 << 32) - 1
 
 
 def byte_characters() -> dict[str, int]:
@@ -76,12 +76,14 @@ class Encoder:
         vocabulary = Vocabulary(path)
         self.ids, self.added, self.memory = vocabulary.ids, vocabulary.added, memory
         self.cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
-        self.base = len(vocabulary.strings)
-        self.ranks: dict[int, int] = {}
+        none: dict[int, int] = {}
+        self.ranks = [none] * len(vocabulary.strings)  # by left symbol: right symbol to rank
         self.merged: list[int] = []
         for rank, pair in enumerate(vocabulary.spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks[self.ids[left] * self.base + self.ids[right]] = rank
+            if self.ranks[self.ids[left]] is none:
+                self.ranks[self.ids[left]] = {}
+            self.ranks[self.ids[left]][self.ids[right]] = rank
             self.merged.append(self.ids[left + right])
         self.words: dict[str, bytes] = {}  # pieces of the pre-tokenizer
         self.chunks: dict[str, bytes] = {}  # what stands between two blanks
@@ -90,10 +92,13 @@ class Encoder:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply the merges to one piece, the lowest rank first, the leftmost pair first among equals."""
-        ranks, base, merged, n = self.ranks, self.base, self.merged, len(symbols)
+        ranks, merged, n = self.ranks, self.merged, len(symbols)
         # Rank of the pair that starts at each position now; an entry of the queue with another rank is stale.
-        now = [ranks.get(a * base + b, -1) for a, b in zip(symbols, symbols[1:], strict=False)]
-        queue = [(r << 32) | i for i, r in enumerate(now) if r >= 0]
+        now = [ranks[a].get(b, -1) for a, b in zip(symbols, symbols[1:], strict=False)]
+        # An entry is one number, rank before position; short pieces keep it small.
+        shift = 8 if n <= 256 else 32
+        mask = (1 << shift) - 1
+        queue = [(r << shift) | i for i, r in enumerate(now) if r >= 0]
         if not queue:
             return symbols
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -101,7 +106,7 @@ class Encoder:
         heapify(queue)
         while queue:
             entry = heappop(queue)
-            at, rank = entry & _POSITION, entry >> 32
+            at, rank = entry & mask, entry >> shift
             if now[at] != rank:
                 continue
             right, left = after[at], before[at]
@@ -110,15 +115,15 @@ class Encoder:
             after[at] = follower = after[right]
             if follower < n:
                 before[follower] = at
-                now[at] = r = ranks.get(new * base + symbols[follower], -1)
+                now[at] = r = ranks[new].get(symbols[follower], -1)
                 if r >= 0:
-                    heappush(queue, (r << 32) | at)
+                    heappush(queue, (r << shift) | at)
             else:
                 now[at] = -1
             if left >= 0:
-                now[left] = r = ranks.get(symbols[left] * base + new, -1)
+                now[left] = r = ranks[symbols[left]].get(new, -1)
                 if r >= 0:
-                    heappush(queue, (r << 32) | left)
+                    heappush(queue, (r << shift) | left)
         return [s for s in symbols if s >= 0]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
@@ -216,7 +221,9 @@ def decode_tokens(rows: DataFrame, tokenizer: str, tokens: str = "tokens", slice
             for at in range(0, batch.num_rows, slice_rows):
                 part = batch.slice(at, slice_rows)
                 ids = part.column(part.schema.get_field_index(tokens))
-                texts = pa.array([vocabulary.decode(x) if x else "" for x in ids.to_pylist()], pa.string())
+                flat, ends = ids.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum(pc.fill_null(
+                    pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)).tolist()
+                texts = pa.array([vocabulary.decode(flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)], pa.string())
                 yield _with(part, schema.names, decoded=texts)
 
     return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

@@ -15,6 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 _BUCKET = "__bucket"
 _REAL = "__is_row"
 
@@ -105,6 +107,26 @@ def number_rows(df: DataFrame, keys: list[str], order_by: list[str], name: str,
             .where(_REAL).drop(_REAL))
 
 
+def number_all_rows(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
+    """Running number 1, 2, 3 … over the whole frame in order, NULLs first; the columns not named break ties.
+
+    No task sees more than its range: rows are sorted within range partitions and written once with their place in the
+    partition, and a prefix sum over one count per partition gives each range its first number. The numbers
+    depend on the rows alone, not on how they are cut into ranges.
+    """
+    order = [F.col(c).asc_nulls_first() for c in [*order_by, *[c for c in df.columns if c not in order_by]]]
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("__place", F.monotonically_increasing_id()))
+    # The upper bits of the place are the partition, the lower 33 the row in it.
+    placed = placed.withColumn("__range", F.shiftright("__place", 33)).withColumn(
+        "__place", F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    return placed.join(starts, "__range").select(
+        *df.columns, (F.col("__start") + F.col("__place") + 1).alias(name))
+
+
 def latest_row(df: DataFrame, keys: list[str], order_by: list[str], *,
                oldest: bool = False) -> DataFrame:
     """One row per key: the newest by ``order_by``, remaining columns break ties.

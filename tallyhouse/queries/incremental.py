@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sinks import incremental as inc
+from ..sinks import tables
 from ..sources import landing, star
-from .registry import AS_OF, CUST, at, query
+from .registry import AS_OF, CUST, at, new_path, query
 
 
 @query("""
@@ -72,6 +73,55 @@ def append_newer_known_keys(spark, sf_dir) -> DataFrame:
     return _newer(spark, sf_dir, False)
 
 
+# Organisations whose names look like numbers, or are missing.
+_ORG = """CASE WHEN c_nationkey = 3 THEN NULL WHEN c_nationkey = 4 THEN 'a/b=c'
+               ELSE substr('000', 1, c_nationkey % 3) || c_nationkey END"""
+
+
+@query(f"""
+SELECT o_orderkey, {_ORG} AS org, o_totalprice * CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS total
+FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+def append_new_read_back(spark, sf_dir) -> DataFrame:
+    """A partitioned table after a first write of the finished orders and an append of all, with changed totals."""
+    orders = star.load(spark, sf_dir, "orders").join(
+        star.load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.expr(_ORG).alias("org"), F.col("o_totalprice").alias("total"), "o_orderstatus")
+    path = new_path(spark)
+    tables.append_new(orders.where("o_orderstatus = 'F'").drop("o_orderstatus"), path, ["org", "o_orderkey"], ["org"])
+    tables.append_new(orders.withColumn("total", F.col("total") * 2).drop("o_orderstatus"), path, ["org", "o_orderkey"])
+    return tables.read_table(spark, path).select("o_orderkey", "org", "total")
+
+
+@query("""
+WITH s AS (SELECT DISTINCT l_orderkey AS packageid, l_partkey AS productid, 'SKU' || l_suppkey AS sku,
+             CAST(l_shipdate AS TIMESTAMP) AS snapshotdate, CASE WHEN l_returnflag <> 'N' THEN l_linenumber END AS batchid,
+             CASE WHEN l_returnflag <> 'N' THEN 'b' || l_linenumber END AS batchname, l_shipmode AS mode
+           FROM (SELECT *, CASE WHEN l_linestatus = 'F' THEN 'old' ELSE 'new' END AS l_shipmode FROM lineitem)),
+first AS (SELECT * FROM s WHERE mode = 'old'),
+top AS (SELECT productid, sku, packageid, max(snapshotdate) AS latest FROM first GROUP BY ALL),
+second AS (SELECT s.* FROM s LEFT JOIN top USING (productid, sku, packageid) WHERE latest IS NULL OR snapshotdate > latest),
+runs AS (SELECT 1 AS run, * FROM first UNION ALL SELECT 2, * FROM second),
+numbered AS (SELECT *, CAST(epoch(snapshotdate) AS BIGINT) + row_number() OVER (PARTITION BY run ORDER BY packageid, productid,
+  sku, snapshotdate, batchid NULLS FIRST, batchname NULLS FIRST, mode) AS made FROM runs)
+SELECT packageid, productid, sku, snapshotdate, coalesce(batchid, made) AS batchid,
+       coalesce(batchname, made::VARCHAR) AS batchname, mode FROM numbered
+""")
+def append_newer_batches_read_back(spark, sf_dir) -> DataFrame:
+    """Stock snapshots after two appends of what is newer than stored; rows without a batch get a numbered one."""
+    rows = star.load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("packageid"), F.col("l_partkey").alias("productid"),
+        F.concat(F.lit("SKU"), "l_suppkey").alias("sku"), F.col("l_shipdate").cast("timestamp").alias("snapshotdate"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_linenumber").cast("long")).alias("batchid"),
+        F.when(F.col("l_returnflag") != "N", F.concat(F.lit("b"), "l_linenumber")).alias("batchname"),
+        F.when(F.col("l_linestatus") == "F", "old").otherwise("new").alias("mode"))
+    path, keys = new_path(spark), ["packageid", "productid", "sku"]
+    for batch in (rows.where("mode = 'old'"), rows):
+        tables.append_newer(batch, path, keys, "snapshotdate", partition_by=["mode"], batch_id="batchid",
+                            batch_name="batchname")
+    return tables.read_table(spark, path).select(*keys, "snapshotdate", "batchid", "batchname", "mode")
+
+
 @query("""
 SELECT DISTINCT p_brand, p_type, DATE '2001-08-02' AS date_added FROM part
 WHERE (p_brand, p_type) NOT IN (SELECT (p_brand, p_type) FROM part WHERE p_size > 45)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import configure, reliable_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +53,11 @@ def digits(n: int, *columns: str) -> dict[str, int]:
     return dict.fromkeys(columns, n)
 
 
+def new_path(spark: SparkSession) -> str:
+    """Where a query writes a table of its own: a fresh folder on the shared storage."""
+    return f"{reliable_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+
+
 # The day all reports are made for.
 AS_OF = "2001-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"

@@ -75,3 +75,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if reliable_checkpoint_dir(df.sparkSession) is None:
         return df
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` that fails without a shared folder: for frames whose values a second run would not repeat, or that read
+    what is about to be overwritten."""
+    if reliable_checkpoint_dir(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    return df.checkpoint(eager=True)

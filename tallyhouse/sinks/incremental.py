@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import floor_to
 from ..operators.joins import only_listed, only_new
+from ..operators.ordered import number_all_rows
 
 
 def new_rows(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -32,6 +33,24 @@ def newer_rows(df: DataFrame, existing: DataFrame, keys: list[str], ts: str, *,
     return rows.join(stored, same, "left").where(newer).select(*df.columns)
 
 
+def with_batch_ids(df: DataFrame, ts: str, order_by: list[str], batch_id: str = "batchid",
+                   batch_name: str | None = "batchname") -> DataFrame:
+    """Rows without a batch id get their time as a number (seconds of a timestamp, days of a date) plus the
+    row's number among all rows in ``order_by``; the name becomes the same number.
+
+    The same rows get the same ids at every run and partitioning.
+    """
+    kind = df.schema[ts].dataType.typeName()
+    start = {"date": F.datediff(F.col(ts), F.lit("1970-01-01").cast("date")),
+             "timestamp": F.unix_timestamp(ts)}.get(kind, F.col(ts).cast("long"))
+    numbered = number_all_rows(df, order_by, "__row")
+    made, missing = start.cast("long") + F.col("__row"), F.col(batch_id).isNull()
+    filled = {batch_id: F.when(missing, made.cast(df.schema[batch_id].dataType)).otherwise(F.col(batch_id))}
+    if batch_name:
+        filled[batch_name] = F.when(missing, made.cast(df.schema[batch_name].dataType)).otherwise(F.col(batch_name))
+    return numbered.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+
+
 def new_members(df: DataFrame, existing: DataFrame, key: str | list[str], as_of: Column
                 ) -> DataFrame:
     """Unseen dimension members with the day they were added."""

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint_dir
+from ..session import written as _detached
 from . import incremental as inc
 
 log = logging.getLogger(__name__)
@@ -31,8 +31,37 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         spark.conf.set(setting, before)
 
 
-def _typed(stored: DataFrame, like: DataFrame, column: str) -> DataFrame:
-    return stored.withColumn(column, F.col(column).cast(like.schema[column].dataType))
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a stored table is partitioned by, in the order of its folders."""
+    jvm = spark.sparkContext._jvm
+    at, names = jvm.org.apache.hadoop.fs.Path(path), []
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    while True:
+        inner = next((f.getPath() for f in files.listStatus(at) if f.isDirectory() and "=" in f.getPath().getName()), None)
+        if inner is None:
+            return names
+        names.append(utils.unescapePathName(inner.getName().split("=")[0]))
+        at = inner
+
+
+def _typed(stored: DataFrame, like: DataFrame, *columns: str) -> DataFrame:
+    """Partition values, read as text, in the types of the frame that is compared with them."""
+    return stored.withColumns({c: F.col(c).cast(like.schema[c].dataType) for c in columns if c in like.columns})
+
+
+def _layout(spark: SparkSession, path: str, partition_by: list[str]) -> list[str]:
+    """The partition columns of an append: those of the stored table, which the caller may leave out."""
+    stored = partition_columns(spark, path)
+    if partition_by and partition_by != stored:
+        raise ValueError(f"the table is partitioned by {stored}, not {partition_by}")
+    return stored
+
+
+def _as_stored(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Folders cannot tell an empty text from NULL: such partition values are NULL from the start."""
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in partition_by
+                           if df.schema[c].dataType.typeName() == "string"})
 
 
 def _having(df: DataFrame, listed: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -52,17 +81,6 @@ def _write(df: DataFrame, path: str, mode: str, partition_by: list[str]) -> None
     writer.parquet(path)
 
 
-def _detached(df: DataFrame) -> DataFrame:
-    """The frame with its lineage cut on shared storage.
-
-    A table cannot be overwritten while the plan still reads it. A reliable
-    checkpoint also survives lost executors.
-    """
-    if reliable_checkpoint_dir(df.sparkSession) is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return df.checkpoint(eager=True)
-
-
 def append_rows(df: DataFrame, path: str, partition_by: list[str] = []) -> None:
     _write(df, path, "append", partition_by)
 
@@ -70,26 +88,39 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str] = []) -> None:
 def append_new(df: DataFrame, path: str, keys: list[str], partition_by: list[str] = []) -> None:
     """Append rows whose key is not in the table; logs how many were dropped.
 
-    NULL counts as a key value. Rows that share a new key inside the batch are all appended.
+    NULL counts as a key value. Rows that share a new key inside the batch are all appended. Stored partition
+    values are compared in the batch's types, as they were written.
     """
     spark = df.sparkSession
     if not _exists(spark, path):
-        return _write(df, path, "append", partition_by)
+        return _write(_as_stored(df, partition_by), path, "append", partition_by)
+    partition_by = _layout(spark, path, partition_by)
+    df = _as_stored(df, partition_by)
     # Both counts come out of the job that writes: an append does not touch the files that it reads.
     given, kept = Observation("given"), Observation("kept")
     n = F.count(F.lit(1)).alias("n")
-    fresh = inc.new_rows(df.observe(given, n), spark.read.parquet(path), keys).observe(kept, n)
+    stored = _typed(read_table(spark, path), df, *partition_by)
+    fresh = inc.new_rows(df.observe(given, n), stored, keys).observe(kept, n)
     _write(fresh, path, "append", partition_by)
     log.info("dropped %d rows already stored", given.get["n"] - kept.get["n"])
 
 
-def append_newer(df: DataFrame, path: str, keys: list[str], ts: str, *,
-                 include_unseen: bool = True, partition_by: list[str] = []) -> None:
+def append_newer(df: DataFrame, path: str, keys: list[str], ts: str, *, include_unseen: bool = True,
+                 partition_by: list[str] = [], batch_id: str | None = None, batch_name: str | None = None) -> None:
+    """Append distinct rows newer than the newest stored row of their key.
+
+    With ``batch_id`` the appended rows that have none get one, see ``incremental.with_batch_ids``; their order is
+    that of ``keys``. Stored partition values are compared in the batch's types, as they were written.
+    """
     spark = df.sparkSession
     if _exists(spark, path):
-        df = inc.newer_rows(df, spark.read.parquet(path), keys, ts, include_unseen=include_unseen)
+        partition_by = _layout(spark, path, partition_by)
+        df = _as_stored(df, partition_by)
+        df = inc.newer_rows(df, _typed(read_table(spark, path), df, *partition_by), keys, ts, include_unseen=include_unseen)
     else:
-        df = df.distinct()
+        df = _as_stored(df, partition_by).distinct()
+    if batch_id:
+        df = inc.with_batch_ids(df, ts, keys, batch_id, batch_name)
     _write(df, path, "append", partition_by)
 
 

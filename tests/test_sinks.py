@@ -99,3 +99,45 @@ def test_null_keys_are_stored_once(spark, tmp_path):
     for _ in range(2):
         tables.append_new(batch, path, ["id"])
     assert spark.read.parquet(path).count() == 2
+
+
+def test_append_compares_partition_values_as_written(spark, tmp_path):
+    path, ddl = str(tmp_path / "typed"), "id int, org string, day date, t timestamp"
+    day = dt.date(2024, 1, 1)
+    first = [(1, "007", day, T0), (2, "7", day, T0), (3, None, day, T0)]
+    tables.append_new(spark.createDataFrame(first, ddl), path, ["id", "org"], ["org", "day"])
+    assert tables.partition_columns(spark, path) == ["org", "day"]
+    second = [(1, "7", day, T0), (3, "007", day, T0), (3, None, day, T0), (3, "", day, T0), (4, "x", None, T0), (5, "a/b", day, T0)]
+    tables.append_new(spark.createDataFrame(second, ddl), path, ["id", "org"])
+    want = [*first, second[0], second[1], second[4], second[5]]
+    got = tables.read_table(spark, path)
+    assert rows(got, "id", "org") == rows(spark.createDataFrame(want, ddl), "id", "org")
+    later = [(i, o, d, T0 + dt.timedelta(days=1)) for i, o, d, _ in want]
+    tables.append_newer(spark.createDataFrame([*want, later[0], later[4], (9, "y", day, T0)], ddl), path, ["id", "org", "day"], "t")
+    got = tables.read_table(spark, path).where("t > '2024-01-01'")
+    assert rows(got, "id", "org") == rows(spark.createDataFrame([later[0], later[4]], ddl), "id", "org")
+    assert tables.read_table(spark, path).where("org = 'y'").count() == 1
+    try:
+        tables.append_new(spark.createDataFrame(first, ddl), path, ["id"], ["day"])
+        raise AssertionError("another layout was accepted")
+    except ValueError:
+        pass
+
+
+def test_batch_ids_do_not_depend_on_partitions(spark, tmp_path):
+    ddl = "package int, t timestamp, batchid long, batchname string"
+    data = [(i % 37, T0 + dt.timedelta(hours=i % 5), None if i % 3 else i, None if i % 3 else f"b{i}") for i in range(500)]
+    want = {}
+    order = sorted(set(data), key=lambda r: (r[0], r[1], r[2] is not None, r[2] or 0, r[3] or ""))
+    for number, (package, t, batch, name) in enumerate(order, 1):
+        made = int(t.replace(tzinfo=dt.UTC).timestamp()) + number
+        want[package, t, made if batch is None else batch, name or str(made)] = 1
+    for pieces in (1, 7, 40):
+        path = str(tmp_path / f"b{pieces}")
+        batch = spark.createDataFrame(data, ddl).repartition(pieces)
+        tables.append_newer(batch, path, ["package"], "t", batch_id="batchid", batch_name="batchname")
+        got = [tuple(r) for r in spark.read.parquet(path).select("package", F.col("t"), "batchid", "batchname").collect()]
+        assert sorted(got) == sorted(want)
+    days = spark.createDataFrame([(1, dt.date(1970, 1, 11), None), (2, dt.date(1970, 1, 11), 5), (None, None, None)],
+                                 "k int, d date, batchid int")
+    assert rows(inc.with_batch_ids(days, "d", ["k"], "batchid", None), "k", "batchid") == [(1, 12), (2, 5), (None, None)]

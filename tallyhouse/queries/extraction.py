@@ -10,19 +10,17 @@ from ..operators import extract
 from ..plans import pos_tables
 from ..plans.population import population as build_population
 from ..schemas import add_location_ids, conform_schema, location_problems
-from ..session import cut_lineage
-from ..sources import star
+from ..sources import star, variants
 from ..sources.payloads import parse_pos_json
 from . import payloads
-from .registry import CUST, POP, STORES, digits, query
+from .registry import CUST, POP, STORES, digits, new_path, query
 
 _PLACE = """
 place AS (SELECT CAST(customer_id AS BIGINT) AS c_custkey, org, store, org_uuid, store_id
           FROM cust),
 tx AS (SELECT o_orderkey, o_custkey, org, store, org_uuid, store_id, o_orderstatus,
               o_totalprice, o_orderdate, o_orderpriority FROM orders JOIN place
-              ON o_custkey = c_custkey
-       WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+              ON o_custkey = c_custkey),
 item AS (SELECT * FROM lineitem JOIN tx ON l_orderkey = o_orderkey)"""
 _TX = f"WITH {CUST}, {_PLACE}"
 
@@ -41,6 +39,41 @@ def extract_order_summary(spark, sf_dir) -> DataFrame:
         "transactionId", "customerId", "total", "transactionDate", "org", "store")
 
 
+@query(_TX + """
+SELECT o_orderkey AS "transactionId", o_custkey AS "customerId", o_totalprice AS total,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "transactionDate", org, store,
+       coalesce(n, 0) AS n_items FROM tx LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
+       ON o_orderkey = l_orderkey
+""")
+def landed_orders(spark, sf_dir) -> DataFrame:
+    """Order headers from landed variants; a scan reads the asked fields only."""
+    return payloads.transactions(spark, sf_dir, landed=True).select(
+        "transactionId", "customerId", "total", "transactionDate", "org", "store",
+        F.size("items").cast("long").alias("n_items"))
+
+
+@query(_TX + """
+SELECT * FROM (VALUES ('customField', 'BIGINT'), ('items[].flavour', 'STRING'), ('loyalty', 'OBJECT')) AS t(field, type)
+WHERE EXISTS (SELECT 1 FROM tx)
+""")
+def undeclared_order_fields(spark, sf_dir) -> DataFrame:
+    """Fields of the orders' payloads that their schema does not declare."""
+    path = payloads.land_transactions(spark, sf_dir, extra=True)
+    return variants.undeclared_fields(spark, path, "Transaction")
+
+
+@query(_TX + """
+SELECT org, store, 'order ' || o_orderkey AS rejected FROM tx WHERE o_orderstatus = 'P'
+""")
+def rejected_landed_orders(spark, sf_dir) -> DataFrame:
+    """Payload text that is no JSON object, as landed beside the good rows."""
+    text = payloads.transaction_text(spark, sf_dir)
+    broken = F.when(F.col("orderstatus") == "P", F.concat(F.lit("order "), "orderkey")).otherwise(F.col("payload"))
+    path = new_path(spark)
+    variants.land_payloads(text.withColumn("payload", broken), "payload", path)
+    return variants.rejected_landed(spark, path)
+
+
 @query(_TX + """
 SELECT o_orderkey AS "transactionId", org, store, 'sales' AS "rateName",
        CAST(o_orderkey % 100 AS DOUBLE) AS amount FROM tx
@@ -88,12 +121,12 @@ def extract_order_items_discount(spark, sf_dir) -> DataFrame:
 
 
 @query(_TX + """
-SELECT org, store, count(*) AS order_items,
-       count(*) FILTER (WHERE l_discount > 0) AS order_items_discount,
-       count(*) AS order_items_tax,
-       count(DISTINCT o_orderkey) FILTER (WHERE o_orderkey % 3 <> 0) AS order_discount,
-       count(DISTINCT o_orderkey) AS order_tax
-FROM item GROUP BY org, store
+SELECT org, store, coalesce(order_items, 0) AS order_items, coalesce(order_items_discount, 0) AS order_items_discount,
+       coalesce(order_items, 0) AS order_items_tax, order_discount, order_tax
+FROM (SELECT org, store, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS order_discount, count(*) AS order_tax
+      FROM tx GROUP BY org, store)
+LEFT JOIN (SELECT org, store, count(*) AS order_items, count(*) FILTER (WHERE l_discount > 0) AS order_items_discount
+           FROM item GROUP BY org, store) USING (org, store)
 """)
 def validate_order_batch(spark, sf_dir) -> DataFrame:
     """Child rows of each kind per store."""
@@ -491,7 +524,7 @@ FROM (SELECT l.*, c2.gender, c2.phone, p2.product_name, p2.raw_brand_name,
 def population_from_payloads(spark, sf_dir) -> DataFrame:
     """Wide line table built from nested JSON: extract, clean, join, categorise."""
     where = payloads.locations(spark, sf_dir)
-    tx = cut_lineage(payloads.transactions(spark, sf_dir))
+    tx = payloads.transactions(spark, sf_dir, landed=True)
     pop = build_population(
         pos_tables.customer_summary(payloads.customers(spark, sf_dir), where),
         pos_tables.order_summary(tx, where), pos_tables.order_items(tx, where),

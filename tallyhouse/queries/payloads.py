@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..sources import star
 from ..sources.payloads import parse_pos_json
+from ..sources.variants import land_payloads, read_landed
+from .registry import new_path
 
 RAW_NAMES = ["Beverages", "pill box", "Edibles", "Non-Edible gifts", "gummies", "Vape Carts",
              "battery", "Pre-Roll pack", "joints with beverage", "bud", "Flower", "eighths",
@@ -38,11 +40,15 @@ def retail_names(part: DataFrame) -> DataFrame:
         _pick(MASTERS, key % 3).alias("product_category_name"))
 
 
+def as_text(df: DataFrame, fields: dict[str, Column], *keep: Column) -> DataFrame:
+    """Rows as one-element JSON arrays of text."""
+    body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    return df.select("org", "store", F.concat(F.lit("["), body, F.lit("]")).alias("payload"), *keep)
+
+
 def parsed(df: DataFrame, schema: str, fields: dict[str, Column]) -> DataFrame:
     """Rows as one-element JSON arrays of text, parsed with the declared schema."""
-    body = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    text = df.select("org", "store", F.concat(F.lit("["), body, F.lit("]")).alias("payload"))
-    return parse_pos_json(text, "payload", schema)
+    return parse_pos_json(as_text(df, fields), "payload", schema)
 
 
 def locations(spark, sf_dir) -> DataFrame:
@@ -50,8 +56,22 @@ def locations(spark, sf_dir) -> DataFrame:
                                              F.col("store_id").alias("store_uuid"))
 
 
-def transactions(spark, sf_dir) -> DataFrame:
-    """Orders with their lines, line discounts, line taxes and order sums."""
+def transactions(spark, sf_dir, *, landed: bool = False) -> DataFrame:
+    """Orders with their lines, line discounts, line taxes and order sums; ``landed`` reads them from variants."""
+    if landed:
+        return read_landed(spark, land_transactions(spark, sf_dir), "Transaction")
+    return parse_pos_json(transaction_text(spark, sf_dir), "payload", "Transaction")
+
+
+def land_transactions(spark, sf_dir, *, extra: bool = False) -> str:
+    path = new_path(spark)
+    land_payloads(transaction_text(spark, sf_dir, extra=extra), "payload", path)
+    return path
+
+
+def transaction_text(spark, sf_dir, *, extra: bool = False) -> DataFrame:
+    """The orders as the register sends them; an order without lines has an empty list. ``extra`` adds fields that no schema
+    declares."""
     li = star.load(spark, sf_dir, "lineitem")
     col = F.col
     item = F.struct(
@@ -67,26 +87,29 @@ def transactions(spark, sf_dir) -> DataFrame:
             F.lit("promo").alias("discountName"), F.lit("sale").alias("discountReason"),
             col("l_discount").alias("amount")))).otherwise(F.array()).alias("discounts"),
         F.array(F.struct(F.lit("sales").alias("rateName"), col("l_tax").alias("rate"),
-                         col("l_quantity").alias("amount"))).alias("taxes"))
+                         col("l_quantity").alias("amount"))).alias("taxes"),
+        *([F.lit("mint").alias("flavour")] if extra else []))
     baskets = li.groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
     orders = star.load(spark, sf_dir, "orders")
     where = star.customers(spark, sf_dir).select("customer_id", "org", "store")
-    rows = (orders.join(baskets, orders["o_orderkey"] == baskets["l_orderkey"])
+    rows = (orders.join(baskets, orders["o_orderkey"] == baskets["l_orderkey"], "left")
             .join(where, where["customer_id"] == orders["o_custkey"].cast("string")))
     key = col("o_orderkey")
-    return parsed(rows, "Transaction", {
+    return as_text(rows, {
         "transactionId": key, "customerId": col("o_custkey"),
         "transactionDate": F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
         "isVoid": F.lit(False), "isReturn": col("o_orderstatus") == "P",
         "total": col("o_totalprice"), "transactionType": F.lit("Retail sale"),
-        "orderType": col("o_orderpriority"), "items": col("items"),
+        "orderType": col("o_orderpriority"), "items": F.coalesce("items", F.array()),
         "discounts": F.when(key % 3 != 0, F.array(F.struct(
             (key % 4).alias("discountId"), F.lit("loyal").alias("discountName"),
             F.lit("card").alias("discountReason"), F.lit(1.5).alias("amount"),
             key.alias("transactionItemId")))).otherwise(F.array()),
         "taxSummary": F.array(F.struct(F.lit("sales").alias("rateName"),
                                        (key % 100).cast("double").alias("amount"))),
-        "feesAndDonations": F.array(), "orderIds": F.array(key)})
+        "feesAndDonations": F.array(), "orderIds": F.array(key),
+        **({"customField": key, "loyalty": F.struct(F.lit(1).alias("tier"))} if extra else {})},
+        key.alias("orderkey"), col("o_orderstatus").alias("orderstatus"))
 
 
 def customers(spark, sf_dir) -> DataFrame:

@@ -96,6 +96,36 @@ def conversion_counts(attributed: DataFrame, *, campaign: str = "last_sms_campai
         F.sum(f"n.{f}").alias(f"tot_{f.removeprefix('is_')}_conversion") for f in flags])
 
 
+# Categories under their own names in the behaviour table, those without a share, and the shares it has.
+_BEHAVIOR_NAMES = {"PREROLLS": "preroll", "EDIBLES": "edible", "EXTRACTS": "extract", "TOPICALS": "topical"}
+_WITHOUT_SHARE = ["accessories", "other"]
+BEHAVIOR_CATEGORIES = ["preroll", "edible", "extract", "topical", "flower", "vapes", "drinks", "tinctures", "tablets_capsules"]
+BEHAVIOR_CLASSES = ["indica", "sativa", "hybrid", "cbd"]
+
+
+def customer_behavior(population: DataFrame, attributed: DataFrame, *, categories: list[str] = BEHAVIOR_CATEGORIES,
+                      classes: list[str] = BEHAVIOR_CLASSES, stage: Stage = lazily) -> DataFrame:
+    """One row per customer: orders, brands, shares of categories and product classes, conversions of messages.
+
+    A line without a brand counts by the first 100 characters of its product name. Accessories and other products have
+    no share and do not count in the categories' total. A customer without any message has NULL conversions.
+    """
+    keys = ["org", "customer_id"]
+    category = F.lower("category3")
+    for name, own in _BEHAVIOR_NAMES.items():
+        category = F.when(F.col("category3") == name, own).otherwise(category)
+    lines = stage(population.where(F.col("customer_id").isNotNull()).select(
+        *keys, "order_id", "order_time_local", "order_time_utc", "order_discount", "order_total", "order_type",
+        "order_facility", "order_source", "product_class", category.alias("category3"),
+        F.coalesce("brand_name", F.substring("product_name", 1, 100)).alias("brand")))
+    shared = lines.where(~F.coalesce(F.col("category3").isin(_WITHOUT_SHARE), F.lit(False)))
+    out = order_behavior(lines, keys)
+    for part in (product_behavior(lines, keys), preference_shares(shared, "category3", categories, keys),
+                 preference_shares(lines, "product_class", classes, keys), conversion_counts(attributed, keys=keys)):
+        out = out.join(part, keys, "left")
+    return out
+
+
 def customer_order_summaries(population: DataFrame) -> DataFrame:
     """Per customer and product: last order, sales then, sales and units in all."""
     keys = ["org_uuid", "customer_id", "phone", "product_name", "brand_name", "category2",

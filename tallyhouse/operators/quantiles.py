@@ -1,100 +1,106 @@
-"""Exact percentiles of large groups.
+"""Exact percentiles of large groups by radix selection.
 
-Spark's exact ``percentile`` keeps all distinct values of a group in the memory
-of one task. Here a quantile sketch first brackets the wanted rank, then only
-the values inside the bracket (a few per ten thousand rows) are sorted. The
-answer is exact: linear interpolation between the two neighbouring values, as
-``percentile`` and SQL's ``quantile_cont`` give.
+Spark's exact ``percentile`` keeps all distinct values of a group in the memory of one task. Here each value becomes a whole
+number whose order is the order of the values, and the wanted ranks are found 16 bits at a time: values are counted per
+leading digit, the digit that holds a rank is kept with the rank inside it, and the next pass counts only the values that
+begin with a kept prefix. Four passes fix all 64 bits. Nothing is sorted, a window sees at most 65,536
+digits, counts are combined before the shuffle, and all measures and targets share the passes. The answer
+is exact for any distribution: linear interpolation between the two neighbouring values, as ``percentile`` and SQL's ``quantile_cont`` give.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
-# Sketch ranks are off by at most n / accuracy; five times that is the bracket.
-_MARGIN = 5.0 / SKETCH_ACCURACY
+_DIGIT = 16
+_SHIFTS = (48, 32, 16, 0)
+# The layout of a double: 52 bits of fraction under 11 bits of exponent.
+_ONE = float(1 << 52)
 
 
-def exact_percentiles(df: DataFrame, keys: list[str],
-                      targets: list[tuple[str, str, float]]) -> DataFrame:
-    """One row per key with a column per target ``(name, column, p)``.
+def order_bits(value: Column) -> Column:
+    """A whole number per double, in the same order; equal doubles share it. Zero is 0, NaN the largest, NULL stays.
 
-    NULL values are ignored; a group with no value gives NULL.
+    The bits of the absolute value, negated for negative numbers, put together from exponent and fraction with exact
+    scalings by powers of two.
     """
-    columns = list(dict.fromkeys(column for _, column, _ in targets))
-    data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    size = F.abs(value)
+    # The rounded logarithm can be one off at a power of two.
+    guess = F.floor(F.log2(size))
+    e = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).when(size < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    # Two factors, as 2 to the 1074 is no double.
+    half = F.floor(e / 2)
+    fraction = size * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - e) - 1.0
+    normal = (e + 1023).cast("long") * F.lit(1 << 52) + (fraction * _ONE).cast("long")
+    small = (size * 2.0**537 * 2.0**537).cast("long")
+    bits = (F.when(F.isnan(value), F.lit((2047 << 52) + 1)).when(size == float("inf"), F.lit(2047 << 52))
+            .when(size < 2.0**-1022, small).otherwise(normal))
+    return F.when(value < 0, -bits).otherwise(bits)
+
 
-    # One sketch per column answers the brackets of all its targets.
-    sketch_aggs, bounds = [], []
-    for c in columns:
-        sketch_aggs.append(F.count(c).alias(f"__n_{c}"))
-        mine = [(i, p) for i, (_, column, p) in enumerate(targets) if column == c]
-        edges = [q for _, p in mine for q in (max(p - _MARGIN, 0.0), min(p + _MARGIN, 1.0))]
-        sketch_aggs.append(F.percentile_approx(c, edges, SKETCH_ACCURACY).alias(f"__s_{c}"))
-        for at, (i, _) in enumerate(mine):
-            bounds += [F.col(f"__s_{c}")[2 * at].alias(f"__lo_{i}"),
-                       F.col(f"__s_{c}")[2 * at + 1].alias(f"__hi_{i}")]
-    sketch = data.groupBy(*keys).agg(*sketch_aggs)
-    sketch = sketch.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                           *[f"__n_{c}" for c in columns], *bounds)
-    match = F.lit(True)
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    condition = F.lit(True)
     for key in keys:
-        match = match & data[key].eqNullSafe(sketch[f"__k_{key}"])
-    bracketed = data.join(sketch, match)
+        condition = condition & left[key].eqNullSafe(right[f"__k_{key}"])
+    return condition
 
-    def value(i):
-        return F.col(targets[i][1])
 
-    # Everything outside the bracket only has to be counted. The nearest value
-    # on either side is kept because a small group's bracket can be one rank off.
-    side_aggs = [F.first(f"__n_{c}").alias(f"__n_{c}") for c in columns]
-    for i in range(len(targets)):
-        below, above = value(i) < F.col(f"__lo_{i}"), value(i) > F.col(f"__hi_{i}")
-        side_aggs += [F.count_if(below).alias(f"__below_{i}"),
-                      F.max(F.when(below, value(i))).alias(f"__under_{i}"),
-                      F.min(F.when(above, value(i))).alias(f"__over_{i}")]
-    sides = bracketed.groupBy(*keys).agg(*side_aggs)
+def exact_percentiles(df: DataFrame, keys: list[str],
+                      targets: list[tuple[str, str, float]]) -> DataFrame:
+    """One row per key with a column per target ``(name, column, p)``.
 
-    inside = F.filter(F.array(*[
-        F.struct(F.lit(i).alias("target"),
-                 F.when(value(i).between(F.col(f"__lo_{i}"), F.col(f"__hi_{i}")),
-                        value(i)).alias("v"))
-        for i in range(len(targets))]), lambda t: t["v"].isNotNull())
-    running = (Window.partitionBy(*keys, "target").orderBy("v")
-               .rowsBetween(Window.unboundedPreceding, 0))
-    middle = (bracketed.select(*keys, F.explode(inside).alias("t"))
-              .select(*keys, "t.target", "t.v")
-              .groupBy(*keys, "target", "v").agg(F.count(F.lit(1)).alias("__c"))
-              .select(*keys, "target", "v", F.sum("__c").over(running).alias("__upto")))
+    NULL values are ignored; a group with no value gives NULL. The frame is read once per pass: stage it if it is costly.
+    """
+    columns = list(dict.fromkeys(column for _, column, _ in targets))
+    bits = F.array(*[F.struct(F.lit(i).alias("__m"), order_bits(F.col(c).cast("double")).alias("__b"),
+                              F.col(c).cast("double").alias("__v")) for i, c in enumerate(columns)])
+    values = (df.select(*keys, F.explode(bits).alias("__x")).select(*keys, "__x.*")
+              .where(F.col("__b").isNotNull()))
 
-    # Rank arithmetic per target: 0-based position h, neighbours at floor, ceil.
-    ranks = []
-    for i, (_, column, p) in enumerate(targets):
-        h = (F.col(f"__n_{column}") - 1) * F.lit(float(p))
-        ranks.append(F.struct(F.lit(i).alias("target"), h.alias("h"),
-                              F.col(f"__below_{i}").alias("below"),
-                              F.col(f"__under_{i}").alias("under"),
-                              F.col(f"__over_{i}").alias("over")))
-    wanted = (sides.select(*keys, F.explode(F.array(*ranks)).alias("r"))
-              .select(*[F.col(k).alias(f"__k_{k}") for k in keys], "r.*")
-              .withColumnRenamed("target", "__t"))
-    match = middle["target"] == wanted["__t"]
-    for key in keys:
-        match = match & middle[key].eqNullSafe(wanted[f"__k_{key}"])
+    # First the ranks: a 0-based position h per target, its neighbours are at floor and ceil.
+    wanted = F.array(*[F.struct(F.lit(i).alias("target"), F.lit(columns.index(c)).alias("m"), F.lit(float(p)).alias("p"))
+                       for i, (_, c, p) in enumerate(targets)])
+    names = [*keys, "__m"]
+    chosen = None
+    for shift in _SHIFTS:
+        digit = F.shiftright("__b", shift)
+        if chosen is None:
+            counts = values.groupBy(*names, digit.alias("__d")).agg(F.count(F.lit(1)).alias("__n"))
+            total = F.sum("__n").over(Window.partitionBy(*names))
+            ranks = F.transform(F.filter(wanted, lambda t: t["m"] == F.col("__m")), lambda t: F.struct(
+                t["target"].alias("target"), ((F.col("__total") - 1) * t["p"]).alias("h")))
+            ranks = F.flatten(F.transform(ranks, lambda t: F.array(
+                F.struct(t["target"].alias("target"), F.lit(False).alias("upper"), (t["h"] - F.floor(t["h"])).alias("part"),
+                         F.floor(t["h"]).alias("rank")),
+                F.struct(t["target"].alias("target"), F.lit(True).alias("upper"), F.lit(0.0).alias("part"),
+                         F.ceil(t["h"]).alias("rank")))))
+            counts = counts.withColumn("__total", total).select(*names, "__d", "__n", ranks.alias("__r"))
+            within = Window.partitionBy(*names)
+        else:
+            # Only values that begin with a kept prefix go on, with the ranks asked of that prefix.
+            match = _same(values, chosen, names) & (F.shiftright(values["__b"], shift + _DIGIT) == chosen["__prefix"])
+            kept = values.join(chosen, match)
+            counts = kept.groupBy(*names, digit.alias("__d"), "__prefix").agg(
+                F.count(F.lit(1)).alias("__n"), F.first("__r").alias("__r"), F.max("__v").alias("__v"))
+            within = Window.partitionBy(*names, "__prefix")
+        upto = F.sum("__n").over(within.orderBy("__d").rowsBetween(Window.unboundedPreceding, 0))
+        inside = F.filter("__r", lambda r: (r["rank"] < F.col("__upto")) & (r["rank"] >= F.col("__upto") - F.col("__n")))
+        found = counts.withColumn("__upto", upto).withColumn("__r", F.transform(
+            inside, lambda r: r.withField("rank", r["rank"] - F.col("__upto") + F.col("__n")))).where(F.size("__r") > 0)
+        chosen = found.select(*[F.col(k).alias(f"__k_{k}") for k in names], F.col("__d").alias("__prefix"), "__r",
+                              *(["__v"] if shift == 0 else []))
 
-    def at_rank(rank):
-        inner = F.min(F.when(F.col("below") + F.col("__upto") > rank, F.col("v")))
-        return (F.when(F.first(rank) < F.first("below"), F.first("under"))
-                .otherwise(F.coalesce(inner, F.first("over"))))
+    def at(i: int, upper: bool) -> Column:
+        return F.max(F.when((F.col("r.target") == i) & (F.col("r.upper") == upper), F.col("__v")))
 
-    picked = (wanted.join(middle, match, "left")
-              .groupBy(*[f"__k_{k}" for k in keys], "__t")
-              .agg(F.first("h").alias("h"), at_rank(F.floor("h")).alias("a"),
-                   at_rank(F.ceil("h")).alias("b"))
-              .withColumn("q", F.col("a") + (F.col("b") - F.col("a"))
-                          * (F.col("h") - F.floor("h"))))
-    return (picked.groupBy(*[F.col(f"__k_{k}").alias(k) for k in keys])
-            .agg(*[F.max(F.when(F.col("__t") == i, F.col("q"))).alias(name)
-                   for i, (name, _, _) in enumerate(targets)]))
+    picked = chosen.select(*[f"__k_{k}" for k in keys], "__v", F.explode("__r").alias("r"))
+    cuts = picked.groupBy(*[f"__k_{k}" for k in keys]).agg(*[F.struct(
+        at(i, False).alias("a"), at(i, True).alias("b"),
+        F.max(F.when(F.col("r.target") == i, F.col("r.part"))).alias("part")).alias(f"__c_{i}") for i in range(len(targets))])
+    groups = df.select(*keys).distinct()
+    # Neighbours that are equal, infinite ones too, are the answer as they are.
+    return groups.join(cuts, _same(groups, cuts, keys), "left").select(*keys, *[
+        F.when(F.col(f"__c_{i}.a") == F.col(f"__c_{i}.b"), F.col(f"__c_{i}.a")).otherwise(
+            F.col(f"__c_{i}.a") + (F.col(f"__c_{i}.b") - F.col(f"__c_{i}.a")) * F.col(f"__c_{i}.part")).alias(name)
+        for i, (name, _, _) in enumerate(targets)])

@@ -10,6 +10,7 @@ from ..operators.reshape import checked_in_customers as check_in_list
 from ..session import cut_lineage
 from ..sources import star
 from .campaigns import STATE_CTES, sms_state
+from .customers import BEHAVIOR_CTES, behavior
 from .registry import CUST, EVENTS_AS_OF, at, digits, query
 
 
@@ -131,18 +132,20 @@ carts AS (
     DATE '2024-01-31') AS days_since_cart FROM (
       SELECT *, max(CAST(ts AS DATE)) OVER (PARTITION BY phone) AS d FROM ec
       WHERE event_type = 'error') WHERE CAST(ts AS DATE) = d),
-beh AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(*) AS n, sum(o_totalprice) AS s,
-          max(o_orderdate) AS d FROM orders WHERE o_totalprice > 200000 GROUP BY 1)
+beh AS (FROM (WITH {BEHAVIOR_CTES} SELECT * FROM behavior))
 SELECT DISTINCT customer_id, last_customer_phone, CASE WHEN status = 'opt_in' THEN 'Y'
     WHEN status = 'opt_out' THEN 'N' WHEN sub THEN 'Y' ELSE 'N' END AS last_opted_in,
-  days_since_cart, coalesce(beh.n, 0) AS num_orders, coalesce(beh.s, 0) AS total_purchases_usd,
-  coalesce(beh.d, TIMESTAMP '2001-06-01') AS last_order_date,
-  CASE WHEN beh.n IS NULL THEN 'Never Ordered' ELSE 'shop' END AS last_order_facility
+  days_since_cart, coalesce(beh.num_orders, 0) AS num_orders, coalesce(beh.total_purchases_usd, 0) AS total_purchases_usd,
+  coalesce(beh.last_order_date, TIMESTAMP '2001-06-01') AS last_order_date,
+  CASE WHEN beh.num_orders IS NULL THEN 'Never Ordered' ELSE last_order_facility END AS last_order_facility,
+  coalesce(last_order_source, 'Unknown') AS last_order_source, coalesce(pct_flower, 0) AS pct_flower,
+  coalesce(pct_indica, 0) AS pct_indica, coalesce(avg_order_time, 0) AS avg_order_time
 FROM (SELECT customer_id, phone AS last_customer_phone, org_uuid, balance > 0 AS sub FROM cust) c
 LEFT JOIN opt ON opt.phone = last_customer_phone AND opt.orguuid = org_uuid
 LEFT JOIN carts k ON k.phone = last_customer_phone AND k.orguuid = org_uuid
 LEFT JOIN beh USING (customer_id)
-""", digits=digits(2, "total_purchases_usd"))
+""".replace("{BEHAVIOR_CTES}", BEHAVIOR_CTES), digits={**digits(2, "total_purchases_usd"), **digits(
+    6, "pct_flower", "pct_indica", "avg_order_time")})
 def crm_table(spark, sf_dir) -> DataFrame:
     """Marketing list: customers with opt-in, cart and behaviour."""
     c = star.customers(spark, sf_dir).select(
@@ -153,17 +156,10 @@ def crm_table(spark, sf_dir) -> DataFrame:
     carts = e.join(star.customers(spark, sf_dir), e["user_id"].cast("string")
                    == F.col("customer_id")).select(
         "phone", F.col("org_uuid").alias("orguuid"), F.col("ts").alias("created_at"))
-    big = star.load(spark, sf_dir, "orders").where("o_totalprice > 200000").groupBy(
-        F.col("o_custkey").cast("string").alias("customer_id")).agg(
-        F.count(F.lit(1)).alias("num_orders"), F.sum("o_totalprice").alias("total_purchases_usd"),
-        F.max("o_orderdate").alias("last_order_date"),
-        F.min("o_orderdate").alias("first_order_date"))
-    behavior = big.join(star.customers(spark, sf_dir).select("customer_id", "org"),
-                        "customer_id").withColumns({
-        "last_order_facility": F.lit("shop"), "last_order_source": F.lit("web")})
-    return ops.crm_table(c, optins(spark, sf_dir), carts, behavior, at(EVENTS_AS_OF)).select(
+    return ops.crm_table(c, optins(spark, sf_dir), carts, behavior(spark, sf_dir), at(EVENTS_AS_OF)).select(
         "customer_id", "last_customer_phone", "last_opted_in", "days_since_cart", "num_orders",
-        "total_purchases_usd", "last_order_date", "last_order_facility")
+        "total_purchases_usd", "last_order_date", "last_order_facility", "last_order_source", "pct_flower",
+        "pct_indica", "avg_order_time")
 
 
 _CARRIERS = """

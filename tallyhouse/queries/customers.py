@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import customers as ops
 from ..operators.reshape import stack
-from ..operators.statistics import EXACT_DF, critical_t
 from ..session import cut_lineage
 from ..sources import star
 from . import event_sales
@@ -81,7 +82,28 @@ def customer_order_summaries(spark, sf_dir) -> DataFrame:
     return ops.customer_order_summaries(pop)
 
 
-_CRIT = "([" + ", ".join(repr(critical_t(k, 0.15)) for k in range(1, EXACT_DF + 1)) + "]::DOUBLE[])"
+def t_tail(t: float, df: int) -> float:
+    """P(|T| > t) for Student's t by the finite trigonometric sum for whole degrees of freedom."""
+    theta = math.atan2(t, math.sqrt(df))
+    square, term, total = math.cos(theta) ** 2, math.cos(theta) if df % 2 else 1.0, 0.0
+    for j in range(1, df // 2 + 1 if df % 2 == 0 else (df - 1) // 2 + 1):
+        total += term
+        term *= square * (2 * j / (2 * j + 1) if df % 2 else (2 * j - 1) / (2 * j))
+    if df % 2 == 0:
+        return 1 - math.sin(theta) * total
+    return 1 - 2 / math.pi * (theta + (math.sin(theta) * total if df > 1 else 0.0))
+
+
+def critical_t(df: int, p: float) -> float:
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if t_tail(mid, df) > p else (low, mid)
+    return (low + high) / 2
+
+
+# The check's own way to the decision: a table of critical values, for more degrees of freedom than the tables' customers have.
+_CRIT = "([" + ", ".join(repr(critical_t(k, 0.15)) for k in range(1, 301)) + "]::DOUBLE[])"
 _SENSITIVE = f"""
 SELECT customer_id, phone, n >= 3 AND sxx > 0 AND syy > 0 AND
   abs(slope) / sqrt(greatest(syy - slope * sxy, 0) / (n - 2) / sxx)
@@ -289,7 +311,7 @@ def segment_summary(spark, sf_dir) -> DataFrame:
     return ops.segment_summary(_segments(spark, sf_dir))
 
 
-@query(f"WITH {event_sales.SMS_CTES} " + """
+_CONVERTED = """
 SELECT org, customer_id, """ + ", ".join(
     f"count(*) FILTER (WHERE is_{h}) AS tot_{h}_conversion"
     for h in ("24hr", "72hr", "7day", "2wk", "30day")) + """
@@ -298,8 +320,70 @@ FROM (SELECT *, min(time_since_last_order) OVER (PARTITION BY org, customer_id,
       FROM (SELECT DISTINCT org, customer_id, last_sms_campaign_id, time_since_last_order,
               order_id, is_24hr, is_72hr, is_7day, is_2wk, is_30day FROM credited))
 WHERE time_since_last_order = best GROUP BY ALL
-""")
+"""
+
+
+@query(f"WITH {event_sales.SMS_CTES} " + _CONVERTED)
 def conversion_counts(spark, sf_dir) -> DataFrame:
     """Converted orders per horizon from each campaign's smallest-gap orders."""
     from .campaigns import attributed
     return ops.conversion_counts(attributed(spark, sf_dir))
+
+
+def behavior_lines(spark, sf_dir) -> DataFrame:
+    """Lines for the behaviour table: some without a brand, some accessories, classes by product."""
+    key = F.col("product_id").cast("bigint")
+    heads = star.order_totals(spark, sf_dir).select(
+        "org", "customer_id", "order_id", "order_time_local", "order_time_utc", "order_type", "order_source",
+        F.col("order_tot").alias("order_total"), (-F.col("order_disc")).alias("order_discount"),
+        F.col("store").alias("order_facility"))
+    return star.lines(spark, sf_dir).join(heads, "order_id").withColumns({
+            "brand_name": F.when(key % 7 != 0, F.col("brand_name")),
+            "category3": F.when(key % 11 == 0, "ACCESSORIES").otherwise(F.col("category3")),
+            "product_class": F.when(key % 3 == 0, "indica").when(key % 3 == 1, "sativa")})
+
+
+def behavior(spark, sf_dir) -> DataFrame:
+    from .campaigns import attributed
+    return ops.customer_behavior(behavior_lines(spark, sf_dir), attributed(spark, sf_dir), stage=cut_lineage)
+
+
+_SHARES = [(c, f"c = '{c}'") for c in ops.BEHAVIOR_CATEGORIES]
+BEHAVIOR_CTES = f"""{TOTALS}, {LINES},
+bl AS (
+  SELECT t.*, l.order_line_id, coalesce(CASE WHEN CAST(product_id AS BIGINT) % 7 <> 0 THEN brand_name END, product_name) AS brand,
+    CASE WHEN CAST(product_id AS BIGINT) % 11 = 0 THEN 'accessories' ELSE CASE category3 WHEN 'PREROLLS' THEN 'preroll'
+      WHEN 'EDIBLES' THEN 'edible' WHEN 'EXTRACTS' THEN 'extract' ELSE lower(category3) END END AS c,
+    CASE CAST(product_id AS BIGINT) % 3 WHEN 0 THEN 'indica' WHEN 1 THEN 'sativa' END AS k
+  FROM lines l JOIN totals t ON l.order_id = t.order_id),
+b_orders AS (
+  SELECT org, customer_id, count(*) AS num_orders, min(order_time_utc) AS first_order_date,
+    max(order_time_utc) AS last_order_date, sum(order_tot) AS total_purchases_usd,
+    sum(-order_disc) AS total_discounts_usd, avg(order_tot) AS avg_order_size,
+    sum(-order_disc) / (sum(order_tot) + sum(-order_disc)) AS tot_discount_pct,
+    count(*) FILTER (WHERE order_type = 'Delivery') / count(*) AS pct_delivery,
+    avg(coalesce(gap, 0)) AS avg_time_between_orders, avg(hour(order_time_local)) AS avg_order_time,
+    arg_max(store, (order_time_utc, order_id)) AS last_order_facility,
+    nullif(arg_max(coalesce(order_source, '?'), (order_time_utc, order_id)), '?') AS last_order_source
+  FROM (SELECT *, date_diff('day', lag(CAST(order_time_local AS DATE)) OVER (PARTITION BY customer_id
+          ORDER BY order_time_local, order_id), CAST(order_time_local AS DATE)) AS gap FROM totals)
+  GROUP BY ALL),
+b_brands AS (SELECT org, customer_id, string_agg(brand, ', ' ORDER BY brand) AS all_order_descr, count(*) AS unique_brands
+             FROM (SELECT DISTINCT org, customer_id, brand FROM bl) GROUP BY ALL),
+b_cats AS (SELECT org, customer_id, {", ".join(f"count(*) FILTER (WHERE {w}) / count(*) AS pct_{c}" for c, w in _SHARES)}
+           FROM bl WHERE c IS NULL OR c <> 'accessories' GROUP BY ALL HAVING count(c) > 0),
+b_classes AS (SELECT org, customer_id, {", ".join(f"count(*) FILTER (WHERE k = '{k}') / count(*) AS pct_{k}"
+                                                 for k in ops.BEHAVIOR_CLASSES)}
+              FROM bl GROUP BY ALL HAVING count(k) > 0),
+behavior AS (SELECT * FROM b_orders LEFT JOIN b_brands USING (org, customer_id) LEFT JOIN b_cats USING (org, customer_id)
+             LEFT JOIN b_classes USING (org, customer_id))"""
+_PARTS = digits(6, "tot_discount_pct", "pct_delivery", "avg_time_between_orders", "avg_order_time",
+                *[f"pct_{c}" for c in (*ops.BEHAVIOR_CATEGORIES, *ops.BEHAVIOR_CLASSES)])
+
+
+@query(f"""SELECT b.*, s.* EXCLUDE (org, customer_id) FROM (WITH {BEHAVIOR_CTES} SELECT * FROM behavior) b
+LEFT JOIN (WITH {event_sales.SMS_CTES} {_CONVERTED}) s ON b.org = s.org AND b.customer_id = s.customer_id""",
+       digits={**digits(2, "total_purchases_usd", "total_discounts_usd"), **digits(4, "avg_order_size"), **_PARTS})
+def customer_behavior(spark, sf_dir) -> DataFrame:
+    """Orders, brands, shares and conversions of every customer."""
+    return behavior(spark, sf_dir)

@@ -1,11 +1,13 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tallyhouse.operators import campaigns, contacts, customers, extract, logs, staff
-from tallyhouse.operators.statistics import critical_t
+from tallyhouse.operators import statistics
+from tallyhouse.queries.customers import t_tail
 from tallyhouse.plans.attribution import sms_attribution
 from tallyhouse.schemas import SCHEMA_NAMES, SchemaMismatch, conform_schema, pos_schema
 from tallyhouse.sources.payloads import (parse_pos_json, read_pos_json, rejected_payloads,
@@ -18,10 +20,30 @@ def day(n):
     return T0 + dt.timedelta(days=n)
 
 
-def test_critical_t_known_values():
-    assert critical_t(10, .05) == pytest.approx(2.228139, abs=1e-6)
-    assert critical_t(1, .05) == pytest.approx(12.706205, abs=1e-5)
-    assert critical_t(120, .05) == pytest.approx(1.979930, abs=1e-6)
+def test_t_probabilities(spark):
+    # Quantiles of printed tables, and the finite sum for whole degrees of freedom.
+    known = [(2.228139, 10, .05), (12.706205, 1, .05), (1.979930, 120, .05), (2.750, 30, .01)]
+    assert all(t_tail(t, df) == pytest.approx(p, abs=1e-5) for t, df, p in known)
+    cases = [(t, df) for df in (1, 2, 3, 30, 49, 51, 52, 201, 10_000, 99_999)
+             for t in (0.0, 1e-9, 1e-3, .3, 1.0, 1.44, 1.7, 2.5, 5.0, 12.7, 40.0, 1e4)]
+    df = spark.createDataFrame(cases, "t double, df long")
+    got = df.select("t", "df", statistics.t_two_sided(F.col("t"), F.col("df")).alias("p")).collect()
+    for t, k, p in got:
+        assert p == pytest.approx(t_tail(t, k), abs=1e-9), (t, k)
+    # Far degrees of freedom come to the normal distribution; any real number is allowed.
+    far = df.limit(1).select(*[statistics.t_two_sided(F.lit(z), F.lit(1e9)).alias(str(i)) for i, z in enumerate((.5, 1.44, 3.))])
+    assert list(far.first()) == pytest.approx([math.erfc(z / math.sqrt(2)) for z in (.5, 1.44, 3.)], abs=1e-8)
+
+
+def test_slope_p_values(spark):
+    # n, sxx, syy, sxy: a perfect fit, none at all, few rows, no variation.
+    cases = [(5, 10.0, 10.0, 10.0), (300, 4.0, 9.0, 0.0), (2, 1.0, 1.0, 1.0), (9, 0.0, 1.0, 0.0), (400, 10.0, 10.0, .72), (4, 5.0, 5.0, 3.9)]
+    f = spark.createDataFrame(cases, "n long, sxx double, syy double, sxy double")
+    cols = [F.col(c) for c in ("n", "sxx", "syy", "sxy")]
+    got = [r[0] for r in f.select(statistics.slope_p_value(*cols)).collect()]
+    t = .072 / math.sqrt((1 - .072**2) / 398)
+    assert got[0] == 0 and got[1] == 1 and got[2] is None and got[3] is None and got[4] == pytest.approx(t_tail(t, 398), abs=1e-9)
+    assert [r[0] for r in f.select(statistics.slope_is_significant(*cols)).collect()] == [True, False, False, False, False, False]
 
 
 def test_discount_sensitivity_edges(spark):

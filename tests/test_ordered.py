@@ -1,3 +1,5 @@
+import math
+import struct
 import datetime as dt
 import random
 
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tallyhouse.operators import joins, ordered
-from tallyhouse.operators.quantiles import exact_percentiles
+from tallyhouse.operators.quantiles import exact_percentiles, order_bits
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +142,41 @@ def test_exact_percentiles(spark):
         np.testing.assert_allclose(found[g], np.quantile(vs, ps), rtol=1e-12, err_msg=g)
 
 
+def test_order_bits(spark):
+    tiny = 5e-324
+    values = [-math.inf, -1.7976931348623157e308, -2.0, -1.0000000000000002, -1.0, -2.2250738585072014e-308, -3 * tiny, -tiny, 0.0,
+              tiny, 2 * tiny, 2.2250738585072009e-308, 2.2250738585072014e-308, 1e-300, .1, 1.0, 1.0000000000000002, 3.0,
+              4.0 - 4e-16, 4.0, 1e22, 2.0**1023, 1.7976931348623157e308, math.inf, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(order_bits(F.col("v"))).collect()]
+    assert got == [(b if (b := struct.unpack("<q", struct.pack("<d", abs(v)))[0]) and v > 0 else -b) if v == v
+                   else (2047 << 52) + 1 for v in values]
+    rnd = np.random.default_rng(1)
+    many = np.concatenate([np.exp(rnd.uniform(-700, 700, 5000)), 2.0 ** rnd.integers(-1070, 1020, 2000)])
+    got = spark.createDataFrame([(float(v),) for v in many], "v double").select(order_bits(F.col("v"))).collect()
+    assert [r[0] for r in got] == many.view(np.int64).tolist()
+
+
+def test_percentiles_by_digits(spark):
+    rnd = np.random.default_rng(8)
+    # Neighbours in the last bit, one value for a third of the rows, both signs, very wide and infinite values.
+    close = np.nextafter(1.0, 2.0) + np.arange(200) * 2.0**-52
+    groups = {"close": close, "hot": np.r_[np.full(500, 7.5), rnd.normal(0, 1e3, 1000)], "wide": np.exp(rnd.uniform(-600, 600, 999)),
+              "signs": np.r_[-close, 0.0, -0.0, close], "ends": np.array([-math.inf, -math.inf, 0.0, math.inf]), None: np.array([2.0, 3.0])}
+    rows_ = [(g, float(v), float(-v)) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows_, "g string, v double, w double").repartition(7)
+    ps = [0.0, .01, .25, .5, .6, .98, 1.0]
+    targets = [(f"{c}{i}", c, p) for c in ("v", "w") for i, p in enumerate(ps)]
+    for r in exact_percentiles(df, ["g"], targets).collect():
+        if r["g"] == "ends":
+            assert (r["v0"], r["v2"], r["v6"]) == (-math.inf, -math.inf, math.inf)
+            continue
+        vs = groups[r["g"]]
+        np.testing.assert_allclose([r[f"v{i}"] for i in range(len(ps))], np.quantile(vs, ps), rtol=1e-13)
+        np.testing.assert_allclose([r[f"w{i}"] for i in range(len(ps))], np.quantile(-vs, ps), rtol=1e-13)
+    assert exact_percentiles(df.limit(0), ["g"], targets).count() == 0
+
+
 def test_share_of_zero_total_is_null(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("b", 3.0)], "k string, v double")
     got = ordered.share_of_total(df, ["k"], "v", "s").orderBy("k", "v").select("s").collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import distinct_days
 from ..functions.text import clean_body
 from .joins import HORIZON_HOURS
 from .reshape import stack
@@ -16,7 +17,7 @@ def campaign_delivery(messages: DataFrame, org_config: DataFrame, *, as_of: Colu
                       ) -> DataFrame:
     """Per campaign: customers, texts, billed texts, price, delivery rates.
 
-    Rolled up first per recipient and day, then per campaign and media kind
+    Rolled up first per recipient, then per campaign and media kind
     (picture messages are billed at the organisation's ratio), then per
     campaign. A recipient reached with both kinds counts once in each.
     """
@@ -24,21 +25,27 @@ def campaign_delivery(messages: DataFrame, org_config: DataFrame, *, as_of: Colu
     ok = F.col("error_code").isNull()
     sent = messages.where(F.col("sent_from_messaging_service") & F.col("campaign_id").isNotNull())
     segments, price = (F.col(c).cast("double") for c in ("num_segments", "price"))
-    per_day = sent.groupBy(*group, "to", F.to_date("date_sent").alias("day")).agg(
+    per_recipient = sent.groupBy(*group, "to").agg(
         F.bool_or(ok).alias("reached"), F.sum(F.when(ok, segments)).alias("texts"),
         F.sum(segments).alias("texts_sent"), F.min("date_sent").alias("first_text"),
         F.max("date_sent").alias("last_text"), F.sum(price).alias("price"),
-        F.max("text_length").alias("text_length"))
+        F.max("text_length").alias("text_length"),
+        F.collect_set(F.to_date("date_sent")).alias("days"))
     zero = F.lit(0.0)
-    per_kind = per_day.groupBy(*group).agg(
-        F.count_distinct(F.when(F.col("reached"), F.col("to"))).alias("customers"),
-        F.coalesce(F.sum("texts"), zero).alias("texts"),
-        F.coalesce(F.sum("texts_sent"), zero).alias("texts_sent"),
-        # Counted with a missing recipient as one, hence the outer coalesce.
-        (F.count_distinct("to") + F.max(F.when(F.col("to").isNull(), 1).otherwise(0)))
-        .alias("customers_targeted"),
+    # A row per recipient and day for the bitmap of days; a recipient's first row carries the rest.
+    rows = per_recipient.select("*", F.posexplode_outer("days").alias("i", "day"))
+    once = F.coalesce(F.col("i"), F.lit(0)) == 0
+
+    def per_head(c):
+        return F.coalesce(F.sum(F.when(once, F.col(c))), zero).alias(c)
+
+    per_kind = rows.groupBy(*group).agg(
+        F.count_if(once & F.col("reached") & F.col("to").isNotNull()).alias("customers"),
+        per_head("texts"), per_head("texts_sent"),
+        # Counted with a missing recipient as one.
+        F.count_if(once).alias("customers_targeted"),
         F.min("first_text").alias("first_text"), F.max("last_text").alias("last_text"),
-        F.count_distinct("day").alias("days"), F.coalesce(F.sum("price"), zero).alias("price"),
+        distinct_days(F.col("day")).alias("days"), per_head("price"),
         F.max("text_length").alias("text_length"))
     billed = F.when(F.col("is_mms"), F.col("mms_ratio") * F.col("texts")).when(
         ~F.col("is_mms"), F.col("texts"))

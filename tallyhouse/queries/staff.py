@@ -17,7 +17,7 @@ from .registry import AS_OF, LINES, POP, TOTALS, at, digits, query
 def _sales(spark, sf_dir) -> DataFrame:
     """Lines under the names of the order view; the seller is the order's first."""
     heads = star.order_totals(spark, sf_dir).select(
-        "order_id", "order_source", "order_type", "store", F.col("store_id").alias("store_uuid"),
+        "org_uuid", "order_id", "order_source", "order_type", "store", F.col("store_id").alias("store_uuid"),
         "order_time_local", "order_time_utc", F.concat(F.lit("sam "), "sold_by_id")
         .alias("sold_by"), "sold_by_id", "customer_id", "user_type", "phone",
         F.col("order_tot").alias("order_total"), F.col("order_disc").alias("order_discount"),
@@ -28,20 +28,20 @@ def _sales(spark, sf_dir) -> DataFrame:
 def _preorders(spark, sf_dir) -> DataFrame:
     """What customers had ordered ahead: app orders, at the price before discount."""
     o = star.order_totals(spark, sf_dir).where("order_source = 'app'")
-    return o.groupBy("store", "phone", F.to_date("order_time_local").alias("order_dt")).agg(
+    return o.groupBy("org_uuid", "store", "phone", F.to_date("order_time_local").alias("order_dt")).agg(
         F.sum("order_tot").alias("amount"), F.sum("order_subtot").alias("item_lvl_list_price"),
         F.lit(4.0).alias("item_qty"))
 
 
 _INFO = f"""WITH {TOTALS}, {LINES},
-pre AS (SELECT store, phone, CAST(order_time_local AS DATE) AS order_dt, sum(order_tot) AS amount,
+pre AS (SELECT org_uuid, store, phone, CAST(order_time_local AS DATE) AS order_dt, sum(order_tot) AS amount,
           sum(order_subtot) AS list_price, 4.0 AS item_qty
         FROM totals WHERE order_source = 'app' GROUP BY ALL),
 cnt AS (SELECT order_id, count(DISTINCT order_line_id) AS order_lines,
           count(DISTINCT product_id) AS products, count(DISTINCT brand_name) AS brands,
           count(DISTINCT raw_category_name) AS categories FROM lines GROUP BY 1),
 info AS (
-  SELECT t.order_id, t.store, t.store_id AS store_uuid, t.order_time_local, t.order_type,
+  SELECT t.org_uuid, t.order_id, t.store, t.store_id AS store_uuid, t.order_time_local, t.order_type,
     'SAM ' || t.sold_by_id AS sold_by, t.sold_by_id, t.customer_id, t.order_subtot AS order_subtotal,
     t.order_disc AS order_discount, c.order_lines, c.products, c.brands, c.categories,
     CAST(t.order_time_local AS DATE) AS order_dt,
@@ -54,7 +54,7 @@ info AS (
            WHEN pre.amount IS NOT NULL THEN 'PREORDER' ELSE 'PREORDER - NO ECOMM' END
          WHEN order_type = 'Delivery' THEN 'DELIVERY' ELSE 'OTHER' END AS channel
   FROM totals t JOIN cnt c USING (order_id)
-  LEFT JOIN pre ON pre.store = t.store AND pre.phone = t.phone
+  LEFT JOIN pre ON pre.org_uuid = t.org_uuid AND pre.store = t.store AND pre.phone = t.phone
     AND pre.order_dt = CAST(t.order_time_local AS DATE))"""
 
 
@@ -77,10 +77,10 @@ def order_info(spark, sf_dir) -> DataFrame:
 
 
 _KPIS = _INFO + """,
-recent AS (SELECT DISTINCT sold_by_id FROM info
+recent AS (SELECT DISTINCT org_uuid, sold_by_id FROM info
            WHERE CAST(order_time_local AS DATE) > DATE '2001-08-02' - 400),
 k0 AS (
-  SELECT sold_by, sold_by_id, in_eval_period, store, store_uuid, min(order_dt) AS first_dt,
+  SELECT org_uuid, sold_by, sold_by_id, in_eval_period, store, store_uuid, min(order_dt) AS first_dt,
     count(DISTINCT order_dt) AS tenure_days, count(DISTINCT order_id) AS orders,
     sum(order_subtotal) AS pretax_sales,
     count(DISTINCT order_id) FILTER (WHERE was_pickup) AS preorders,
@@ -95,14 +95,14 @@ k0 AS (
       / nullif(count(*) FILTER (WHERE channel = 'PREORDER' AND is_upsell), 0)::DOUBLE
       AS mean_upsell
   FROM info WHERE order_dt > DATE '2001-08-02' - 2000 AND order_discount <= 0
-    AND order_subtotal >= 0 AND order_type = 'Retail' AND sold_by_id IN (FROM recent)
+    AND order_subtotal >= 0 AND order_type = 'Retail' AND (org_uuid, sold_by_id) IN (SELECT (org_uuid, sold_by_id) FROM recent)
   GROUP BY ALL),
 kpis AS (SELECT * FROM (
   SELECT *, lag(orders) OVER w AS starting_vol,
     ticket_size / lag(ticket_size) OVER w - 1 AS ticket_size_chng,
     pct_disc / nullif(lag(pct_disc) OVER w, 0) - 1 AS pct_disc_chng,
     pct_upsold / nullif(lag(pct_upsold) OVER w, 0) - 1 AS pct_upsold_chng
-  FROM k0 WINDOW w AS (PARTITION BY sold_by, sold_by_id, store ORDER BY in_eval_period))
+  FROM k0 WINDOW w AS (PARTITION BY org_uuid, sold_by, sold_by_id, store ORDER BY in_eval_period))
   WHERE in_eval_period)"""
 
 
@@ -127,8 +127,8 @@ def staff_kpis(spark, sf_dir) -> DataFrame:
 
 @query(_KPIS + """,
 t AS (SELECT *, avg(ticket_size) OVER w AS mean, stddev_samp(ticket_size) OVER w AS sd
-      FROM kpis WINDOW w AS (PARTITION BY store))
-SELECT sold_by AS staff, sold_by_id AS pos_id, store, store_uuid, 'ticket_size' AS kpi,
+      FROM kpis WINDOW w AS (PARTITION BY org_uuid, store))
+SELECT org_uuid, sold_by AS staff, sold_by_id AS pos_id, store, store_uuid, 'ticket_size' AS kpi,
   ticket_size AS current_value, ticket_size_chng AS change, ticket_size / mean - 1 AS distance,
   (mean - ticket_size) * (orders - preorders) AS rev_opportunity, mean - sd AS threshold, mean
 FROM t WHERE ticket_size < mean - sd
@@ -141,7 +141,7 @@ def training_targets(spark, sf_dir) -> DataFrame:
 
 @query(_KPIS + """,
 t AS (SELECT *, avg(pct_disc) OVER w AS mean, stddev_samp(pct_disc) OVER w AS sd
-      FROM kpis WINDOW w AS (PARTITION BY store))
+      FROM kpis WINDOW w AS (PARTITION BY org_uuid, store))
 SELECT sold_by AS staff, store, pct_disc AS current_value,
   pretax_sales / 1 + mean - pretax_sales AS rev_opportunity, mean + 1.5 * sd AS threshold
 FROM t WHERE pct_disc > mean + 1.5 * sd
@@ -157,24 +157,24 @@ def _trained(spark, sf_dir) -> DataFrame:
     """Orders around courses; large orders of another channel stand for courses."""
     o = cut_lineage(_info(spark, sf_dir)).withColumn("posId", F.col("sold_by_id"))
     courses = o.where("channel = 'OTHER' AND order_subtotal > 300000").select(
-        "posId", F.col("order_id").alias("course_id"), F.col("order_time_utc").alias("done"))
+        "org_uuid", "posId", F.col("order_id").alias("course_id"), F.col("order_time_utc").alias("done"))
     return touch_both_ways(
-        o.select("posId", "order_id", "order_time_utc", "sold_by", "store", "store_uuid",
-                 "order_subtotal", "is_upsell", "preorder_change_dollars"), courses, ["posId"],
+        o.select("org_uuid", "posId", "order_id", "order_time_utc", "sold_by", "store", "store_uuid",
+                 "order_subtotal", "is_upsell", "preorder_change_dollars"), courses, ["org_uuid", "posId"],
         order_time="order_time_utc", course_time="done", course_id="course_id",
         order_tie=["order_id"], bucket="year", stage=cut_lineage)
 
 
 _DAYS = (7, 14, 30, 60, 90)
 _TRAINED = _INFO + """,
-course AS (SELECT sold_by_id, order_id AS cid, order_time_local AS done FROM info
+course AS (SELECT org_uuid, sold_by_id, order_id AS cid, order_time_local AS done FROM info
            WHERE channel = 'OTHER' AND order_subtotal > 300000),
 pairs AS (
-  SELECT i.*, (SELECT max(done) FROM course c WHERE c.sold_by_id = i.sold_by_id
-                 AND c.done < i.order_time_local) AS last_done,
-    (SELECT min(done) FROM course c WHERE c.sold_by_id = i.sold_by_id
+  SELECT i.*, (SELECT max(done) FROM course c WHERE c.org_uuid = i.org_uuid
+                 AND c.sold_by_id = i.sold_by_id AND c.done < i.order_time_local) AS last_done,
+    (SELECT min(done) FROM course c WHERE c.org_uuid = i.org_uuid AND c.sold_by_id = i.sold_by_id
        AND c.done >= i.order_time_local) AS next_done
-  FROM info i WHERE i.sold_by_id IN (SELECT sold_by_id FROM course)),
+  FROM info i WHERE (i.org_uuid, i.sold_by_id) IN (SELECT (org_uuid, sold_by_id) FROM course)),
 t AS (SELECT *, coalesce(last_done, next_done) AS course_ts_utc,
         date_diff('microsecond', last_done, order_time_local) / 86400000000.0 AS since,
         date_diff('microsecond', order_time_local, next_done) / 86400000000.0 AS until
@@ -224,26 +224,133 @@ def upsell_roi(spark, sf_dir) -> DataFrame:
     return ops.upsell_roi(_trained(spark, sf_dir), at(AS_OF), course="c1", org="demo")
 
 
-@query(f"WITH {TOTALS} " + """
-SELECT store AS facility, phone, CAST((order_time_utc AT TIME ZONE 'UTC')
-    AT TIME ZONE 'America/New_York' AS DATE) AS order_dt, sum(order_tot) AS amount,
+# The same for all courses at once: course -> figure, sensitivity, direction, bounds, organisation.
+_COURSES = {
+    "c-ticket": ("ticket_size", 0.5, "under", [("starting_vol", 2.0, None), ("walk_in_orders", 1.0, None),
+                                               ("ticket_size_chng", -1.0, 1.0)], None),
+    "c-upsell": ("pct_upsold", 0.5, "under", [("starting_vol", 1.0, None), ("preorders", 0.0, None)], None),
+    "c-discount": ("pct_disc", 1.0, "over", [], "org-1")}
+
+
+def _rules(spark) -> DataFrame:
+    return spark.createDataFrame([(org, course, kpi, sensitivity, direction, bounds) for course, (
+        kpi, sensitivity, direction, bounds, org) in _COURSES.items()], ops.RULE_DDL)
+
+
+def _rule_sql(course: str) -> str:
+    kpi, sensitivity, direction, bounds, org = _COURSES[course]
+    names = {"walk_in_orders": "orders - preorders"}
+    kept = [f"org_uuid = '{org}'"] if org else []
+    for figure, low, high in bounds:
+        kept += [f"{names.get(figure, figure)} > {low}"] if low is not None else []
+        kept += [f"{names.get(figure, figure)} < {high}"] if high is not None else []
+    sign, beyond = ("-", "<") if direction == "under" else ("+", ">")
+    worth = {"ticket_size": "(mean - ticket_size) * (orders - preorders)",
+             "pct_upsold": "(mean - pct_upsold) * preorders * mean_upsell",
+             "pct_disc": "pretax_sales / 1 + mean - pretax_sales"}[kpi]
+    return f"""
+SELECT org_uuid, '{course}' AS course_id, sold_by AS staff, sold_by_id AS pos_id, store, store_uuid, '{kpi}' AS kpi,
+  {kpi} AS current_value, {kpi}_chng AS change, {kpi} / nullif(mean, 0) - 1 AS distance, {worth} AS rev_opportunity,
+  mean {sign} {sensitivity} * sd AS threshold, mean
+FROM (SELECT *, avg({kpi}) OVER w AS mean, stddev_samp({kpi}) OVER w AS sd FROM kpis WHERE {" AND ".join(kept) or "true"}
+      WINDOW w AS (PARTITION BY org_uuid, store))
+WHERE {kpi} {beyond} mean {sign} {sensitivity} * sd"""
+
+
+@query(_KPIS + " UNION ALL ".join(map(_rule_sql, _COURSES)),
+       digits=digits(4, "current_value", "change", "distance", "rev_opportunity", "threshold", "mean"))
+def course_targets(spark, sf_dir) -> DataFrame:
+    """Training targets of every course in every organisation, rules as a table."""
+    return ops.course_targets(cut_lineage(_kpis(spark, sf_dir)), _rules(spark))
+
+
+_RESULTS = _INFO + """,
+done AS (SELECT DISTINCT org_uuid, sold_by_id, CASE WHEN CAST(order_id AS BIGINT) % 2 = 0 THEN 'c-ticket' ELSE 'c-upsell' END
+           AS course_id, order_time_local AS done FROM info WHERE channel = 'OTHER' AND order_subtotal > 200000),
+sold AS (SELECT i.*, d.course_id FROM info i JOIN (SELECT DISTINCT org_uuid, sold_by_id, course_id FROM done) d
+         USING (org_uuid, sold_by_id) WHERE was_pickup = (d.course_id = 'c-upsell')),
+pairs AS (
+  SELECT s.*, (SELECT max(done) FROM done c WHERE c.org_uuid = s.org_uuid AND c.sold_by_id = s.sold_by_id
+                 AND c.course_id = s.course_id AND c.done < s.order_time_local) AS last_done,
+    (SELECT min(done) FROM done c WHERE c.org_uuid = s.org_uuid AND c.sold_by_id = s.sold_by_id
+       AND c.course_id = s.course_id AND c.done >= s.order_time_local) AS next_done
+  FROM sold s),
+t AS (SELECT *, coalesce(last_done, next_done) AS course_ts_utc,
+        date_diff('microsecond', last_done, order_time_local) / 86400000000.0 AS since,
+        date_diff('microsecond', order_time_local, next_done) / 86400000000.0 AS until
+      FROM pairs)"""
+_RESULT_HEAD = ("org_uuid, course_id, store, store_uuid, sold_by, sold_by_id AS pos_id, course_ts_utc, "
+                "date_diff('day', CAST(course_ts_utc AS DATE), DATE '2001-08-02') AS days_since_course")
+_RESULT_KEYS = "org_uuid, course_id, sold_by, sold_by_id, course_ts_utc, store, store_uuid"
+
+
+@query(_RESULTS + f"""
+SELECT {_RESULT_HEAD}, 'ticket_size' AS kpi, {_REPORT} FROM (
+  SELECT *, {", ".join(f"n{d} AS w{d}" for d in _DAYS)} FROM (
+    SELECT {_RESULT_KEYS}, {_TICKET} FROM t WHERE course_id = 'c-ticket' GROUP BY ALL))
+UNION ALL SELECT {_RESULT_HEAD}, 'pct_upsold' AS kpi, {_REPORT} FROM (SELECT *, {_UPSOLD} FROM (
+  SELECT {_RESULT_KEYS}, {_UPSELL} FROM t WHERE course_id = 'c-upsell' GROUP BY ALL))
+""", digits=digits(4, *_NAMES))
+def course_results(spark, sf_dir) -> DataFrame:
+    """Before and after of every course in every organisation."""
+    info = cut_lineage(_info(spark, sf_dir))
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    done = info.where("channel = 'OTHER' AND order_subtotal > 200000").select(
+        "org_uuid", F.col("sold_by_id").alias("posId"), F.when(even, "c-ticket").otherwise("c-upsell").alias("course_id"),
+        F.col("order_time_utc").alias("done"))
+    return ops.course_results(info, done, _rules(spark), at(AS_OF), bucket="year", stage=cut_lineage)
+
+
+@query(f"""WITH {TOTALS}, {LINES}
+SELECT org_uuid, order_id, order_line_id, coalesce(CASE WHEN order_type <> 'Delivery' THEN order_disc END, line_sum) AS order_discount
+FROM (SELECT t.org_uuid, t.order_id, l.order_line_id, t.order_type, t.order_disc, t.store_id, t.sold_by_id, sum(l.item_discount) OVER (
+        PARTITION BY t.org_uuid, t.order_id) AS line_sum FROM lines l JOIN totals t ON l.order_id = t.order_id)
+WHERE NOT (org_uuid = 'org-2' AND CAST(sold_by_id AS BIGINT) < 20)
+  AND NOT (store_id = 'store-3' AND CAST(sold_by_id AS BIGINT) < 60)
+""", digits=digits(4, "order_discount"))
+def training_lines(spark, sf_dir) -> DataFrame:
+    """Lines without excluded staff, order discounts filled from the lines."""
+    sales = _sales(spark, sf_dir).withColumnRenamed("item_discount", "order_line_discount").withColumn(
+        "order_discount", F.when(F.col("order_type") != "Delivery", F.col("order_discount")))
+    staff = star.load(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("sold_by_id"), "s_suppkey")
+    here = sales.where("store_uuid = 'store-3' AND CAST(sold_by_id AS BIGINT) < 60")
+    excluded = staff.where("s_suppkey < 20").select(F.lit("org-2").alias("org_uuid"), F.lit(None).cast("string").alias(
+        "store_uuid"), "sold_by_id").unionByName(here.select("org_uuid", "store_uuid", "sold_by_id").distinct())
+    return ops.fill_order_discount(ops.without_excluded(sales, excluded)).select(
+        "org_uuid", "order_id", "order_line_id", "order_discount")
+
+
+_ZONES = {"org-0": "America/New_York", "org-1": "America/Los_Angeles"}
+
+
+def zone_of(org: str):
+    """Each organisation's time zone; Tokyo for the others."""
+    return F.coalesce(*[F.when(F.col(org) == o, z) for o, z in _ZONES.items()], F.lit("Asia/Tokyo"))
+
+
+_ZONE = "CASE org_uuid " + " ".join(f"WHEN '{o}' THEN '{z}'" for o, z in _ZONES.items()) + " ELSE 'Asia/Tokyo' END"
+
+
+@query(f"WITH {TOTALS} " + f"""
+SELECT org_uuid, store AS facility, phone, CAST((order_time_utc AT TIME ZONE 'UTC')
+    AT TIME ZONE {_ZONE} AS DATE) AS order_dt, sum(order_tot) AS amount,
   count(DISTINCT order_id) AS orders, count(*) AS items, sum(order_subtot) AS item_lvl_list_price,
   sum(order_subtot + order_disc) AS item_lvl_subtotal, sum(2.0::DOUBLE) AS item_qty
 FROM totals WHERE order_source = 'app' GROUP BY ALL
 """, digits={**digits(2, "amount", "item_lvl_list_price"), **digits(4, "item_lvl_subtotal"),
              **digits(1, "item_qty")})
 def preorder_summary(spark, sf_dir) -> DataFrame:
-    """Pickup orders per facility, phone and local day."""
+    """Pickup orders per facility, phone and the organisation's local day."""
     o = star.order_totals(spark, sf_dir)
     rows = o.select(
-        F.col("store").alias("facility"), "phone", F.col("order_id").alias("pickup_id"),
+        "org_uuid", F.col("store").alias("facility"), "phone", F.col("order_id").alias("pickup_id"),
         F.when(F.col("order_source") == "app", "pickup").otherwise("delivery")
         .alias("reservation_mode"), F.col("order_time_utc").alias("reservation_start_window"),
         F.col("order_tot").alias("amount"), F.lit(1).alias("items"),
         F.col("order_subtot").alias("item_lvl_list_price"),
         (F.col("order_subtot") + F.col("order_disc")).alias("item_lvl_subtotal"),
         F.lit(2.0).alias("item_qty"))
-    return ops.preorder_summary(rows)
+    return ops.preorder_summary(rows, zone_of("org_uuid"))
 
 
 @query("""

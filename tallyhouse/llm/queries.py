@@ -28,7 +28,7 @@ FOLDS = 5
 def warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a capture, read the archives back, assemble the transactions."""
     path = warc.write_captures(table(spark, sf_dir, "pages"))
-    captures = warc.transactions(warc.read_records(spark, path), payloads=False)
+    captures = warc.transactions(warc.read_records(spark, path, payloads=False), payloads=False)
     number = lambda c: F.regexp_extract(c, r"page:(-?\d+)(?:;|$)", 1).try_cast("long")
     return captures.select(
         number("capture_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),

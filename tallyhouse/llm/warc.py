@@ -22,18 +22,19 @@ An archive file is read as one row, so file size bounds a reader's memory: ``wri
 from __future__ import annotations
 
 import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import shared_folder
+from tallyhouse.llm.common import shared_folder, stored
 
 _END = "\r\n"
 RECORDS = ("file string, record_id string, warc_type string, target_uri string, date string, refers_to string, "
            "concurrent_to array<string>, content_type string, declared_digest string, headers map<string,string>, "
-           "body_at int, block binary")
+           "body_at int, payload_bytes long, payload_digest string, block binary")
 
 
 def _record(kind: str, record_id, headers: list, block):
@@ -105,7 +106,9 @@ def write_captures(pages: DataFrame, path: str | None = None, page_id: str = "pa
                        F.concat(F.lit("page-id: "), page, F.lit(_END)))
     records = base.select(F.explode(F.array(
         request, F.when(F.col("_refers_to").isNull(), response).otherwise(revisit), metadata)).alias("value"))
+    # Archives are written once and read once or twice: the fast level of gzip is the cheaper one.
     (records.write.option("lineSep", _END + _END).option("compression", compression)
+     .option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", records_per_file).text(path))
     return path
 
@@ -131,8 +134,14 @@ def parse(content: bytes) -> Iterator[tuple[dict[str, str], list[str], bytes]]:
         at = stop + 4 + size
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives under ``path``, one row each (see ``RECORDS``)."""
+_MAIN = ("response", "revisit", "resource", "conversion")
+
+
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Every record of the archives under ``path``, one row each (see ``RECORDS``).
+
+    Length and SHA-256 of each payload are taken while parsing; ``payloads=False`` leaves the blocks of captures out.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches):
@@ -141,10 +150,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for i in range(batch.num_rows):
                 file, rows, held = batch.column(0)[i].as_py(), [], 0
                 for headers, linked, block in parse(batch.column(1)[i].as_py()):
+                    at = _body(headers, block)
+                    kept = payloads or headers.get("warc-type", "").lower() not in _MAIN
                     rows.append((file, *(h.strip("<>") if (h := headers.get(f)) is not None else None for f in fields),
                                  linked, headers.get("content-type"), headers.get("warc-payload-digest"),
-                                 list(headers.items()), _body(headers, block), block))
-                    held += len(block)
+                                 list(headers.items()), at, len(block) - at, hashlib.sha256(memoryview(block)[at:]).hexdigest(),
+                                 block if kept else None))
+                    held += len(block) * kept
                     if held > 4 << 20 or len(rows) >= 1000:
                         yield _batch(rows)
                         rows, held = [], 0
@@ -162,7 +174,7 @@ def _body(headers: dict[str, str], block: bytes) -> int:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     text, names = pa.string(), [f.strip().split(" ")[0] for f in RECORDS.replace("map<string,string>", "map").split(",")]
-    kinds = [text] * 6 + [pa.list_(text), text, text, pa.map_(text, text), pa.int32(), pa.binary()]
+    kinds = [text] * 6 + [pa.list_(text), text, text, pa.map_(text, text), pa.int32(), pa.int64(), text, pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                       names=names)
 
@@ -173,14 +185,23 @@ def transactions(records: DataFrame, payloads: bool = True) -> DataFrame:
     ``response`` is a struct with the HTTP payload, its length and SHA-256 (null without a response); ``requests`` and
     ``metadata`` are arrays of structs. For a revisit, payload figures are those of the record it refers to.
     ``payloads=False`` leaves payload bytes out, so that only their length and digest are joined.
+
+    The records are written once as a table, without what is not asked for; captures, links and sources are read from it.
     """
+    folder = shared_folder(records.sparkSession)
     lower = F.lower("warc_type")
-    main = lower.isin("response", "revisit", "resource", "conversion")
+    main = lower.isin(*_MAIN)
+    if "payload_digest" not in records.columns:
+        whole = F.expr("substring(block, body_at + 1)")
+        records = records.withColumns({"payload_bytes": F.octet_length(whole).cast("long"), "payload_digest": F.sha2(whole, 256)})
+    block = F.col("block") if payloads else F.when(~main, F.col("block"))
+    records = stored(records.select("record_id", "warc_type", "target_uri", "date", "refers_to", "concurrent_to", "content_type",
+                                    "declared_digest", "body_at", "payload_bytes", "payload_digest", block.alias("block")),
+                     folder, "records")
     body = F.expr("substring(block, body_at + 1)")
     captures = records.where(main).select(
         F.col("record_id").alias("capture_id"), lower.alias("record_type"), "target_uri", "date", "refers_to",
-        *([body.alias("payload")] if payloads else []), F.octet_length(body).cast("long").alias("payload_bytes"),
-        F.sha2(body, 256).alias("payload_digest"), "declared_digest", "concurrent_to")
+        *([body.alias("payload")] if payloads else []), "payload_bytes", "payload_digest", "declared_digest", "concurrent_to")
     others = records.where(~main).select("record_id", lower.alias("kind"), "target_uri", "date", "content_type",
                                          "block", "concurrent_to")
     ids = captures.select("capture_id")
@@ -199,13 +220,15 @@ def transactions(records: DataFrame, payloads: bool = True) -> DataFrame:
     attached = placed.groupBy("capture_id").agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") == "request", part))).alias("requests"),
         F.array_sort(F.collect_list(F.when(F.col("kind") != "request", part))).alias("metadata"))
-    # Revisits take the figures of the response they refer to; few columns cross this join unless payloads are asked for.
+    # Revisits take the figures of the response they refer to. Other captures do not enter this join, and only the sources
+    # that a revisit names do, written first: a source with very many revisits is split or broadcast by its measured size.
     figures = [c for c in ("payload", "payload_bytes", "payload_digest") if c in captures.columns]
-    source = captures.where("record_type != 'revisit'").groupBy(F.col("capture_id").alias("refers_to")).agg(
-        *[F.first(c).alias(f"_{c}") for c in figures])
-    full = captures.join(source, "refers_to", "left")
-    seen = F.col("record_type") == "revisit"
-    full = full.withColumns({c: F.when(seen & F.col("_payload_bytes").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c))
-                             for c in figures})
+    again = F.col("record_type") == "revisit"
+    wanted = captures.where(again).select(F.col("refers_to").alias("capture_id")).distinct()
+    source = stored(captures.where(~again).join(wanted, "capture_id", "left_semi").groupBy(
+        F.col("capture_id").alias("refers_to")).agg(*[F.first(c).alias(f"_{c}") for c in figures]), folder, "sources")
+    revisits = captures.where(again).join(source, "refers_to", "left").withColumns({
+        c: F.when(F.col("_payload_bytes").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)) for c in figures})
+    full = captures.where(~again).unionByName(revisits.select(captures.columns))
     response = F.struct("record_type", "target_uri", "date", "refers_to", *figures, "declared_digest").alias("response")
     return full.select("capture_id", response).join(attached, "capture_id", "full")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import text_bytes
+from tallyhouse.llm.common import row_key, shared_folder, stored, text_bytes
 
 # A-Z to a-z; every ASCII byte that is no word character to a space. Bytes from 0x80 on are word characters.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -115,37 +115,49 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     items = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(item_text).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-size // broadcast_bytes))
+    rows = docs.drop(*ADDED.names)
+    if blocks > 1:
+        rows = rows.withColumns(dict(zip(_KEYS, row_key(text), strict=True)))
     parts = []
     for block in range(blocks):
         mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         grams = NgramSet([(r[0], (r[1] or "").encode()) for r in mine.toLocalIterator()], n)
-        parts.append(_scan(docs, text, spark.sparkContext.broadcast(grams)))
-    out = parts[0]
-    if blocks > 1:
-        out = _merged(docs, parts)
+        parts.append(_scan(rows if not parts else rows.select(text, *_KEYS), text, spark.sparkContext.broadcast(grams)))
+    out = parts[0] if blocks == 1 else _merged(parts)
     bad = (F.col("n_hit") > 0) & (per_hit * F.col("n_hit") >= F.col("n_words"))
     return out.withColumn("contaminated", bad)
 
 
-def _merged(docs: DataFrame, parts: list[DataFrame]) -> DataFrame:
-    """Union the hits that each block of items has on the same document."""
-    names = [c for c in docs.columns if c not in ADDED.names]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    struct = ",".join(f"`{c}`" for c in names)
-    key = F.sha2(F.to_json(F.expr(f"struct({struct})"), {"ignoreNullFields": "false"}), 256)
-    every = F.flatten(F.transform("spans", lambda s: F.sequence(s["first_word"], s["end_word"] - 1)))
-    grouped = stacked.withColumn("_key", key).withColumn("_at", every).groupBy("_key").agg(
-        *[F.first(c).alias(c) for c in names], F.first("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_at")))).alias("_at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count("*") / F.lit(len(parts))).cast("int").alias("_times"))
-    firsts = F.filter("_at", lambda x: ~F.array_contains("_at", x - 1))
-    lasts = F.filter("_at", lambda x: ~F.array_contains("_at", x + 1))
-    spans = F.zip_with(firsts, lasts, lambda a, b: F.struct(a.alias("first_word"), (b + 1).alias("end_word")))
-    return grouped.select(*names, "n_words", F.size("_at").cast("long").alias("n_hit"), "items", spans.cast(_SPANS).alias("spans"),
-                          F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_n")).drop("_n")
+#: Two hashes that stand for a text while the hits of several blocks are put together.
+_KEYS = ("first key of the text", "second key of the text")
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """Add the hits that the further blocks of items have on the same text.
+
+    Hits depend on the text alone: rows go through the first scan as they are and take the other blocks' hits by its key. Copies
+    of a text give one and the same entry, removed before the shuffle.
+    """
+    out, others = parts[0], None
+    for i, part in enumerate(parts[1:], 1):
+        hits = part.where("n_hit > 0").select(*_KEYS, F.struct(F.lit(i).alias("block"), "items", "spans").alias("_h"))
+        others = hits if others is None else others.unionByName(hits)
+    folder = shared_folder(out.sparkSession)
+    others = stored(others.groupBy(*_KEYS).agg(F.collect_set("_h").alias("hits of other blocks")), folder, "hits")
+    found = out.join(others, list(_KEYS), "left").withColumn("hits of other blocks", F.coalesce("hits of other blocks", F.array()))
+    spans = F.array_sort(F.flatten(F.concat(F.array("spans"), F.transform("hits of other blocks", lambda h: h["spans"]))))
+
+    def add(done, s):
+        last = F.element_at(done, -1)
+        longer = F.struct(last["first_word"].alias("first_word"), F.greatest(last["end_word"], s["end_word"]).alias("end_word"))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end_word"] >= s["first_word"]), F.concat(
+            F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(done, F.array(s)))
+
+    found = found.withColumns({
+        "spans": F.aggregate(spans, F.array().cast(_SPANS), add),
+        "items": F.array_sort(F.array_distinct(F.flatten(F.concat(F.array("items"), F.transform("hits of other blocks", lambda h: h["items"])))))})
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["first_word"])
+    return found.withColumn("n_hit", words).drop("hits of other blocks", *_KEYS).select(*[c for c in out.columns if c not in _KEYS])
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

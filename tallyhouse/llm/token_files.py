@@ -4,7 +4,7 @@
 ``tokenizers`` library, appends the end id and writes ``(key, n_tokens, offset in the file, tokens, + metadata columns)`` through
 Spark's Parquet writer: data page version 2, small metadata columns with dictionaries, token lists delta-encoded (or with a
 dictionary), row groups and pages of a stated size, and the column and page indexes that let a reader skip pages by key.
-The files of one write are in ascending key order by name. ``read_tokens`` reads them back and derives the global start
+The files of one write are in ascending key order by the task number in their names. ``read_tokens`` reads them back and derives the global start
 of each document from file totals and the offset stored with it, so a reader can ask for starts without reading
 the token column, or for the tokens of a key range without reading the other pages.
 
@@ -164,8 +164,10 @@ def read_tokens(spark, path: str, *columns: str, broadcast_files: int = 100_000)
     rows = rows.select(*names, "offset", at)
     light = spark.read.parquet(path).select("n_tokens", "offset", at)
     totals = light.groupBy("_file").agg(F.sum("n_tokens").alias("_ids"), F.min("offset").alias("_first"))
-    # One row per file, in name order, which is key order.
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file. Key order is the order of the tasks' numbers in the names (as numbers: 100000 comes after 99999).
+    number = lambda pattern: F.regexp_extract("_file", pattern, 1).try_cast("long")
+    before = Window.orderBy(number(r"part-(\d+)[^/]*$"), number(r"-c(\d+)\.[^/]*$"), "_file").rowsBetween(
+        Window.unboundedPreceding, -1)
     totals = totals.select("_file", (F.coalesce(F.sum("_ids").over(before), F.lit(0)) - F.col("_first")).alias("_base"))
     if len(rows.inputFiles()) <= broadcast_files:
         totals = F.broadcast(totals)

@@ -8,6 +8,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tallyhouse.llm import (
     decontaminate,
@@ -117,6 +119,10 @@ def test_contamination_against_brute_force(spark, odd_docs, broadcast):
         assert sum(s["end_word"] - s["first_word"] for s in r["spans"]) == hit
     kept = decontaminate.without_contaminated(odd_docs, bench)
     assert kept.columns == odd_docs.columns
+    # Rows pass through as they are, whatever the number of blocks: equal texts with times a microsecond apart stay two rows.
+    twins = spark.sql("SELECT 'theta iota kappa and more' AS text, timestamp_micros(1000000 + id) AS at, 1 AS n_hit, id AS `_hits` FROM range(2)")
+    got = decontaminate.contamination(twins, bench, broadcast_bytes=broadcast)
+    assert {r["at"].microsecond for r in got.collect()} == {0, 1} and got.columns[:3] == ["text", "at", "_hits"]
     assert decontaminate.contamination(odd_docs.limit(0), bench.limit(0)).count() == 0
 
 
@@ -280,6 +286,18 @@ def test_token_files_round_trip(spark, odd_docs):
     assert token_files.read_tokens(spark, empty).count() == 0
 
 
+def test_token_files_of_very_many_tasks(spark, tmp_path):
+    """Files are in the order of their tasks' numbers, also beyond the five digits that Spark pads them to."""
+    names = ["part-99999-x-c000.zstd.parquet", "part-99999-x-c001.zstd.parquet", "part-99999-x-c1000.zstd.parquet",
+             "part-100000-x-c000.zstd.parquet", "part-1000000-x-c000.zstd.parquet"]
+    (tmp_path / "tokens").mkdir()
+    for i, name in enumerate(names):
+        pq.write_table(pa.table({"doc_id": pa.array([i], pa.int64()), "n_tokens": pa.array([i + 1], pa.int64()), "offset": pa.array([0], pa.int64()),
+                                 "tokens": pa.array([[7] * (i + 1)], pa.list_(pa.int32()))}), str(tmp_path / "tokens" / name))
+    rows = token_files.read_tokens(spark, str(tmp_path / "tokens")).orderBy("doc_id").collect()
+    assert [r["start"] for r in rows] == [0, 1, 3, 6, 10]
+
+
 def test_licenses(spark, odd_docs):
     noise = "thing ouble erent the of and anre tion shea "
     rows = [(1, noise + "\nReleased under the MIT License.", "mit"), (2, "This work is licensed under the GNU General Public License, version 3.", "gpl"),

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 from collections import ChainMap, Counter
 from dataclasses import dataclass, field
 
@@ -151,10 +152,18 @@ def train(texts: list[str], labels: list[int], width: int = 16, state: int = 8,
           rate: float = 0.02, drop: float = 0.15, noise: float = 0.02, most_words: int = 8000, most_pieces: int = 8000, seed: int = 5) -> Model:
     """Fit the network on labelled texts, for ``epochs`` passes but at least ``steps`` gradient steps."""
     rng = np.random.default_rng(seed)
-    docs = [words(t) for t in texts]
-    seen = Counter(w for d in docs for w in set(d))
+    # Texts become word numbers at once; windows are views of them.
+    number: dict[str, int] = {}
+    ids, held = [], Counter()
+    for text in texts:
+        d = np.array([number.setdefault(w, len(number)) for w in words(text)], np.int32)
+        held.update(np.unique(d).tolist())
+        ids.append(d)
+    vocab = list(number)
+    seen = {w: held[i] for i, w in enumerate(vocab)}
+    del held
     word_ids = {w: i for i, (w, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:most_words]) if n > 2}
-    chars = Counter(c for w in seen for c in pieces(w))
+    chars = Counter(c for w in vocab for c in pieces(w))
     piece_ids = {c: i for i, (c, n) in enumerate(sorted(chars.items(), key=lambda x: (-x[1], x[0]))[:most_pieces]) if n > 2}
     f = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
     p = {"Ew": noise * f(len(word_ids) + 1, width) * np.sqrt(len(word_ids) + 1), "Ec": noise * f(len(piece_ids) + 1, width)
@@ -163,32 +172,34 @@ def train(texts: list[str], labels: list[int], width: int = 16, state: int = 8,
     p |= {n: np.zeros(s, np.float32) for n, s in (("a0", 3 * state), ("a1", 3 * state), ("c0", state), ("c1", state))}
     p = {k: v.astype(np.float32) for k, v in p.items()}
     model = Model(word_ids, piece_ids, p)
-    vocab = list(seen)
-    number = {w: i for i, w in enumerate(vocab)}
-    of_word = np.array([word_ids.get(w, len(word_ids)) for w in vocab] + [len(word_ids)])
-    lists = [[piece_ids[c] for c in pieces(w) if c in piece_ids] for w in vocab] + [[]]
-    flat = np.array([c for x in lists for c in x], np.int64)
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    share = (1 / np.maximum(np.array([len(x) for x in lists]), 1)).astype(np.float32)
+    of_word = np.array([word_ids.get(w, len(word_ids)) for w in vocab] + [len(word_ids)], np.int32)
+    flat, sizes = array("i"), array("i")
+    for w in vocab:
+        found = [piece_ids[c] for c in pieces(w) if c in piece_ids]
+        flat.extend(found)
+        sizes.append(len(found))
+    flat, sizes = np.array(flat, np.int32), np.array([*sizes, 0], np.int32)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    share = (1 / np.maximum(sizes, 1)).astype(np.float32)
     none = len(vocab)
-    ids = [np.array([number[w] for w in d] or [none]) for d in docs]
     p["Ew"][len(word_ids)] = 0
-    windows = []
-    for d in ids:
-        rows = np.full((len(starts(len(d))), WINDOW), none)
-        for j, s in enumerate(starts(len(d))):
-            part = d[s:s + WINDOW]
-            rows[j, :len(part)] = part
-        windows.append(rows)
-    first = np.r_[0, np.cumsum([len(r) for r in windows])]
-    stacked = np.concatenate(windows)
+    padded = [np.r_[d, np.full(max(WINDOW - len(d), 0), none, np.int32)] for d in ids]
+    begin = np.r_[0, np.cumsum([len(d) for d in padded])]
+    opens = [np.array(starts(len(d)), np.int64) + at for d, at in zip(ids, begin, strict=False)]
+    first, opens, ids = np.r_[0, np.cumsum([len(o) for o in opens])], np.concatenate(opens), np.concatenate(padded)
+    del padded, number, seen
+
+    def window(at: np.ndarray) -> np.ndarray:
+        return ids[opens[at][:, None] + _SPREAD].T
+
     y = np.array(labels, np.float32)
     grads2 = {k: np.zeros_like(v) for k, v in p.items()}
     picked = len(y) + int((y == 0).sum())
     for _ in range(max(epochs, -(-steps * min(batch, picked) // picked))):
         table = _gate_table(p, of_word, flat, owner, share)
-        logit = np.concatenate([window_logits(table[stacked[a:a + 4096].T], stacked[a:a + 4096].T != none, p)
-                                for a in range(0, len(stacked), 4096)])
+        logit = np.concatenate([window_logits(table[w], w != none, p) for a in range(0, len(opens), 4096)
+                                if (w := window(np.arange(a, min(a + 4096, len(opens))))) is not None])
+        del table
         # A toxic text trains its worst window; a clean one its worst and a random one.
         worst = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(first, first[1:], strict=False)])
         other = first[:-1] + (rng.random(len(y)) * np.diff(first)).astype(int)
@@ -197,7 +208,7 @@ def train(texts: list[str], labels: list[int], width: int = 16, state: int = 8,
         order = rng.permutation(len(pick))
         for a in range(0, len(order), batch):
             at = order[a:a + batch]
-            w = stacked[pick[at]].T
+            w = window(pick[at])
             w = np.where(rng.random(w.shape) < drop, none, w)  # words left out at random: no single one may decide
             used, back = np.unique(w, return_inverse=True)
             x, parts = _vectors(p, used, of_word, flat, owner, share)
@@ -225,9 +236,10 @@ def _vectors(p, used, of_word, flat, owner, share):
     return x * share[used][:, None] + p["Ew"][of_word[used]], (place, row)
 
 
-def _gate_table(p, of_word, flat, owner, share):
-    x, _ = _vectors(p, np.arange(len(of_word)), of_word, flat, owner, share)
-    return _gates(x, p)
+def _gate_table(p, of_word, flat, owner, share, block: int = 20_000):
+    """Gate inputs of all words, a block at a time: the vectors of a block's pieces are many times larger than they are."""
+    return np.concatenate([_gates(_vectors(p, np.arange(a, min(a + block, len(of_word))), of_word, flat, owner, share)[0], p)
+                           for a in range(0, len(of_word), block)])
 
 
 def _gates(x, p):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Stage, lazily
-from .ordered import Bucket, fill_ordered, latest_row, number_rows
+from .ordered import Bucket, fill_both_ways, fill_ordered, latest_row, number_rows
 
 def left_join_sparse(left: DataFrame, right: DataFrame, keys: list[str], sparse_key: str,
                      spread_by: list[str]) -> DataFrame:
@@ -104,8 +104,10 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
     ``touch_columns`` maps output column -> touch column. Both sides are stacked
     and sorted by time with orders first, so a touch at the same instant does
     not count. Columns are filled one by one and each skips its own NULLs: they
-    may come from different touches.
+    may come from different touches. What crosses a time bucket is found from keys, times and touches alone;
+    ``stage`` holds the touches, which are read twice.
     """
+    touches = stage(touches)
     ties = [f"__tie_{i}" for i in range(max(len(order_tie), len(touch_tie)))]
 
     def tie_columns(names):
@@ -118,7 +120,7 @@ def last_touch(orders: DataFrame, touches: DataFrame, keys: list[str], *, order_
                            *tie_columns(touch_tie),
                            *[F.col(src).alias(f"__src_{new}")
                              for new, src in touch_columns.items()])
-    stacked = stage(left.unionByName(right, allowMissingColumns=True))
+    stacked = left.unionByName(right, allowMissingColumns=True)
     filled = fill_ordered(stacked, keys, ["__time", "__side", *ties],
                           {new: f"__src_{new}" for new in touch_columns}, bucket=bucket)
     return filled.where(F.col("__side") == 0).select(*orders.columns, *touch_columns)
@@ -132,8 +134,8 @@ def touch_both_ways(orders: DataFrame, courses: DataFrame, keys: list[str], *, o
     Here an order and a course at the same instant see each other in stacking
     order: the course is after the order. Only staff with any course stay.
     """
-    numbered = number_rows(courses.select(*keys, course_id, course_time).distinct(), keys,
-                           [course_time, course_id], "n_course", bucket=bucket)
+    numbered = stage(number_rows(courses.select(*keys, course_id, course_time).distinct(), keys,
+                                 [course_time, course_id], "n_course", bucket=bucket))
     ties = [f"__tie_{i}" for i in range(len(order_tie) or 1)]
     left = orders.select("*", F.col(order_time).alias("__time"), F.lit(0).alias("__side"),
                          *[F.col(c).cast("string").alias(t) for c, t in zip(order_tie, ties)])
@@ -142,14 +144,11 @@ def touch_both_ways(orders: DataFrame, courses: DataFrame, keys: list[str], *, o
                             F.col(course_id).alias("__c_id"), F.col(course_time).alias("__c_ts"),
                             F.col("n_course").alias("__c_n"))
     order_by = ["__time", "__side", *ties]
-    stacked = stage(left.unionByName(right, allowMissingColumns=True))
-    back = stage(fill_ordered(
+    stacked = left.unionByName(right, allowMissingColumns=True)
+    both = fill_both_ways(
         stacked, keys, order_by,
-        {"last_course_id": "__c_id", "last_course_completed_utc": "__c_ts",
-         "last_n_course": "__c_n"}, bucket=bucket))
-    both = fill_ordered(back, keys, order_by,
-                        {"next_course_id": "__c_id", "next_course_completed_utc": "__c_ts",
-                         "next_n_course": "__c_n"}, direction="up", bucket=bucket)
+        {"last_course_id": "__c_id", "last_course_completed_utc": "__c_ts", "last_n_course": "__c_n"},
+        {"next_course_id": "__c_id", "next_course_completed_utc": "__c_ts", "next_n_course": "__c_n"}, bucket=bucket)
     day = F.lit(86_400_000_000)
     event, last, nxt = (F.unix_micros(F.col(c)) for c in
                         ("__time", "last_course_completed_utc", "next_course_completed_utc"))

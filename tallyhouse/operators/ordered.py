@@ -84,6 +84,50 @@ def fill_ordered(df: DataFrame, keys: list[str], order_by: list[str], fills: dic
             .where(_REAL).drop(_REAL))
 
 
+def fill_both_ways(df: DataFrame, keys: list[str], order_by: list[str], down: dict[str, str], up: dict[str, str], *,
+                   bucket: Bucket | None = "month") -> DataFrame:
+    """``fill_ordered`` in both directions from one shuffle and one sort, each row's own value included.
+
+    One carry row per bucket, before the bucket's rows, holds what comes into it from either side: the last known values of
+    earlier buckets for ``down``, the first of later ones for ``up``. NULL order values come first.
+    """
+    spread = [F.lit(None).cast("string").alias(_BUCKET)] if bucket is None else [_bucket_of(order_by[0], bucket).alias(_BUCKET)]
+    position = F.struct(*order_by)
+
+    def known(src):
+        return F.when(F.col(src).isNotNull(), position)
+
+    rows = df.select("*", *spread, F.lit(True).alias(_REAL), *[F.col(src).alias(f"__d_{n}") for n, src in down.items()],
+                     *[F.col(src).alias(f"__u_{n}") for n, src in up.items()])
+    if bucket is not None:
+        edges = df.withColumn(_BUCKET, spread[0]).groupBy(*keys, _BUCKET).agg(
+            *[F.max_by(F.col(src), known(src)).alias(f"__d_{n}") for n, src in down.items()],
+            *[F.min_by(F.col(src), known(src)).alias(f"__u_{n}") for n, src in up.items()])
+        # Few rows: one per key and bucket.
+        w = Window.partitionBy(*keys)
+        before = w.orderBy(F.col(_BUCKET).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+        after = w.orderBy(F.col(_BUCKET).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        carried = edges.select(*keys, _BUCKET, F.lit(False).alias(_REAL),
+                               *[F.last(f"__d_{n}", ignorenulls=True).over(before).alias(f"__d_{n}") for n in down],
+                               *[F.last(f"__u_{n}", ignorenulls=True).over(after).alias(f"__c_{n}") for n in up])
+        rows = rows.unionByName(carried, allowMissingColumns=True)
+    else:
+        rows = rows.select("*", *[F.lit(None).cast(df.schema[src].dataType).alias(f"__c_{n}") for n, src in up.items()])
+    spec = Window.partitionBy(*keys, _BUCKET).orderBy(F.col(_REAL).asc(), *[F.col(c).asc() for c in order_by])
+    so_far = spec.rowsBetween(Window.unboundedPreceding, 0)
+
+    def quoted(c):
+        return "`" + c.replace("`", "``") + "`"
+
+    # The next known value by offset: a frame that runs to the end would be folded anew for every row.
+    over = (f"OVER (PARTITION BY {', '.join(map(quoted, [*keys, _BUCKET]))} "
+            f"ORDER BY {', '.join(map(quoted, [_REAL, *order_by]))})")
+    filled = rows.select("*", *[F.last(f"__d_{n}", ignorenulls=True).over(so_far).alias(n) for n in down], *[
+        F.coalesce(F.col(f"__u_{n}"), F.expr(f"lead({quoted('__u_' + n)}) IGNORE NULLS {over}"),
+                   F.last(f"__c_{n}", ignorenulls=True).over(so_far)).alias(n) for n in up])
+    return filled.where(_REAL).select(*df.columns, *down, *up)
+
+
 def number_rows(df: DataFrame, keys: list[str], order_by: list[str], name: str, *,
                 bucket: Bucket | None = "month") -> DataFrame:
     """Running number 1, 2, 3 … of each key's rows in order."""

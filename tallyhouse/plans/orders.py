@@ -9,7 +9,8 @@ from ..functions.dates import minutes_between
 from ..functions.orders import strain_class
 from ..functions.people import full_name
 from ..functions.text import brand_from_title
-from ..operators.ordered import fill_ordered, is_first_day, latest_row, number_rows
+from ..operators.ordered import fill_both_ways, is_first_day, latest_row, number_rows
+from ..session import Stage, lazily
 
 
 def order_dashboard(population: DataFrame, zip_city: DataFrame, *, org: str = "org"
@@ -43,7 +44,7 @@ _LEFT_OUT = ["Cancelled", "Declined", "Rejected", "Returned"]
 
 def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFrame, *,
                          org: str, source_system: str, row: str = "row_no",
-                         rows_per_bucket: int = 100_000) -> DataFrame:
+                         rows_per_bucket: int = 100_000, stage: Stage = lazily) -> DataFrame:
     """Order lines from an exported file in which headers stand on one row only.
 
     ``row`` numbers the file's rows. Order fields are filled down, totals up,
@@ -53,12 +54,10 @@ def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFr
     """
     down = {f"__{c}": c for c in _DOWN if c in raw.columns}
     up = {f"__{c}": c for c in _UP if c in raw.columns}
-    filled = fill_ordered(raw, ["run_date_utc"], [row], down, bucket=rows_per_bucket)
-    filled = fill_ordered(filled, ["run_date_utc"], [row], up, direction="up",
-                          bucket=rows_per_bucket)
+    filled = fill_both_ways(raw, ["run_date_utc"], [row], down, up, bucket=rows_per_bucket)
     filled = filled.withColumns({src: F.col(new) for new, src in {**down, **up}.items()})
     filled = filled.drop(*down, *up).where(F.col("qty").isNotNull())
-    lines = latest_row(filled, ["order_number", "product"], ["created_at", row])
+    lines = stage(latest_row(filled, ["order_number", "product"], ["created_at", row]))
     lines = lines.where(~F.coalesce(F.col("status"), F.lit("")).isin(_LEFT_OUT))
     names = latest_row(patients, ["first_name", "last_name"], ["total_completed_orders"])
     ids = names.select(F.concat_ws(" ", "first_name", "last_name").alias("patient"),

@@ -205,7 +205,7 @@ def horizon_flags(spark, sf_dir) -> DataFrame:
     """Orders within one day to one month of the message before."""
     return sms_attribution(event_sales.messages(spark, sf_dir),
                            event_sales.campaigns(spark, sf_dir),
-                           event_sales.population(spark, sf_dir), line_columns=[]).select(
+                           event_sales.population(spark, sf_dir), line_columns=[], stage=cut_lineage).select(
         "customer_id", "order_id", *[f"is_{h}" for h in joins.HORIZON_HOURS])
 
 

@@ -448,6 +448,6 @@ def flatfile_order_lines(spark, sf_dir) -> DataFrame:
                         F.lit(1).alias("total_completed_orders"))
     cats = p.select(F.lower("p_type").alias("raw_category_name"),
                     F.col("p_type").alias("product_category_name")).distinct()
-    return flatfile(raw, patients, cats, org="demo", source_system="file").select(
+    return flatfile(raw, patients, cats, org="demo", source_system="file", stage=cut_lineage).select(
         "order_id", "order_line_id", "product_name", "brand_name", "product_qty",
         "order_line_list_price", "customer_id", "product_category_name")

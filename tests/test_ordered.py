@@ -187,3 +187,21 @@ def test_group_stats_null_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 3)], "k string, v int")
     assert rows(ordered.with_group_stats(df, ["k"], F.max("v").alias("m")), "v", "m") == [
         (1, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("bucket", [None, 3, 1000])
+def test_fill_both_ways_equals_two_fills(spark, bucket):
+    rnd = random.Random(bucket)
+    data = [(rnd.choice(["a", "b", None]), t if rnd.random() > .02 else None, i, rnd.choice([None, None, None, f"v{i}"]), rnd.choice([None, None, i]))
+            for i, t in enumerate(rnd.randrange(60) for _ in range(300))]
+    df = spark.createDataFrame(data, "k string, t int, i int, x string, y int")
+    args = (df, ["k"], ["t", "i"])
+    got = ordered.fill_both_ways(*args, {"x_before": "x"}, {"x_after": "x", "y_after": "y"}, bucket=bucket)
+    assert got.columns == ["k", "t", "i", "x", "y", "x_before", "x_after", "y_after"]
+    want = {}
+    for key in {r[0] for r in data}:
+        rows_ = sorted((r for r in data if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for n, r in enumerate(rows_):
+            first = lambda part, c: next((v[c] for v in part if v[c] is not None), None)
+            want[r[2]] = (first(rows_[n::-1], 3), first(rows_[n:], 3), first(rows_[n:], 4))
+    assert {r["i"]: (r["x_before"], r["x_after"], r["y_after"]) for r in got.collect()} == want

@@ -1,13 +1,17 @@
-"""N-gram Jaccard join: MinHash banding candidates, exact verification, groups and link counts.
+"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact verification, groups and link counts.
 
 1. Every text becomes its set of word n-grams (64-bit hashes; a text of fewer words is one n-gram). Texts with equal
-   sets are copies and enter once, so the size of a group of copies costs nothing later.
-2. Each set gets ``trees`` MinHash labels. Two sets meet if the first ``level`` values of a label agree; this one depth
-   follows from ``trees``, ``depth`` (the most), ``threshold`` and ``recall`` alone: it is the longest at which sets of
-   the wanted similarity meet in at least one label with probability ``recall``. This fixed-depth banding stands in for
-   an LSH forest; no prefix tries are built. Sets with the prefix in common form a bucket; each links to the bucket's smallest
-   member (a star, never all pairs), and connected buckets are the candidate groups.
-3. Inside a candidate group all sets are compared exactly, in pairs of blocks of at most ``block`` sets, so that no task
+   sets are copies; they meet at once as equal sets, so the size of a group of copies costs nothing later.
+2. Each set gets a label of ``depth`` MinHash values (16 bits of each) in every one of ``trees`` prefix tries. A trie is its labels in sorted
+   order: one range sort puts all tries in order, and each label's longest matched prefixes are those with its neighbours. A
+   neighbour pair with a common prefix is an edge of that length; a trie node's sets are a run of edges, so a node of any size is
+   linked by one edge per set. Ranges are cut anywhere, their ends are put together from two rows a range.
+3. Matching starts with whole labels: sets connected by edges of full length are candidate groups, verified as below. Then
+   prefixes are shortened by one value, and groups that grew are verified anew, until the recall is reached. A verified link
+   of similarity s would have been met at length d by 1 - (1 - s^d)^trees of such pairs, so each stands for
+   so many missed ones; the estimate of all missed links decides (chance meetings through third sets only make it too
+   cautious). The shortest length ever needed is the one at which links at the threshold itself are met with that recall.
+4. Inside a candidate group all sets are compared exactly, in pairs of blocks of at most ``block`` sets, so that no task
    holds a group. A block pair gives each set's number of links and a spanning forest of the links: rows stay in
    proportion to sets and blocks. The links' components are the classes.
 
@@ -23,7 +27,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import row_key, shared_folder, stored
@@ -69,7 +73,7 @@ def level(threshold: float, trees: int, depth: int, recall: float) -> int:
 
 
 def _signatures(n: int, trees: int, depth: int, seed: int = 3):
-    """Per text: set digest (two longs), set size, and for each tree the hash of its label's prefix."""
+    """Per text: set digest (two longs), set size, and its label in each tree, two bytes a value."""
     values = _scramble(np.arange(1, trees * depth + 1, dtype=np.uint64) * _MIX + np.uint64(seed)) | np.uint64(1)
 
     def run(batches):
@@ -77,32 +81,90 @@ def _signatures(n: int, trees: int, depth: int, seed: int = 3):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                rows = []
+                rows, labels = [], []
                 for text in part.column(part.num_columns - 1):
                     s = shingles(text.as_py(), n, known)
                     if not len(s):
-                        rows.append((None, None, 0, None))
+                        rows.append((None, None, 0, 0))
                         continue
                     low = np.full(len(values), np.iinfo(np.uint64).max, np.uint64)
                     for a in range(0, len(s), 256):  # minima of products with odd numbers, a cache-sized piece at a time
                         low = np.minimum(low, (s[a:a + 256, None] * values).min(0))
-                    label = low.reshape(trees, depth)
-                    key = np.arange(trees, dtype=np.uint64) + np.uint64(1)
-                    for d in range(depth):
-                        key = _scramble(key * _MIX + label[:, d])
+                    labels.append((_scramble(low) >> np.uint64(48)).astype(">u2").tobytes())
                     digest = _scramble(s), _scramble(s * _MIX + np.uint64(7))
                     one, two = (int(np.add.reduce(x, dtype=np.uint64).astype(np.int64)) for x in digest)
-                    rows.append((one, two, len(s), key.astype(np.int64)))
-                s1, s2, size, keys = zip(*rows, strict=True)
+                    rows.append((one, two, len(s), trees))
+                s1, s2, size, counts = zip(*rows, strict=True)
+                flat = pa.Array.from_buffers(pa.binary(2 * depth), trees * len(labels), [None, pa.py_buffer(b"".join(labels))])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), flat.cast(pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(keys, pa.list_(pa.int64()))],
+                    [*part.columns[:-1], pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(size, pa.int64()), lists],
                     names=[*part.schema.names[:-1], "s1", "s2", "n_grams", "labels"])
     return run
 
 
-def _compare(threshold: float, n: int):
-    """Exact links between the sets of one pair of blocks: rows (set, other, links, edge)."""
+def _neighbours(depth: int, least: int):
+    """Edges between neighbours of sorted (tree, label, id) rows: ``u, v, common`` for ``common`` of at least ``least`` values.
+
+    The first and the last row of the partition come out too, for the edges between partitions.
+    """
+    def run(batches):
+        from pyspark import TaskContext
+        part, last = TaskContext.get().partitionId(), None
+        for batch in batches:
+            tree, ids = batch.column(0).to_numpy().astype(np.int64), batch.column(2).to_numpy()
+            label = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u2").reshape(-1, depth)
+            if last is None and len(ids):
+                yield _ends(part, 1, tree[0], label[0], ids[0])
+            elif len(ids):
+                tree, label, ids = np.r_[last[0], tree], np.concatenate([last[1], label]), np.r_[last[2], ids]
+            if not len(ids):
+                continue
+            same = (tree[1:] == tree[:-1])[:, None] & (label[1:] == label[:-1])
+            common = np.cumprod(same, axis=1).sum(1)
+            keep = (common >= least) & (ids[1:] != ids[:-1])
+            u, v = ids[1:][keep], ids[:-1][keep]
+            none = pa.nulls(len(u))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(common[keep].astype(np.int32)),
+                none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], names=_EDGE_NAMES)
+            last = tree[-1:], label[-1:], ids[-1:]
+        if last is not None:
+            yield _ends(part, 2, last[0][0], last[1][0], last[2][0])
+    return run
+
+
+_EDGES = "u long, v long, common int, part int, place int, tree int, label binary"
+_EDGE_NAMES = ["u", "v", "common", "part", "place", "tree", "label"]
+
+
+def _ends(part, place, tree, label, set_id) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array([set_id], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.array([part], pa.int32()),
+        pa.array([place], pa.int32()), pa.array([tree], pa.int32()), pa.array([label.tobytes()], pa.binary())], names=_EDGE_NAMES)
+
+
+def forest(member: DataFrame, depth: int, least: int, folder: str) -> DataFrame:
+    """``u, v, common``: the edges of the sorted prefix tries of ``id, labels``, with the most values in common."""
+    rows = member.select("id", F.posexplode("labels").alias("tree", "label")).select("tree", "label", "id")
+    order = ("tree", "label", "id")
+    raw = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(depth, least), _EDGES),
+                 folder, "tries")
+    # Two rows a partition, in order: the last row of one and the first of the next are neighbours.
+    w = Window.orderBy("part", "place")
+    ends = raw.where("place is not null").select(
+        "place", "u", "tree", "label", F.lag("u").over(w).alias("v"), F.lag("tree").over(w).alias("_t"), F.lag("label").over(w).alias("_l"))
+    common = sum((F.when(F.substring("label", 1, 2 * d) == F.substring("_l", 1, 2 * d), 1).otherwise(0)
+                  for d in range(1, depth + 1)), F.lit(0))
+    between = ends.where("place = 1 and tree = _t and u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), common.cast("int").alias("common")).where(F.col("common") >= least)
+    edges = raw.where("place is null").select("u", "v", "common").unionByName(between)
+    return stored(edges.groupBy("u", "v").agg(F.max("common").alias("common")), folder, "trie_edges")
+
+
+def _compare(threshold: float, n: int, trees: int, length: int):
+    """Exact links between the sets of one pair of blocks: (id, top, links, missed), ``missed`` the number of links that
+    those found at this prefix length stand for."""
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         known: dict[str, int] = {}
         ids, side = rows.column("id").to_numpy(), rows.column("side").to_numpy()
@@ -115,7 +177,7 @@ def _compare(threshold: float, n: int):
         codes = [code[e - k:e] for e, k in zip(ends, size, strict=True)]
         right = np.arange(len(ids)) if same else np.flatnonzero(side == 1)
         left = right if same else np.flatnonzero(side == 0)
-        links, group = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        links, group, missed = np.zeros(len(ids), np.int64), np.arange(len(ids)), np.zeros(len(ids))
         if len(left) and len(right):
             held = np.concatenate([codes[j] for j in right])
             begin = np.cumsum(size[right]) - size[right]
@@ -124,8 +186,13 @@ def _compare(threshold: float, n: int):
                 mark[codes[i]] = True
                 both = np.add.reduceat(mark[held].astype(np.int64), begin)
                 mark[codes[i]] = False
-                near = both >= threshold * (size[i] + size[right] - both) - 1e-9
-                near = right[near & (right > i)] if same else right[near]
+                union = size[i] + size[right] - both
+                near = both >= threshold * union - 1e-9
+                if same:
+                    near &= right > i
+                lost = (1 - (both[near] / union[near]) ** length) ** trees
+                missed[i] += (lost / (1 - lost)).sum()
+                near = right[near]
                 links[i] += len(near)
                 links[near] += 1
                 met = np.unique(group[np.r_[i, near]])
@@ -133,7 +200,8 @@ def _compare(threshold: float, n: int):
                     group[np.isin(group, met)] = met[0]
         tops = group
         some = links > 0
-        return pa.table({"id": pa.array(ids[some]), "top": pa.array(ids[tops[some]]), "links": pa.array(links[some])})
+        return pa.table({"id": pa.array(ids[some]), "top": pa.array(ids[tops[some]]), "links": pa.array(links[some]),
+                         "missed": pa.array(missed[some])})
     return run
 
 
@@ -155,20 +223,36 @@ def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
-    d = level(threshold, trees, depth, recall)
+    least = level(threshold, trees, depth, recall)
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(*row_key(key, text), F.col(key).alias("key"), F.col(text).alias("text"))
-    marked = rows.mapInArrow(_signatures(n, trees, d), f"k1 long, k2 long, key {id_type}, s1 long, s2 long, "
-                             "n_grams long, labels array<long>")
+    marked = rows.mapInArrow(_signatures(n, trees, depth), f"k1 long, k2 long, key {id_type}, s1 long, s2 long, "
+                             "n_grams long, labels array<binary>")
     marked = stored(marked, folder, "signatures")
-    # A set's id is a hash of its digest; copies collapse here, before anything is compared.
-    set_id = F.xxhash64("s1", "s2").alias("id")
-    member = marked.where("n_grams > 0").select(set_id, "k1", "k2", "labels")
-    buckets = member.select("id", F.explode("labels").alias("label")).distinct()
-    first = buckets.groupBy("label").agg(F.min("id").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = buckets.join(first, "label").where("id <> low").select(F.col("id").alias("u"), F.col("low").alias("v"))
-    groups = stored(components(stars, f"{folder}/candidates"), folder, "groups")
-    links = _links(docs, member, groups, key, text, n, threshold, block, folder)
+    # A set's id is a hash of its digest: copies share it.
+    member = marked.where("n_grams > 0").select(F.xxhash64("s1", "s2").alias("id"), "k1", "k2", "labels")
+    edges = forest(member, depth, least, folder)
+    one = stored(member.join(edges.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "id", "left_semi").groupBy(
+        "id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("id", "k.*"), folder, "representatives")
+    links = verified = None
+    for length in range(depth, least - 1, -1):
+        place = f"{folder}/length_{length}"
+        groups = stored(components(edges.where(F.col("common") >= length).select("u", "v"), f"{place}/candidates").withColumnRenamed(
+            "node", "id"), place, "groups")
+        sizes = groups.groupBy("root").agg(F.count("*").alias("sets"))
+        if verified is None:
+            grown = groups
+        else:  # a group with the same smallest set and as many sets has not changed
+            grown = groups.join(sizes.join(verified, ["root", "sets"], "left_anti"), "root", "left_semi")
+        verified = stored(sizes, place, "sizes")
+        fresh = _links(docs, one, grown, key, text, n, threshold, block, trees, length, place)
+        if links is not None:
+            fresh = stored(links.join(grown.select("id"), "id", "left_anti").unionByName(fresh), place, "all_links")
+        links = fresh
+        found, missed = links.agg(F.coalesce(F.sum("links"), F.lit(0)) / 2, F.coalesce(F.sum("missed"), F.lit(0.0))).first()
+        # Nothing found yet tells nothing about what is missed.
+        if found and missed <= (1 - recall) * found:
+            break
     classes = components(links.select(F.col("id").alias("u"), F.col("top").alias("v")), f"{folder}/classes")
     degree = links.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
     found = stored(degree.join(classes, "node", "left"), folder, "classes_of_sets")
@@ -177,10 +261,9 @@ def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     return out.select("k1", "k2", "key", "n_grams", "links", F.coalesce("root", "_id").alias("_class"))
 
 
-def _links(docs, member, groups, key, text, n, threshold, block, folder) -> DataFrame:
-    """``id, top, links`` of the sets that have links, from exact comparison of blocks."""
-    one = member.groupBy("id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("id", "k.*")
-    inside = groups.select(F.col("node").alias("id"), "root").join(one, "id")
+def _links(docs, one, groups, key, text, n, threshold, block, trees, length, folder) -> DataFrame:
+    """``id, top, links, missed`` of the sets that have links, from exact comparison of blocks."""
+    inside = groups.select("id", "root").join(one, "id")
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
     inside = stored(inside.join(sizes, "root"), folder, "inside")
     # The texts of candidates only; one row stands for each set.
@@ -192,8 +275,8 @@ def _links(docs, member, groups, key, text, n, threshold, block, folder) -> Data
     dealt = texts.withColumn("mine", mine).withColumn("other", other).select(
         "id", "text", "root", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("same"))
-    return stored(dealt.groupBy("root", "a", "b").applyInArrow(_compare(threshold, n), "id long, top long, links long"),
-                  folder, "links")
+    return stored(dealt.groupBy("root", "a", "b").applyInArrow(
+        _compare(threshold, n, trees, length), "id long, top long, links long, missed double"), folder, "links")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.brand import apply_brand_rules, tidy_brand
+from ..functions.brand import tidy_brand
 from ..functions.category import ignore_case_category, strict_category
 from ..functions.dates import week_start
 from ..functions.orders import order_key
@@ -14,17 +14,19 @@ from ..functions.text import clean_text
 from ..operators.joins import (complete_lines, fill_from_products, lines_with_orders,
                                left_join_sparse, lookup_deliveries, null_safe_lookup, with_customers)
 from ..operators.ordered import latest_row
+from ..operators.patterns import fold_rules
 
 def standardize_brand(df: DataFrame, patterns: list[tuple[str, str]], *,
                       brand: str = "brand_name", product: str = "product_name") -> DataFrame:
     """Clean brand names; a missing brand takes the product's name.
 
     ``patterns`` is the ordered (regex, name) rule table. It runs on the
-    distinct names, whose result is joined back to the lines.
+    distinct names, each tried only with the patterns whose literals it holds, and
+    the result is joined back to the lines. A value left starting with ``$`` is HOUSE.
     """
     tidied = df.withColumn("__tidy", tidy_brand(F.coalesce(F.col(brand), F.col(product))))
-    mapping = (tidied.select("__tidy").distinct()
-               .withColumn("__brand", apply_brand_rules(F.col("__tidy"), patterns)))
+    mapping = fold_rules(tidied.select("__tidy").distinct(), patterns, "__tidy", "__brand")
+    mapping = mapping.withColumn("__brand", F.when(F.col("__brand").startswith("$"), "HOUSE").otherwise(F.col("__brand")))
     out = null_safe_lookup(tidied, mapping, ["__tidy"], ["__brand"])
     return out.withColumn(brand, F.col("__brand")).drop("__tidy", "__brand")
 

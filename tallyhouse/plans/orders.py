@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import minutes_between
 from ..functions.orders import strain_class
 from ..functions.people import full_name
-from ..functions.text import brand_from_title
+from ..functions.text import brand_from_title, squish
 from ..operators.ordered import fill_both_ways, is_first_day, latest_row, number_rows
 from ..session import Stage, lazily
 
@@ -42,6 +42,51 @@ _UP = ["subtotal", "sales_tax", "shipping", "total", "total_discount_amount"]
 _LEFT_OUT = ["Cancelled", "Declined", "Rejected", "Returned"]
 
 
+def _filled(raw: DataFrame, row: str, rows_per_bucket: int) -> DataFrame:
+    """The file's rows with order fields filled down and totals filled up, within one export."""
+    down = {f"__{c}": c for c in _DOWN if c in raw.columns}
+    up = {f"__{c}": c for c in _UP if c in raw.columns}
+    filled = fill_both_ways(raw, ["run_date_utc"], [row], down, up, bucket=rows_per_bucket)
+    return filled.withColumns({src: F.col(new) for new, src in {**down, **up}.items()}).drop(*down, *up)
+
+
+def _not_left_out(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.coalesce(F.col("status"), F.lit("")).isin(_LEFT_OUT))
+
+
+def flatfile_orders(raw: DataFrame, patients: DataFrame, *, org: str, source_system: str, zone: str, row: str = "row_no",
+                    rows_per_bucket: int = 100_000) -> DataFrame:
+    """Orders from an exported file: the rows without a quantity, in one layout.
+
+    The latest copy of an order stands (by ``created_at`` as written, then by file row); cancelled and returned orders are
+    left out, and so are customers who are not found by name. Times are written ``2021-03-05 14:30:00`` or ``3/5/2021 14:30`` in
+    the shop's ``zone``; an unreadable one is NULL. The discount is what the total lacks against subtotal and tax.
+    """
+    totals = _filled(raw, row, rows_per_bucket).where(F.col("qty").isNull())
+    orders = _not_left_out(latest_row(totals, ["order_number"], ["created_at", row]))
+    at = F.coalesce(F.try_to_timestamp("created_at", F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp("created_at", F.lit("M/d/yyyy H:mm")),
+                    F.try_to_timestamp("created_at", F.lit("M/d/yyyy h:mm a")))
+    total, tax, subtotal = (F.col(c).try_cast("double") for c in ("total", "sales_tax", "subtotal"))
+    orders = orders.withColumns({
+        "order_type": F.when(F.col("type").contains("Delivery"), "Delivery").when(F.col("type").isNotNull(), "Retail"),
+        "order_time_local": at, "order_time_utc": F.to_utc_timestamp(at, zone)})
+    names = latest_row(patients, ["first_name", "last_name"], ["total_completed_orders"])
+    address = squish(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("address", "city", "state", "zip")]))
+    people = names.where(F.col("patient_id").isNotNull()).select(
+        F.concat_ws(" ", "first_name", "last_name").alias("patient"), F.col("patient_id").cast("string").alias("customer_id"),
+        F.when(F.col("zip").isNotNull(), address).alias("delivery_order_address"))
+    none = F.lit(None).cast("string")
+    return orders.join(people, "patient").select(
+        F.lit(org).alias("org"), F.lit(source_system).alias("source_system"), F.col("run_date_utc").alias("source_run_date_utc"),
+        F.col("order_number").alias("order_id"), "customer_id", "order_type", "order_source", none.alias("sold_by"),
+        none.alias("sold_by_id"), "order_time_local", "order_time_utc", "delivery_order_address",
+        F.when(F.col("order_type") == "Delivery", F.col("order_time_local")).alias("delivery_order_received_local"),
+        F.lit(None).cast("timestamp").alias("delivery_order_started_local"),
+        F.lit(None).cast("timestamp").alias("delivery_order_complete_local"),
+        (total - tax).alias("order_subtotal"), tax.alias("order_tax"), total.alias("order_total"),
+        F.round(total - (subtotal + tax), 2).alias("order_discount"))
+
+
 def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFrame, *,
                          org: str, source_system: str, row: str = "row_no",
                          rows_per_bucket: int = 100_000, stage: Stage = lazily) -> DataFrame:
@@ -52,13 +97,9 @@ def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFr
     without a quantity are totals. The latest copy of a line stands, customers
     are found by name (most orders first) and lines without one left out.
     """
-    down = {f"__{c}": c for c in _DOWN if c in raw.columns}
-    up = {f"__{c}": c for c in _UP if c in raw.columns}
-    filled = fill_both_ways(raw, ["run_date_utc"], [row], down, up, bucket=rows_per_bucket)
-    filled = filled.withColumns({src: F.col(new) for new, src in {**down, **up}.items()})
-    filled = filled.drop(*down, *up).where(F.col("qty").isNotNull())
+    filled = _filled(raw, row, rows_per_bucket).where(F.col("qty").isNotNull())
     lines = stage(latest_row(filled, ["order_number", "product"], ["created_at", row]))
-    lines = lines.where(~F.coalesce(F.col("status"), F.lit("")).isin(_LEFT_OUT))
+    lines = _not_left_out(lines)
     names = latest_row(patients, ["first_name", "last_name"], ["total_completed_orders"])
     ids = names.select(F.concat_ws(" ", "first_name", "last_name").alias("patient"),
                        F.col("patient_id").alias("customer_id"))

@@ -9,6 +9,7 @@ from ..operators import extract, stock
 from ..plans.population import population2 as build_population2
 from ..plans.population import population_multi as build_population_multi
 from ..plans.population import standardize_brand
+from ..plans.stock_layouts import STOCK_SYSTEMS, STOCK_WITHOUT_COST, stacked_stock, stock_mapping
 from ..session import cut_lineage
 from ..sources import star
 from . import payloads
@@ -252,3 +253,39 @@ def population2(spark, sf_dir) -> DataFrame:
     return build_population2(rows).select(
         "order_id", "pos_order_id", "pos_order_line_id", "product_name", "brand_name", "category2",
         "gender", "first_name", "item_subtotal", "item_total", "item_list_price", "wk_start_date")
+
+
+def _landed_stock(spark, sf_dir, system: str, place: int) -> DataFrame:
+    """A system's landing table under its own column names: the lines of every twelfth supplier."""
+    li, part = star.load(spark, sf_dir, "lineitem"), star.load(spark, sf_dir, "part")
+    rows = li.where(F.col("l_suppkey") % len(STOCK_SYSTEMS) == place).join(part, li["l_partkey"] == part["p_partkey"])
+    values = {
+        "snapshot_utc": F.col("l_shipdate").cast("timestamp"), "org_uuid": F.lit("org"), "store_uuid": F.col("l_suppkey").cast("string"),
+        "facility": F.lit("shop"), "room_id": F.col("l_linenumber"), "product_id": F.col("p_partkey"),
+        "sku": F.concat(F.lit("SKU"), "p_partkey"), "product_name": F.col("p_name"), "brand_id": F.col("p_size"),
+        "brand": F.col("p_brand"), "room_name": F.col("l_linestatus"), "units_in_stock": F.col("l_quantity"),
+        "image": F.lit(None).cast("string"), "unit_price": F.col("p_retailprice"), "unit_of_measure": F.lit("g"),
+        "cost_per_unit": F.col("l_extendedprice"), "raw_category_name": F.col("p_type"), "raw_product_class": F.col("l_returnflag")}
+    # A source column that feeds two outputs exists once.
+    own = {src: values["brand" if src.startswith("brand") else out] if src in ("brand", "brand_name") else values[out]
+           for s, out, src, _ in stock_mapping() if s == system and src is not None}
+    return rows.select(*[c.alias(src) for src, c in own.items()])
+
+
+def _stock_sql(system: str, place: int) -> str:
+    brand_id = "p_brand" if system in ("treez", "webjoint") else "CAST(p_size AS VARCHAR)"
+    cost = "NULL" if system in STOCK_WITHOUT_COST else "l_extendedprice"
+    mine = f"l_suppkey % {len(STOCK_SYSTEMS)} = {place}"
+    return f"""SELECT '{system}' AS pos, CAST(l_shipdate AS TIMESTAMP) AS snapshot_utc, CAST(l_suppkey AS VARCHAR) AS store_uuid,
+  CAST(l_linenumber AS VARCHAR) AS room_id, CAST(p_partkey AS VARCHAR) AS product_id, 'SKU' || p_partkey AS sku, p_name AS product_name,
+  {brand_id} AS brand_id, p_brand AS brand, l_linestatus AS room_name, l_quantity AS units_in_stock, p_retailprice AS unit_price,
+  'g' AS unit_of_measure, {cost}::DOUBLE AS cost_per_unit, p_type AS raw_category_name, l_returnflag AS raw_product_class
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE {mine} AND l_shipdate = (SELECT max(l_shipdate) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE {mine})"""
+
+
+@query(" UNION ALL ".join(_stock_sql(system, i) for i, system in enumerate(STOCK_SYSTEMS)))
+def stacked_stock_layouts(spark, sf_dir) -> DataFrame:
+    """The newest stock of twelve systems, each with its own columns, in one layout."""
+    landing = {system: _landed_stock(spark, sf_dir, system, i) for i, system in enumerate(STOCK_SYSTEMS)}
+    return stacked_stock(landing).drop("org_uuid", "facility", "image")

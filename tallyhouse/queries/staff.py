@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import staff as ops
 from ..operators.joins import touch_both_ways
 from ..plans.orders import flatfile_order_lines as flatfile
+from ..plans.orders import flatfile_orders as file_orders
 from ..plans.orders import order_dashboard as dashboard
 from ..session import cut_lineage
 from ..sources import star
@@ -451,3 +452,46 @@ def flatfile_order_lines(spark, sf_dir) -> DataFrame:
     return flatfile(raw, patients, cats, org="demo", source_system="file", stage=cut_lineage).select(
         "order_id", "order_line_id", "product_name", "brand_name", "product_qty",
         "order_line_list_price", "customer_id", "product_category_name")
+
+
+@query("""
+SELECT 'demo' AS org, 'file' AS source_system, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(c_custkey AS VARCHAR) AS customer_id,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'Delivery' ELSE 'Retail' END AS order_type, lower(o_orderpriority) AS order_source,
+  o_orderdate + to_minutes(o_orderkey % 1440) AS order_time_local,
+  ((o_orderdate + to_minutes(o_orderkey % 1440)) AT TIME ZONE 'America/Phoenix') AT TIME ZONE 'UTC' AS order_time_utc,
+  CASE WHEN c_custkey % 3 > 0 THEN '1 Main St AZ ' || c_custkey END AS delivery_order_address,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + to_minutes(o_orderkey % 1440) END AS delivery_order_received_local,
+  o_totalprice - 8.5 AS order_subtotal, 8.5::DOUBLE AS order_tax, o_totalprice AS order_total, -2.25::DOUBLE AS order_discount
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_orderstatus <> 'P' AND c_mktsegment <> 'BUILDING'
+""", digits=digits(2, "order_subtotal", "order_total", "order_discount"))
+def flatfile_orders(spark, sf_dir) -> DataFrame:
+    """Orders of an exported file: header rows first, total rows last, an older copy of every order in another export."""
+    o, c = star.load(spark, sf_dir, "orders"), star.load(spark, sf_dir, "customer")
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"])
+    none = F.lit(None).cast("string")
+    at = F.timestamp_seconds(F.unix_timestamp("o_orderdate") + F.col("o_orderkey") % 1440 * 60)
+    written = F.when(F.col("o_orderkey") % 2 == 0, F.date_format(at, "yyyy-MM-dd HH:mm:ss")).otherwise(
+        F.date_format(at, "M/d/yyyy H:mm"))
+    heads = rows.select(
+        (F.col("o_orderkey") * 10).alias("row_no"), F.col("o_orderkey").cast("string").alias("order_number"),
+        F.concat(F.lit("Pat "), "c_name").alias("patient"), written.alias("created_at"),
+        F.when(F.col("o_orderstatus") == "P", "Returned").otherwise("Completed").alias("status"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Home Delivery").otherwise("Store").alias("type"),
+        F.lower("o_orderpriority").alias("order_source"), F.lit("1").alias("qty"), none.alias("subtotal"), none.alias("sales_tax"),
+        none.alias("total"))
+    ends = rows.select(
+        (F.col("o_orderkey") * 10 + 5).alias("row_no"), *[none.alias(n) for n in (
+            "order_number", "patient", "created_at", "status", "type", "order_source", "qty")],
+        (F.col("o_totalprice") - 8.5 + 2.25).cast("string").alias("subtotal"), F.lit("8.5").alias("sales_tax"),
+        F.col("o_totalprice").cast("string").alias("total"))
+    file = heads.unionByName(ends).withColumn("run_date_utc", F.lit("2001-08-01").cast("timestamp"))
+    older = heads.withColumn("created_at", F.lit("0")).unionByName(ends.withColumn("total", F.lit("0"))).withColumn(
+        "run_date_utc", F.lit("2001-07-01").cast("timestamp"))
+    patients = c.select(
+        F.lit("Pat").alias("first_name"), F.col("c_name").alias("last_name"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string")).alias("patient_id"),
+        F.lit(1).alias("total_completed_orders"), F.lit("1  Main St ").alias("address"), none.alias("city"), F.lit("AZ").alias("state"),
+        F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey").cast("string")).alias("zip"))
+    return file_orders(file.unionByName(older), patients, org="demo", source_system="file", zone="America/Phoenix").drop(
+        "source_run_date_utc", "sold_by", "sold_by_id", "delivery_order_started_local", "delivery_order_complete_local")

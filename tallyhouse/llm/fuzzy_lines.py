@@ -129,7 +129,7 @@ def linked(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
 
 def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 3,
                        similarity: float = 0.8) -> DataFrame:
-    """The documents without repeated lines, with ``n_lines`` and ``n_dropped``; other columns stay."""
+    """The documents without repeated lines, with ``n_lines`` and ``n_dropped`` (which replace columns of these names); other columns stay."""
     folder = shared_folder(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(*row_key(key, text), F.col(key).alias("key"), F.col(text).alias("text")).where("text is not null")
@@ -163,9 +163,12 @@ def drop_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "not (k1 = kept.k1 and k2 = kept.k2 and at = kept.at)").select("k1", "k2", "at").distinct()
     gone = stored(gone.groupBy("k1", "k2").agg(F.collect_list("at").alias("_gone")), folder, "gone")
     keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text)).hint("merge").join(gone, ["k1", "k2"], "left")
-    keyed = keyed.select("_doc.*", "_gone")
-    parts = F.split(F.col(text), "\n")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return keyed.select(*[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c)
-                          for c in names], F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+    # The document stays a struct: its columns may be named like the helpers here.
+    whole = F.col(f"_doc.`{text}`")
+    parts = F.split(whole, "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
+    left = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
+    return keyed.select(*[F.when(F.col("_gone").isNull(), whole).otherwise(left).alias(c) if c == text
+                          else F.col(f"_doc.`{c}`").alias(c) for c in names],
+                        F.when(whole.isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
                         F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"))

@@ -267,11 +267,12 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     names = docs.columns
     spans = repeated_spans(docs, key, text, **options).select("k1", "k2", "spans")
     keyed = docs.select(F.struct(*names).alias("_doc"), *row_key(key, text)).join(spans, ["k1", "k2"], "left")
-    keyed = keyed.select("_doc.*", "spans")
+    # The document stays a struct: its columns may be named like the helpers here.
+    whole = F.col(f"_doc.`{text}`")
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
-    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length(text).cast("long")))
+    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length(whole).cast("long")))
     parts = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: F.substring(
-        F.encode(F.col(text), "UTF-8"), (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")))
+        F.encode(whole, "UTF-8"), (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")))
     cut = F.decode(F.aggregate(parts, F.encode(F.lit(""), "UTF-8"), lambda x, y: F.concat(x, y)), "UTF-8")
-    return keyed.select(*[F.when(F.col("spans").isNull(), F.col(c)).otherwise(cut).alias(c) if c == text else F.col(c)
-                          for c in names])
+    return keyed.select(*[F.when(F.col("spans").isNull(), whole).otherwise(cut).alias(c) if c == text
+                          else F.col(f"_doc.`{c}`").alias(c) for c in names])

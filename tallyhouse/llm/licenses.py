@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.common import row_key
+
 _WORD = re.compile(r"[a-z0-9][a-z0-9.+\-]*[a-z0-9+]|[a-z0-9]")
 UNKNOWN = "unknown"
 WINDOW, STRIDE = 60, 30
@@ -239,8 +241,11 @@ def train(ordinary: list[list[str]], variants: int = 60, rounds: int = 300, rate
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = 400, lines: int = 4000, **options) -> Model:
     """Train with the first ``lines`` paragraphs of ``sample`` documents (shorter than 20,000 characters, lowest by a
     hash of the key) as ordinary text; those that hold a template's words in order are left out."""
-    rows = docs.where(F.length(text) < 20_000).select(F.col(text).alias("t"), F.xxhash64(
-        F.col(key).cast("string"), F.lit("license")).alias("o")).orderBy("o").limit(sample).collect()
+    # Rows are chosen by their hashes; only the chosen ones send their text.
+    named = docs.where(F.length(text) < 20_000).select(F.col(text).alias("t"), F.xxhash64(
+        F.col(key).cast("string"), F.lit("license")).alias("o"), *row_key(key, text))
+    chosen = named.select("o", "k1", "k2").orderBy("o", "k1", "k2").limit(sample)
+    rows = named.select("k1", "k2", "t").join(F.broadcast(chosen), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).orderBy("o", "k1").collect()
     ordinary = [w for r in rows for _, w in paragraphs(r["t"])][:lines]
     known = [set(zip(t, t[1:], strict=False)) for f in TEMPLATES for t in map(tokens, TEMPLATES[f])]
     free = [w for w in ordinary if all(len(k & set(zip(w, w[1:], strict=False))) < 0.5 * len(k) for k in known)]

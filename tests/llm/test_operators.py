@@ -159,8 +159,11 @@ def test_repeated_bytes_against_brute_force(spark, odd_docs):
     keyed = docs.select("doc_id", *repeats.row_key("doc_id", "text")).join(spans, ["k1", "k2"])
     got = Counter((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in keyed.collect() if r["n_removed"])
     assert got == want
-    cut = {r["doc_id"]: r["text"] for r in repeats.without_repeats(docs).collect()}
-    assert cut[301] == "" and cut[303] is None
+    clash = docs.selectExpr("*", "1 AS spans", "2 AS `_doc`", "3 AS k1")
+    cut = repeats.without_repeats(clash)
+    assert cut.columns == clash.columns
+    cut = {r["doc_id"]: (r["text"], r["spans"], r["_doc"], r["k1"]) for r in cut.collect()}
+    assert cut[301] == ("", 1, 2, 3) and cut[303] == (None, 1, 2, 3)
     assert repeats.repeated_spans(docs.limit(0)).count() == 0
 
 
@@ -253,8 +256,8 @@ def test_lines_against_brute_force(spark, odd_docs):
         if group[line] in kept:
             want[(key, text)] += 1
         kept.add(group[line])
-    out = fuzzy_lines.drop_similar_lines(docs.withColumn("old", F.col("text"))).collect()
-    assert len(out) == len(rows)
+    out = fuzzy_lines.drop_similar_lines(docs.withColumns({"old": F.col("text"), "_gone": F.lit(7), "n_lines": F.lit("x")})).collect()
+    assert len(out) == len(rows) and all(r["_gone"] == 7 for r in out)
     for r in out:
         if r["old"] is None:
             assert r["text"] is None and r["n_lines"] == 0

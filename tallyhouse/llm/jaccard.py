@@ -7,7 +7,8 @@
    neighbour pair with a common prefix is an edge of that length; a trie node's sets are a run of edges, so a node of any size is
    linked by one edge per set. Ranges are cut anywhere, their ends are put together from two rows a range.
 3. Matching starts with whole labels: sets connected by edges of full length are candidate groups, verified as below. Then
-   prefixes are shortened by one value, and groups that grew are verified anew, until the recall is reached. A verified link
+   prefixes are shortened as far as the links found so far ask for, and in groups that grew the pairs not compared yet are
+   verified, until the recall is reached. A verified link
    of similarity s would have been met at length d by 1 - (1 - s^d)^trees of such pairs, so each stands for
    so many missed ones; the estimate of all missed links decides (chance meetings through third sets only make it too
    cautious). The shortest length ever needed is the one at which links at the threshold itself are met with that recall.
@@ -162,12 +163,14 @@ def forest(member: DataFrame, depth: int, least: int, folder: str) -> DataFrame:
     return stored(edges.groupBy("u", "v").agg(F.max("common").alias("common")), folder, "trie_edges")
 
 
-def _compare(threshold: float, n: int, trees: int, length: int):
-    """Exact links between the sets of one pair of blocks: (id, top, links, missed), ``missed`` the number of links that
-    those found at this prefix length stand for."""
+def _compare(threshold: float, n: int, trees: int, lengths: list[int]):
+    """Exact links between the sets of one pair of blocks, those with the same ``old`` group left out: (id, top, links, missed).
+
+    ``missed`` is the number of links that those found here stand for, were they met at each prefix length.
+    """
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         known: dict[str, int] = {}
-        ids, side = rows.column("id").to_numpy(), rows.column("side").to_numpy()
+        ids, side, old = (rows.column(c).to_numpy() for c in ("id", "side", "old"))
         same = bool(rows.column("same")[0].as_py())
         sets = [shingles(t.as_py(), n, known) for t in rows.column("text")]
         size = np.array([len(s) for s in sets])
@@ -177,7 +180,7 @@ def _compare(threshold: float, n: int, trees: int, length: int):
         codes = [code[e - k:e] for e, k in zip(ends, size, strict=True)]
         right = np.arange(len(ids)) if same else np.flatnonzero(side == 1)
         left = right if same else np.flatnonzero(side == 0)
-        links, group, missed = np.zeros(len(ids), np.int64), np.arange(len(ids)), np.zeros(len(ids))
+        links, group, missed = np.zeros(len(ids), np.int64), np.arange(len(ids)), np.zeros((len(ids), len(lengths)))
         if len(left) and len(right):
             held = np.concatenate([codes[j] for j in right])
             begin = np.cumsum(size[right]) - size[right]
@@ -187,11 +190,13 @@ def _compare(threshold: float, n: int, trees: int, length: int):
                 both = np.add.reduceat(mark[held].astype(np.int64), begin)
                 mark[codes[i]] = False
                 union = size[i] + size[right] - both
-                near = both >= threshold * union - 1e-9
+                near = (both >= threshold * union - 1e-9) & (old[right] != old[i])
                 if same:
                     near &= right > i
-                lost = (1 - (both[near] / union[near]) ** length) ** trees
-                missed[i] += (lost / (1 - lost)).sum()
+                alike = both[near] / union[near]
+                for k, length in enumerate(lengths):
+                    lost = (1 - alike ** length) ** trees
+                    missed[i, k] += (lost / (1 - lost)).sum()
                 near = right[near]
                 links[i] += len(near)
                 links[near] += 1
@@ -201,7 +206,7 @@ def _compare(threshold: float, n: int, trees: int, length: int):
         tops = group
         some = links > 0
         return pa.table({"id": pa.array(ids[some]), "top": pa.array(ids[tops[some]]), "links": pa.array(links[some]),
-                         "missed": pa.array(missed[some])})
+                         "missed": pa.array(list(missed[some]), pa.list_(pa.float64()))})
     return run
 
 
@@ -234,25 +239,29 @@ def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     edges = forest(member, depth, least, folder)
     one = stored(member.join(edges.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "id", "left_semi").groupBy(
         "id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("id", "k.*"), folder, "representatives")
-    links = verified = None
-    for length in range(depth, least - 1, -1):
-        place = f"{folder}/length_{length}"
+    links = before = None
+    lengths = list(range(depth, least - 1, -1))
+    turn, done = 0, False
+    while not done:
+        length, place = lengths[turn], f"{folder}/length_{lengths[turn]}"
         groups = stored(components(edges.where(F.col("common") >= length).select("u", "v"), f"{place}/candidates").withColumnRenamed(
             "node", "id"), place, "groups")
-        sizes = groups.groupBy("root").agg(F.count("*").alias("sets"))
-        if verified is None:
-            grown = groups
-        else:  # a group with the same smallest set and as many sets has not changed
-            grown = groups.join(sizes.join(verified, ["root", "sets"], "left_anti"), "root", "left_semi")
-        verified = stored(sizes, place, "sizes")
-        fresh = _links(docs, one, grown, key, text, n, threshold, block, trees, length, place)
-        if links is not None:
-            fresh = stored(links.join(grown.select("id"), "id", "left_anti").unionByName(fresh), place, "all_links")
-        links = fresh
-        found, missed = links.agg(F.coalesce(F.sum("links"), F.lit(0)) / 2, F.coalesce(F.sum("missed"), F.lit(0.0))).first()
-        # Nothing found yet tells nothing about what is missed.
-        if found and missed <= (1 - recall) * found:
-            break
+        if before is None:
+            grown = groups.withColumn("old", F.col("id"))
+        else:
+            # A group with the same smallest set and as many sets has not changed; in the others only sets that were in different
+            # groups are compared.
+            sizes, known = (g.groupBy("root").agg(F.count("*").alias("sets")) for g in (groups, before))
+            grown = groups.join(sizes.join(known, ["root", "sets"], "left_anti"), "root", "left_semi").join(
+                before.select("id", F.col("root").alias("_was")), "id", "left").select("id", "root", F.coalesce("_was", "id").alias("old"))
+        before = groups
+        fresh = _links(docs, one, grown, key, text, n, threshold, block, trees, lengths, place)
+        links = fresh if links is None else links.unionByName(fresh)
+        found, *missed = links.agg(F.coalesce(F.sum("links"), F.lit(0)) / 2, *[
+            F.coalesce(F.sum(F.get("missed", F.lit(k))), F.lit(0.0)) for k in range(len(lengths))]).first()
+        # The longest prefixes that reach the recall for links like those found; nothing found yet tells nothing.
+        enough = next((k for k in range(turn, len(lengths)) if found and missed[k] <= (1 - recall) * found), len(lengths) - 1)
+        turn, done = enough, enough == turn
     classes = components(links.select(F.col("id").alias("u"), F.col("top").alias("v")), f"{folder}/classes")
     degree = links.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
     found = stored(degree.join(classes, "node", "left"), folder, "classes_of_sets")
@@ -261,22 +270,36 @@ def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     return out.select("k1", "k2", "key", "n_grams", "links", F.coalesce("root", "_id").alias("_class"))
 
 
-def _links(docs, one, groups, key, text, n, threshold, block, trees, length, folder) -> DataFrame:
-    """``id, top, links, missed`` of the sets that have links, from exact comparison of blocks."""
-    inside = groups.select("id", "root").join(one, "id")
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
-    inside = stored(inside.join(sizes, "root"), folder, "inside")
+def _links(docs, one, groups, key, text, n, threshold, block, trees, lengths, folder) -> DataFrame:
+    """``id, top, links, missed`` from exact comparison, in pairs of blocks, of the sets of each group (``id, root, old``) with
+    the sets of other old groups.
+
+    An old group of more than ``block`` sets has blocks of its own, which do not meet one another again.
+    """
+    old = groups.groupBy("root", "old").agg(F.count("*").alias("n"))
+    old = old.withColumn("part", F.when(F.col("n") > block, F.col("old")))
+    parts = old.groupBy("root", "part").agg(F.ceil(F.sum("n") / block).cast("long").alias("blocks"))
+    w = Window.partitionBy("root")  # one row per large old group
+    parts = parts.select("root", "part", "blocks", F.sum("blocks").over(w).alias("all"), (F.sum("blocks").over(
+        w.orderBy(F.col("part").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)) - F.col("blocks")).alias("first"))
+    large = old.where("part is not null").select("root", "old", "part")
+    placed = groups.join(large, ["root", "old"], "left")
+    placed = placed.join(parts.withColumnsRenamed({"root": "_root", "part": "_part"}), (
+        F.col("root") == F.col("_root")) & F.col("part").eqNullSafe(F.col("_part"))).drop("_root", "_part")
+    inside = stored(placed.join(one, "id"), folder, "inside")
     # The texts of candidates only; one row stands for each set.
     texts = docs.select(*row_key(key, text), F.col(text).alias("text"))
     # Shuffled at every size: how many candidates there are does not choose the plan.
     texts = inside.join(texts.hint("merge"), ["k1", "k2"]).dropDuplicates(["id"])
-    mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = texts.withColumn("mine", mine).withColumn("other", other).select(
-        "id", "text", "root", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
+    mine = F.col("first") + F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))
+    own = F.col("part").isNotNull()
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda x: ~(
+        own & (x >= F.col("first")) & (x < F.col("first") + F.col("blocks"))))
+    dealt = texts.withColumn("mine", mine).withColumn("other", F.explode(others)).select(
+        "id", "old", "text", "root", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("same"))
     return stored(dealt.groupBy("root", "a", "b").applyInArrow(
-        _compare(threshold, n, trees, length), "id long, top long, links long, missed double"), folder, "links")
+        _compare(threshold, n, trees, lengths), "id long, top long, links long, missed array<double>"), folder, "links")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -132,6 +132,7 @@ def population(customers: DataFrame, orders: DataFrame, items: DataFrame, produc
     return standardize_brand(lines, brand_patterns)
 
 
+# Customer columns that carry a prefix in the wide table.
 _CUSTOMER_PREFIXED = ["created_at_utc", "last_updated_utc", "geocode_type", "long_address",
                       "address_street1", "address_street2", "city", "state", "zipcode",
                       "latitude", "longitude"]
@@ -200,6 +201,7 @@ def house_rules(df: DataFrame) -> DataFrame:
         & (F.col("category") == "FLOWER"), F.col("brand_name")).otherwise(F.col("product_name")))
 
 
+# New names, the text columns that are cleaned, and the columns of the result in order.
 _RENAMED = {
     "order_line_total": "item_total", "order_line_subtotal": "item_subtotal",
     "order_line_discount": "item_discount", "order_line_tax": "item_tax",

@@ -1,5 +1,6 @@
 """Clean tables from the register's payloads (one function per table).
 
+The column names listed here are fixed values: those of the payloads and of the tables made from them.
 Each takes rows with ``org`` and ``store`` and the location dimension. No plan
 here shuffles its payload: child arrays are turned into JSON in place and the
 location join is with a small table.

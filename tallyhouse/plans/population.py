@@ -15,17 +15,19 @@ from ..operators.joins import (complete_lines, fill_from_products, lines_with_or
                                left_join_sparse, lookup_deliveries, null_safe_lookup, with_customers)
 from ..operators.ordered import latest_row
 from ..operators.patterns import fold_rules
+from ..session import Stage, lazily
 
-def standardize_brand(df: DataFrame, patterns: list[tuple[str, str]], *,
-                      brand: str = "brand_name", product: str = "product_name") -> DataFrame:
+def standardize_brand(df: DataFrame, patterns: list[tuple[str, str]], *, brand: str = "brand_name",
+                      product: str = "product_name", stage: Stage = lazily) -> DataFrame:
     """Clean brand names; a missing brand takes the product's name.
 
     ``patterns`` is the ordered (regex, name) rule table. It runs on the
     distinct names, each tried only with the patterns whose literals it holds, and
-    the result is joined back to the lines. A value left starting with ``$`` is HOUSE.
+    the result is joined back to the lines. A value left starting with ``$`` is HOUSE. ``stage`` holds the distinct names,
+    which are read several times.
     """
     tidied = df.withColumn("__tidy", tidy_brand(F.coalesce(F.col(brand), F.col(product))))
-    mapping = fold_rules(tidied.select("__tidy").distinct(), patterns, "__tidy", "__brand")
+    mapping = fold_rules(stage(tidied.select("__tidy").distinct()), patterns, "__tidy", "__brand")
     mapping = mapping.withColumn("__brand", F.when(F.col("__brand").startswith("$"), "HOUSE").otherwise(F.col("__brand")))
     out = null_safe_lookup(tidied, mapping, ["__tidy"], ["__brand"])
     return out.withColumn(brand, F.col("__brand")).drop("__tidy", "__brand")
@@ -100,7 +102,7 @@ _PRODUCT = {
 
 
 def population(customers: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame,
-               brand_patterns: list[tuple[str, str]]) -> DataFrame:
+               brand_patterns: list[tuple[str, str]], stage: Stage = lazily) -> DataFrame:
     """Lines with order, customer and product, from the clean register tables.
 
     Returned items are left out; so are returned orders, but their remaining
@@ -129,7 +131,7 @@ def population(customers: DataFrame, orders: DataFrame, items: DataFrame, produc
         "raw_brand_name": F.col("brand_name"), "brand": F.col("brand_name"),
         "raw_product_name": F.upper("product_name"),
         "gender": F.coalesce("gender", F.lit("U"))})
-    return standardize_brand(lines, brand_patterns)
+    return standardize_brand(lines, brand_patterns, stage=stage)
 
 
 # Customer columns that carry a prefix in the wide table.

@@ -9,6 +9,7 @@ from ..functions import brand, category, dates, orders, people, text
 from ..operators.customers import segment_lines
 from ..operators.joins import map_with_override
 from ..plans.population import category_cached, fill_amounts, house_rules, standardize_brand
+from ..session import cut_lineage
 from ..sources import star
 from . import payloads
 from .registry import CUST, ORDS, POP, digits, query
@@ -200,14 +201,14 @@ def _odd_brands(spark, sf_dir):
 def brands_standardized(spark, sf_dir) -> DataFrame:
     """Brand clean-up and ordered rules on every line; product name as fallback."""
     lines = star.load(spark, sf_dir, "lineitem").join(_odd_brands(spark, sf_dir), "l_partkey")
-    return standardize_brand(lines, _RULES).select(
+    return standardize_brand(lines, _RULES, stage=cut_lineage).select(
         "l_orderkey", "l_linenumber", "l_partkey", "brand_name")
 
 
 @query(_BRANDS)
 def brands_by_distinct_name(spark, sf_dir) -> DataFrame:
     """The same on the product table, before the lines are joined."""
-    parts = standardize_brand(_odd_brands(spark, sf_dir), _RULES)
+    parts = standardize_brand(_odd_brands(spark, sf_dir), _RULES, stage=cut_lineage)
     return star.load(spark, sf_dir, "lineitem").join(parts, "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "brand_name")
 

@@ -29,7 +29,7 @@ FROM pop WHERE item_subtotal > 0 GROUP BY ALL
 """)
 def product_history(spark, sf_dir) -> DataFrame:
     """First and last sale per store and product, on the categorised population."""
-    pop = standardize_brand(star.population(spark, sf_dir), BRAND_RULES)
+    pop = standardize_brand(star.population(spark, sf_dir), BRAND_RULES, stage=cut_lineage)
     return stock.product_history(pop, ["org_uuid", "store_id", "product_sku", "category3",
                                        "brand_name"])
 

@@ -42,6 +42,15 @@ def needed_literals(pattern: str) -> list[str] | None:
     return sorted(found) if found else None
 
 
+def _inline(items):
+    """The parts with plain groups opened; flags inside a group may make its letters match others, so it stays closed."""
+    for op, value in items:
+        if op is kind.SUBPATTERN and not value[1] and not value[2]:
+            yield from _inline(value[3])
+        else:
+            yield op, value
+
+
 def _best(items, ignore_case: bool) -> set[str] | None:
     """The alternatives whose shortest literal is longest, among the parts that every match goes through."""
     options: list[set[str]] = []
@@ -53,16 +62,13 @@ def _best(items, ignore_case: bool) -> set[str] | None:
             options.append({folded(run)})
         run = ""
 
-    for op, value in items:
+    for op, value in _inline(items):
         if op is kind.LITERAL and not (ignore_case and value > 127):
             run += chr(value)
             continue
         close()
         inner = None
-        if op is kind.SUBPATTERN:
-            # Flags inside a group may make its letters match others.
-            inner = _best(value[3], ignore_case) if not value[1] and not value[2] else None
-        elif op in (kind.MAX_REPEAT, kind.MIN_REPEAT) and value[0] > 0:
+        if op in (kind.MAX_REPEAT, kind.MIN_REPEAT) and value[0] > 0:
             inner = _best(value[2], ignore_case)
         elif op is kind.BRANCH:
             parts = [_best(part, ignore_case) for part in value[1]]

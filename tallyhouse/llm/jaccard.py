@@ -214,7 +214,9 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
            trees: int = 32, depth: int = 8, recall: float = 0.99999, block: int = 200) -> DataFrame:
     """Every row's ``k1, k2`` (see ``row_key``), ``key``, ``n_grams``, ``class_id`` and ``links``."""
     found = _classed(docs, key, text, n, threshold, trees, depth, recall, block)
-    lowest = found.where("_class is not null").groupBy(F.col("_class").alias("_of")).agg(F.min("key").alias("_lowest"))
+    # Written, so that the join deals both sides itself and splits a class of very many rows.
+    lowest = stored(found.where("_class is not null").groupBy(F.col("_class").alias("_of")).agg(F.min("key").alias("_lowest")),
+                    shared_folder(docs.sparkSession), "lowest")
     out = found.join(lowest, F.col("_class") == F.col("_of"), "left")
     return out.select("k1", "k2", "key", "n_grams", F.when(F.col("_class").isNull(), F.col("key")).otherwise(
         F.col("_lowest")).alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))

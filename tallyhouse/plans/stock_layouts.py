@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import stack_snapshots
 
-# The common layout, and for each system its landing table and the columns that have other names there.
+# The common layout, and for each system the columns that have other names there. The register whose payloads this
+# library reads is called `register`.
 STOCK_COLUMNS = {
     "snapshot_utc": "timestamp", "org_uuid": "string", "store_uuid": "string", "facility": "string", "room_id": "string",
     "product_id": "string", "sku": "string", "product_name": "string", "brand_id": "string", "brand": "string",
@@ -22,8 +23,8 @@ STOCK_RENAMED = {
               "raw_category_name": "category_type", "raw_product_class": "classification"},
     "webjoint": {"product_name": "name", "brand_id": "brand_name", "brand": "brand_name", "units_in_stock": "room_quantity",
                  "raw_category_name": "category_name", "raw_product_class": "lineage"},
-    "leaflogix": {"units_in_stock": "room_quantity"}}
-STOCK_SYSTEMS = ["blaze", "treez", "webjoint", "leaflogix", "flowhub", "akerna", "greenbits", "lightspeed", "meadow",
+    "register": {"units_in_stock": "room_quantity"}}
+STOCK_SYSTEMS = ["blaze", "treez", "webjoint", "register", "flowhub", "akerna", "greenbits", "lightspeed", "meadow",
                  "posabit", "proteus", "growflow"]
 STOCK_WITHOUT_COST = ["treez", "akerna", "greenbits", "proteus", "growflow"]
 

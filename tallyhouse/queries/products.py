@@ -175,15 +175,16 @@ def stock_categories(spark, sf_dir) -> DataFrame:
 
 def _register(spark, sf_dir):
     """Lines, orders and customers as three consolidated tables."""
-    li, o = star.lines(spark, sf_dir), star.order_totals(spark, sf_dir)
+    # The order's organisation goes on the bare lines, before products widen them.
+    bare, where = star.load(spark, sf_dir, "lineitem"), star.orders(spark, sf_dir).select("order_id", "org")
+    bare = bare.join(where, bare["l_orderkey"].cast("string") == where["order_id"]).drop("order_id")
+    li, o = star.lines(spark, sf_dir, bare, ("org",)), star.order_totals(spark, sf_dir)
     lines = li.select(
         F.lit("till").alias("source_system"), "order_id", "order_line_id", "product_id",
         "product_name", F.when(F.col("raw_category_name") != "PROMO", F.col("brand_name"))
         .alias("brand_name"), "product_qty", "raw_category_name", "product_sku",
         F.col("item_total").alias("order_line_total"),
-        F.col("item_subtotal").alias("order_line_subtotal"))
-    where = o.select("order_id", "org")
-    lines = lines.join(where, "order_id")
+        F.col("item_subtotal").alias("order_line_subtotal"), "org")
     orders = o.where("status <> 'P'").select(
         "org", F.lit("till").alias("source_system"), "order_id",
         F.when(F.col("order_type") != "Delivery", F.col("customer_id")).alias("customer_id"),

@@ -8,8 +8,10 @@ from conftest import rows
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
-from tallyhouse.queries import extraction, payloads, products
+from tallyhouse.operators import customers as customer_ops
+from tallyhouse.queries import campaigns, customers, extraction, payloads, products
 from tallyhouse.queries.registry import QUERIES
+from tallyhouse.session import cut_lineage_columns
 from tallyhouse.sources import star, variants
 
 DAY = dt.datetime(2001, 7, 25)
@@ -82,3 +84,37 @@ def test_register_lines_need_no_order_sums(spark, small):
     assert "Aggregate" not in plan(lines)
     assert rows(lines, "order_line_id", "org", "brand_name") == [
         ("10-1-1-5", "R", None), ("10-2-2-5", "R", "Brand#2"), ("10-3-2-5", "R", "Brand#2")]
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_stored_columns_are_read_alone(spark):
+    frame = spark.createDataFrame([(1, None, DAY), (None, "x", None), (1, None, DAY)], "a long, `b c` string, t timestamp")
+    kept = cut_lineage_columns(frame)
+    assert kept.schema == frame.schema and rows(kept) == rows(frame)
+    assert "ReadSchema: struct<a:bigint>" in kept.groupBy("a").count()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_brands_and_shares_are_shuffled_once(spark):
+    lines = spark.createDataFrame([("o", "1", "x", "a"), ("o", "1", None, "a"), ("o", "1", "x", "b"), ("o", "1", "w", None),
+                                   ("o", "2", None, None), (None, None, "x", "NA")], "org string, customer_id string, brand string, c string")
+    brands, shares = customer_ops.product_behavior(lines), customer_ops.preference_shares(lines, "c", ["a", "z"])
+    assert shuffles(brands) == 1 and shuffles(shares) == 1
+    assert rows(brands) == [("o", "1", "w, x", 2), ("o", "2", "", 0), (None, None, "x", 1)]
+    assert rows(shares) == [("o", "1", 0.5, 0.0)]
+
+
+def test_behavior_lines_are_stored_by_column(spark, small, monkeypatch):
+    used, operator = {}, customer_ops.customer_behavior
+    monkeypatch.setattr(customers.ops, "customer_behavior", lambda lines, attributed, stage: used.update(stage=stage))
+    monkeypatch.setattr(campaigns, "attributed", lambda spark, sf_dir: None)
+    customers.behavior(spark, small)
+    lines = customers.behavior_lines(spark, small)
+    messages = spark.createDataFrame([], "org string, customer_id string, last_sms_campaign_id string, time_since_last_order int, "
+                                     "order_id string, " + ", ".join(f"is_{h} boolean" for h in ("24hr", "72hr", "7day", "2wk", "30day")))
+    kept = []
+    got = operator(lines, messages, stage=lambda df: kept.append(used["stage"](df)) or kept[-1])
+    assert kept[0].inputFiles()
+    assert rows(got, "customer_id", "num_orders", "all_order_descr", "unique_brands") == [("3", 1, "Brand#11, Brand#2", 2)]

@@ -17,8 +17,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the toxicity model does not reject."""
     names = docs.columns
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    packed = docs.select(F.struct(*names).alias("_doc"), F.col("text"))
-    return toxicity.score_toxicity(packed, model).where("predicted = 0").select("_doc.*")
+    # The text goes to the workers once: the struct keeps the other columns, whatever their names, out of the way.
+    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names if n != "text"]).alias("_doc"), "text")
+    kept = toxicity.score_toxicity(packed, model).where("predicted = 0")
+    return kept.select(*["text" if n == "text" else F.col(f"_doc.`{n}`").alias(n) for n in names])
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,31 +15,37 @@ left out, other columns can be asked for with ``keep``.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.llm.common import shared_folder
 
-# Characters that no tokenizer rule counts as white space start a piece after a blank.
-_PLAIN = re.compile(r"[^\s\x00-\x20\x7f-\xa0]")
+# Characters that no tokenizer rule counts as white space start a piece after a blank or a line break.
 _CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0])")
-_STOPS = ".,;:!?"
+_PLAIN = r"^\n?[^\x00-\x20\x7f-\xa0\s\p{Z}]"
+# A word and the punctuation after it are separate tokens; a quote may start a contraction.
+_STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_STEM = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
+_FIRST = "\x01"  # marks pieces that no blank precedes
+_SLICE = 1 << 22  # bytes of text encoded at a time
 
 
 class Encoder:
     """Encode texts piece by piece with a byte-level BPE, remembering the ids of up to ``memory`` pieces.
 
-    Such a tokenizer never joins what precedes a blank with the word after it, so a text's ids are the ids of its pieces,
-    cut before blanks that a visible character follows. The pieces themselves go through the tokenizer, many in one
-    string; the byte lengths of the ids tell where each piece ends.
+    Such a tokenizer never joins what precedes a blank or a line break with the word after it, so a text's ids are the ids
+    of its pieces, cut before blanks and line breaks that a visible character follows. Arrow cuts many texts at once and
+    lists their different pieces; those not remembered go through the tokenizer, many in one string, and the byte lengths
+    of the ids tell where each piece ends. Texts with other white space are cut one by one.
     """
 
     def __init__(self, path: str, memory: int = 400_000):
@@ -49,59 +55,105 @@ class Encoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)  # byte-level: a character of the token's name is a byte
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}  # places in `at` and `size`
+        self.ids = np.zeros(1 << 16, "<i4")  # the ids of all remembered pieces, one after the other
+        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
-    def plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Ids of pieces without their leading blank."""
-        if not words:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-        return [ids[a:b].tobytes() for a, b in zip(np.r_[0, cuts[:-1]].tolist(), cuts.tolist(), strict=True)]
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of unseen pieces; a word and the stops after it are separate tokens, so the word is looked up alone."""
-        stems = {p: s if (s := p.rstrip(_STOPS)) and s[-1].isalnum() else p for p in pieces}
-        fresh = [s for s in set(stems.values()) if s not in self.known]
-        found = dict(zip(fresh, self._encode(fresh), strict=True))
-        tails = {t: self.plain(t) for t in {p[len(s):] for p, s in stems.items()} if t}
-        for p, s in stems.items():
-            if s is not p and len(s) < len(p):
-                found[p] = (found.get(s) or self.known[s]) + tails[p[len(s):]]
-        room = self.memory - len(self.known)
-        self.known.update(found if room >= len(found) else dict(list(found.items())[:max(room, 0)]))
-        return found
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        get, out, open_, unseen = self.known.get, [b""] * len(texts), [], set()
-        for i, text in enumerate(texts):
-            if any(a in text for a in self.added):
-                out[i] = self.plain(text)  # special strings are cut out before any other rule
-                continue
-            pieces = text.split(" ")
-            first = self.plain(pieces[0]) if pieces[0] else b""
-            values = list(map(get, pieces[1:]))
-            if None in values:
-                lost = {p for p, v in zip(pieces[1:], values, strict=True) if v is None}
-                if all(map(_PLAIN.match, lost)):
-                    unseen |= lost
-                else:  # runs of white space: cut with care
-                    pieces = _CUT.split(text)
-                    first, values = self.plain(pieces[0]), list(map(get, pieces[1:]))
-                    unseen |= {p for p, v in zip(pieces[1:], values, strict=True) if v is None}
-                open_.append((i, first, pieces, values))
-            else:
-                out[i] = first + b"".join(values)
-        found = self._learn(unseen) if unseen else {}
-        for i, first, pieces, values in open_:
-            out[i] = first + b"".join([found[p] if v is None else v for p, v in zip(pieces[1:], values, strict=True)])
-        return out
+    def plain(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<i4")
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, all in one array, and where each one's end."""
+        text = "".join([w if w[0] == "\n" else " " + w for w in words])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<i4")
+        ends = np.cumsum([len(w.encode()) + (w[0] != "\n") for w in words])
+        return ids, np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+
+    def _store(self, n: int, ids: np.ndarray, sizes: np.ndarray, used: int) -> int:
+        """Put pieces behind the first ``n`` ones, which take ``used`` ids; the ids then used."""
+        grown = lambda x, m: x if m <= len(x) else np.r_[x, np.zeros(max(m, 2 * len(x)) - len(x), x.dtype)]
+        self.ids = grown(self.ids, used + len(ids))
+        self.at, self.size = grown(self.at, n + len(sizes)), grown(self.size, n + len(sizes))
+        self.ids[used:used + len(ids)] = ids
+        self.at[n:n + len(sizes)] = used + np.cumsum(sizes) - sizes
+        self.size[n:n + len(sizes)] = sizes
+        return used + len(ids)
+
+    def _learn(self, pieces: list[str]) -> dict[str, int]:
+        """Places of unseen pieces. What exceeds the memory is put behind it, for this call only."""
+        bare = [p for p in pieces if p[0] == _FIRST]
+        rest = [p for p in pieces if p[0] != _FIRST]
+        n = len(self.known)
+        used = int(self.at[n - 1] + self.size[n - 1]) if n else 0
+        if rest:
+            ids, ends = self._encode(rest)
+            used = self._store(n, ids, np.diff(ends, prepend=0), used)
+        if bare:
+            parts = [self.plain(p[1:]) for p in bare]
+            self._store(n + len(rest), np.concatenate(parts), np.array(list(map(len, parts)), np.int64), used)
+        order = rest + bare
+        place = dict(zip(order, range(n, n + len(order)), strict=True))
+        room = max(self.memory - n, 0)
+        self.known.update(place if room >= len(place) else list(place.items())[:room])
+        return place
+
+    def _gather(self, words: pa.Array, which: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of rows of pieces (``which`` of the different ``words``), all in one array, and each row's number of ids."""
+        stems = pc.ascii_rtrim(words, characters=_STOPS)
+        stems = pc.if_else(pc.match_substring_regex(stems, _STEM), stems, words)
+        starts = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+        both = np.empty(2 * len(words) + 1, np.int32)  # stem and tail in turn, over the bytes of the words
+        both[::2] = starts
+        both[1::2] = starts[:-1] + pc.binary_length(stems).to_numpy()
+        tails = pa.StringArray.from_buffers(2 * len(words), pa.py_buffer(both), words.buffers()[2]).take(
+            pa.array(np.arange(1, 2 * len(words), 2)))
+        stems, tails = stems.dictionary_encode(), tails.dictionary_encode()
+        keys = stems.dictionary.to_numpy(zero_copy_only=False).tolist() + [_FIRST + t for t in tails.dictionary.to_pylist()]
+        places = list(map(self.known.get, keys))
+        if lost := dict.fromkeys(k for k, place in zip(keys, places, strict=True) if place is None):
+            found = self._learn(list(lost))
+            places = [found[k] if place is None else place for k, place in zip(keys, places, strict=True)]
+        places, two = np.array(places, np.int64), np.empty((len(words), 2), np.int64)
+        two[:, 0] = places[stems.indices.to_numpy()]
+        two[:, 1] = places[len(stems.dictionary) + tails.indices.to_numpy().astype(np.int64)]
+        place = two[which].ravel()
+        sizes = self.size[place]
+        ends = np.cumsum(sizes)
+        take = np.repeat(self.at[place] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.ids[take], np.diff(np.r_[0, ends][2 * offsets])
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text (no nulls)."""
+        if not len(texts):
+            return pa.array([], pa.list_(pa.int32()))
+        # The first piece gets its mark; a line break starts a piece as a blank does, and stays in it.
+        pieces = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(_FIRST, texts, ""), "\n", " \n"), " ")
+        offsets, cut = pieces.offsets.to_numpy().astype(np.int64), pieces.flatten().dictionary_encode()
+        words, which = cut.dictionary, cut.indices.to_numpy()
+        odd = ~pc.match_substring_regex(words, _PLAIN).to_numpy(zero_copy_only=False)[which]
+        odd[offsets[:-1]] = False
+        odd = np.add.reduceat(odd, offsets[:-1], dtype=np.int64) > 0
+        special = np.zeros(len(texts), bool)  # special strings are cut out before any other rule
+        for a in self.added:
+            special |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        odd |= special
+        if not odd.any():
+            values, sizes = self._gather(words, which, offsets)
+            return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(values))
+        rows = [self.plain(t) if s else None for t, s in zip(texts.to_pylist(), special.tolist(), strict=True)]
+        counts = np.diff(offsets)
+        used, which = np.unique(which[np.repeat(~odd, counts)], return_inverse=True)
+        care = [_CUT.split(t) for t in texts.filter(pa.array(odd & ~special)).to_pylist()]
+        flat = pa.array([p for x in care for p in (_FIRST + x[0], *x[1:])], pa.string()).dictionary_encode()
+        for at, words, which, n in (
+                (~odd, words.take(pa.array(used)), which, counts[~odd]),
+                (odd & ~special, flat.dictionary, flat.indices.to_numpy(), np.array(list(map(len, care)), np.int64))):
+            values, sizes = self._gather(words, which, np.r_[0, np.cumsum(n)].astype(np.int64))
+            for i, ids in zip(np.flatnonzero(at).tolist(), np.split(values, np.cumsum(sizes)), strict=False):
+                rows[i] = ids
+        sizes = np.array(list(map(len, rows)), np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(np.concatenate(rows)))
 
 
 @lru_cache(maxsize=2)
@@ -126,20 +178,21 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
                            T.StructField("offset", T.LongType(), False),
                            T.StructField("tokens", T.ArrayType(T.IntegerType(), False), False),
                            *[docs.schema[c] for c in keep]])
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
         encoder, offset = _encoder(tokenizer), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)  # only a slice's texts become Python strings at a time
-                ids = [x + end for x in encoder.ids(part.column(1).to_pylist())]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
-                                                 pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy()) // _SLICE
+            for at, stop in itertools.pairwise([0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]):
+                part = batch.slice(at, stop - at)
+                lists = encoder.encode(part.column(1))
+                sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64) + 1
+                ends = np.cumsum(sizes)
+                values = np.insert(lists.values.to_numpy(), ends - np.arange(1, len(ends) + 1), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes), pa.array(offset + np.cumsum(sizes) - sizes), lists,
-                     *part.columns[2:]], names=schema.names)
+                    [part.column(0), pa.array(sizes), pa.array(offset + ends - sizes), lists, *part.columns[2:]],
+                    names=schema.names)
                 offset += int(sizes.sum())
 
     (rows.mapInArrow(encode, schema).write
@@ -174,7 +227,8 @@ def read_tokens(spark, path: str, *columns: str, broadcast_files: int = 100_000)
     return rows.join(totals, "_file").select(*names, (F.col("_base") + F.col("offset")).alias("start"))
 
 
-@F.pandas_udf(T.LongType())
-def token_crc(tokens: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def token_crc(tokens: pa.Array) -> pa.Array:
     """Unsigned CRC-32 of each row's ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in tokens], dtype="int64")
+    values, at = tokens.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False), tokens.offsets.to_pylist()
+    return pa.array([zlib.crc32(values[a:b]) for a, b in itertools.pairwise(at)], pa.int64())

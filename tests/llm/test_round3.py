@@ -7,10 +7,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, spelling, whitening
+from tallyhouse.llm import bpe, spelling, token_files, whitening
 from tallyhouse.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +42,21 @@ def test_bpe_equals_library(library):
         assert vocabulary.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_token_encoder_equals_library(library):
+    """Arrays of texts at once, with and without room to remember, in slices of an array, beside odd white space."""
+    texts = odd_texts() + ["", "\n", "\n a", "a\n", "a \nb", "\x01a b", "a \x01b", "Don't stop.\nThe end... \"x\"\nof it,,\nall's 'so'",
+                           *(f"word{i}ab ouble*** thein,\nIn{i}er d'e. é{i % 7}ßch## " * 3 + "end." for i in range(300))]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    whole = pa.array(texts, pa.string())
+    for memory in (0, 50, 100_000):
+        encoder = token_files.Encoder(PATH, memory=memory)
+        for step in (7, len(texts)):
+            got = [ids for at in range(0, len(texts), step) for ids in encoder.encode(whole.slice(at, step)).to_pylist()]
+            assert got == want
+        assert len(encoder.known) <= memory
+    assert token_files.Encoder(PATH).encode(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_bpe_tables(spark, odd_docs, library):
     rows = odd_docs.withColumn("tokens", F.lit("other")).withColumn("decoded", F.lit(1))
     out = bpe.decode_tokens(bpe.encode_texts(rows, PATH), PATH)

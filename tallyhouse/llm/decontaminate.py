@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import row_key, shared_folder, stored, text_bytes
+from tallyhouse.llm.common import giving_back, row_key, shared_folder, stored, text_bytes
 
 # A-Z to a-z; every ASCII byte that is no word character to a space. Bytes from 0x80 on are word characters.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32
@@ -100,7 +100,7 @@ def _scan(docs: DataFrame, text: str, broadcast) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in names] + added, names=names + ADDED.names)
 
-    return docs.select(names).mapInArrow(run, schema)
+    return docs.select(names).mapInArrow(giving_back(run), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",

@@ -18,7 +18,6 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.common import shared_folder
+from tallyhouse.llm.common import give_back, giving_back, kept, shared_folder, small_batches
 
 # Characters that no tokenizer rule counts as white space start a piece after a blank or a line break.
 _CUT = re.compile(r" (?=[^\s\x00-\x20\x7f-\xa0])")
@@ -36,7 +35,12 @@ _PLAIN = r"^\n?[^\x00-\x20\x7f-\xa0\s\p{Z}]"
 _STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _STEM = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
 _FIRST = "\x01"  # marks pieces that no blank precedes
-_SLICE = 1 << 22  # bytes of text encoded at a time
+_SLICE = 1 << 21  # bytes of text encoded at a time
+
+
+def _long(piece: str) -> bool:
+    """Whether a piece is too long to be remembered."""
+    return len(piece) > 100
 
 
 class Encoder:
@@ -57,7 +61,7 @@ class Encoder:
             self.sizes[i] = len(token)  # byte-level: a character of the token's name is a byte
         self.known: dict[str, int] = {}  # places in `at` and `size`
         self.ids = np.zeros(1 << 16, "<i4")  # the ids of all remembered pieces, one after the other
-        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.at, self.size = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def plain(self, text: str) -> np.ndarray:
@@ -82,8 +86,8 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> dict[str, int]:
         """Places of unseen pieces. What exceeds the memory is put behind it, for this call only."""
-        bare = [p for p in pieces if p[0] == _FIRST]
-        rest = [p for p in pieces if p[0] != _FIRST]
+        bare = sorted((p for p in pieces if p[0] == _FIRST), key=_long)
+        rest = sorted((p for p in pieces if p[0] != _FIRST), key=_long)
         n = len(self.known)
         used = int(self.at[n - 1] + self.size[n - 1]) if n else 0
         if rest:
@@ -94,8 +98,8 @@ class Encoder:
             self._store(n + len(rest), np.concatenate(parts), np.array(list(map(len, parts)), np.int64), used)
         order = rest + bare
         place = dict(zip(order, range(n, n + len(order)), strict=True))
-        room = max(self.memory - n, 0)
-        self.known.update(place if room >= len(place) else list(place.items())[:room])
+        room = min(self.memory - n, next((i for i, p in enumerate(order) if _long(p)), len(order)))
+        self.known.update(place if room >= len(place) else list(place.items())[:max(room, 0)])
         return place
 
     def _gather(self, words: pa.Array, which: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,13 +118,14 @@ class Encoder:
         if lost := dict.fromkeys(k for k, place in zip(keys, places, strict=True) if place is None):
             found = self._learn(list(lost))
             places = [found[k] if place is None else place for k, place in zip(keys, places, strict=True)]
-        places, two = np.array(places, np.int64), np.empty((len(words), 2), np.int64)
+        places, two = np.array(places, np.int32), np.empty((len(words), 2), np.int32)
         two[:, 0] = places[stems.indices.to_numpy()]
         two[:, 1] = places[len(stems.dictionary) + tails.indices.to_numpy().astype(np.int64)]
         place = two[which].ravel()
         sizes = self.size[place]
-        ends = np.cumsum(sizes)
-        take = np.repeat(self.at[place] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        take = np.repeat(self.at[place] - (ends - sizes).astype(np.int32), sizes)
+        take += np.arange(len(take), dtype=np.int32)
         return self.ids[take], np.diff(np.r_[0, ends][2 * offsets])
 
     def encode(self, texts: pa.Array) -> pa.ListArray:
@@ -156,10 +161,9 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(np.concatenate(rows)))
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process; it outlives a task."""
-    return Encoder(path)
+    return kept(f"tokens {path}", lambda: Encoder(path))
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "doc_id", text: str = "text",
@@ -194,13 +198,15 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
                     [part.column(0), pa.array(sizes), pa.array(offset + ends - sizes), lists, *part.columns[2:]],
                     names=schema.names)
                 offset += int(sizes.sum())
-
-    (rows.mapInArrow(encode, schema).write
-     .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
-     .option("parquet.enable.dictionary", "true")
-     .option("parquet.enable.dictionary#tokens.list.element", str(encoding == "dictionary").lower())
-     .option("parquet.block.size", str(row_group_bytes)).option("parquet.page.row.count.limit", str(page_rows))
-     .parquet(path))
+            give_back()
+
+    with small_batches(spark, 2 * _SLICE):
+        (rows.mapInArrow(giving_back(encode), schema).write
+         .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+         .option("parquet.enable.dictionary", "true")
+         .option("parquet.enable.dictionary#tokens.list.element", str(encoding == "dictionary").lower())
+         .option("parquet.block.size", str(row_group_bytes)).option("parquet.page.row.count.limit", str(page_rows))
+         .parquet(path))
     return path
 
 

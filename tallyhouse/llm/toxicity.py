@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.common import giving_back, kept
+
 _WORD = re.compile(r"\w+")
 WINDOW, STRIDE = 32, 24
 LONGEST = 40
@@ -347,15 +349,9 @@ def _threshold(logit: np.ndarray, y: np.ndarray) -> float:
     return float((low + high) / 2)
 
 
-_BY_TAG: dict[str, Scorer] = {}
-
-
 def worker_scorer(model: Model) -> Scorer:
     """One scorer a worker process and model; it outlives a task."""
-    if model.tag not in _BY_TAG:
-        _BY_TAG.clear()
-        _BY_TAG[model.tag] = Scorer(model)
-    return _BY_TAG[model.tag]
+    return kept(f"toxicity {model.tag}", lambda: Scorer(model))
 
 
 def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -375,5 +371,5 @@ def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") ->
                 got = scorer.scores(part.column(where).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.float64())], names=schema.names)
 
-    scored = docs.select(names).mapInArrow(run, schema)
+    scored = docs.select(names).mapInArrow(giving_back(run), schema)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

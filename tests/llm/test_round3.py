@@ -57,6 +57,37 @@ def test_token_encoder_equals_library(library):
     assert token_files.Encoder(PATH).encode(pa.array([], pa.string())).to_pylist() == []
 
 
+def test_workers_forget_what_other_stages_left(monkeypatch):
+    """Scorers and encoders outlive tasks of their own stage, not a task of the next one."""
+    from tallyhouse.llm import common
+    monkeypatch.setattr(common, "_KEPT", {})
+    monkeypatch.setattr(common, "_ASKED", set())
+    made = []
+    make = lambda: made.append(1) or len(made)
+    using = common.giving_back(lambda batches: (common.kept("scorer", make) + b for b in batches))
+    assert list(using([1, 2])) == [2, 3] and list(using([5])) == [6] and len(made) == 1
+    assert list(common.giving_back(lambda batches: iter(batches))([4])) == [4]
+    assert common._KEPT == {} and list(using([1])) == [3]
+
+
+def test_long_pieces_are_not_remembered():
+    encoder = token_files.Encoder(PATH)
+    encoder.encode(pa.array(["a" * 500 + " short " + "é" * 300, "word"]))
+    assert encoder.known and max(map(len, encoder.known)) <= 100
+
+
+def test_token_batches_are_bounded(spark):
+    """Small batches while the files are written; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, sizes = spark.conf.get(name), "n long"
+    from tallyhouse.llm.common import small_batches
+    rows = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    count = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    with small_batches(spark, 200_000):
+        assert max(r.n for r in rows.mapInArrow(count, sizes).collect()) < 1000
+    assert spark.conf.get(name) == before
+
+
 def test_bpe_tables(spark, odd_docs, library):
     rows = odd_docs.withColumn("tokens", F.lit("other")).withColumn("decoded", F.lit(1))
     out = bpe.decode_tokens(bpe.encode_texts(rows, PATH), PATH)

@@ -251,3 +251,43 @@ def test_whitening_odd_rows(spark):
     assert all(r.deviation is None for r in big)
     long = [(i, [float((i * j) % 11 + (i % 3)) for j in range(150)], "", 0) for i in range(30)]
     assert len(whitening.whiten(spark.createDataFrame(long, schema)).collect()) == 30 * 8
+
+
+def test_line_hashes_at_every_width_of_counter(spark):
+    """The majority of lines about the bounds of the packed counters; no generated method is too long to be compiled."""
+    import re
+
+    from pyspark.sql import functions as F
+    from tallyhouse.llm import fuzzy_lines
+    sizes = [1, 2, 127, 128, 255, 3000, 2 ** 14 - 2, 2 ** 14 - 1, 2 ** 14, 2 ** 15 + 1]
+    lines = spark.createDataFrame([(n, " ".join(chr(0x4E00 + i) if i < 20_000 else f"w{i}" for i in range(n))) for n in sizes],
+                                  "h long, line string")
+    hashes = lines.select("h", F.explode(F.split("line", " ")).alias("w")).select("h", F.xxhash64("w").alias("x")).collect()
+    sims = fuzzy_lines.simhashes(lines, ["h"])
+    got = {r["h"]: r["sim"] & (2 ** 64 - 1) for r in sims.collect()}
+    for n in sizes:
+        xs = np.array([r["x"] for r in hashes if r["h"] == n], np.int64).view(np.uint64)
+        assert got[n] == sum(1 << b for b in range(64) if 2 * int(((xs >> np.uint64(b)) & np.uint64(1)).sum()) > n), n
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        short = fuzzy_lines.simhashes(lines, ["h"])._jdf.queryExecution().executedPlan()
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(short)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # The counters of ordinary lines; HotSpot leaves methods of more than 8,000 bytes interpreted.
+    assert sorted(int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code))[-2] < 8000
+
+
+def test_texts_of_lines_are_not_kept(spark, odd_docs, monkeypatch):
+    """Only the lines of pairs to be verified are stored as text; no table holds a bucket row for every line and block."""
+    from tallyhouse.llm import fuzzy_lines
+    seen = {}
+    real = fuzzy_lines.stored
+    monkeypatch.setattr(fuzzy_lines, "stored", lambda df, folder, name: seen.setdefault(name, real(df, folder, name)))
+    docs = odd_docs.where("doc_id is null or doc_id not in (5, 6)").unionByName(spark.createDataFrame(
+        [(100 + i, f"only here {i} stands a line of its own number {i * 7919}", "en", "a", 1) for i in range(50)], odd_docs.schema))
+    fuzzy_lines.drop_similar_lines(docs).collect()
+    texts = [n for n, df in seen.items() if "line" in df.columns or "text" in df.columns]
+    assert sorted(texts) == ["others_texts", "stars_texts"]
+    assert all(seen[n].count() <= 2 * seen[n.replace("texts", "pairs")].count() for n in texts)
+    assert seen["stars_texts"].count() < seen["sims"].count() / 2

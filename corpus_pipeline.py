@@ -13,8 +13,17 @@ from tallyhouse.llm import decontaminate, jaccard, mixing, token_files, toxicity
 from tallyhouse.llm.common import shared_folder, table
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Batches to Python workers of about 2 MB for the whole session: the caller writes a stage after it has returned.
+
+    10,000 whole texts, the default, stand in the executor and once more in its worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the toxicity model does not reject."""
+    _bound_batches(spark)
     names = docs.columns
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     # The text goes to the workers once: the struct keeps the other columns, whatever their names, out of the way.
@@ -25,11 +34,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (word 5-grams, similarity 0.8)."""
+    _bound_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that hold no or few words of benchmark items."""
+    _bound_batches(spark)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -100,7 +100,7 @@ def _scan(docs: DataFrame, text: str, broadcast) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(c)) for c in names] + added, names=names + ADDED.names)
 
-    return docs.select(names).mapInArrow(giving_back(run), schema)
+    return docs.select(names).mapInArrow(giving_back(run, ()), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",

@@ -233,7 +233,7 @@ def _classed(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int =
     least = level(threshold, trees, depth, recall)
     id_type = docs.schema[key].dataType.simpleString()
     rows = docs.select(*row_key(key, text), F.col(key).alias("key"), F.col(text).alias("text"))
-    marked = rows.mapInArrow(giving_back(_signatures(n, trees, depth)), f"k1 long, k2 long, key {id_type}, s1 long, s2 long, "
+    marked = rows.mapInArrow(giving_back(_signatures(n, trees, depth), ()), f"k1 long, k2 long, key {id_type}, s1 long, s2 long, "
                              "n_grams long, labels array<binary>")
     marked = stored(marked, folder, "signatures")
     # A set's id is a hash of its digest: copies share it.

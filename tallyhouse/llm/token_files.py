@@ -163,7 +163,11 @@ class Encoder:
 
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process; it outlives a task."""
-    return kept(f"tokens {path}", lambda: Encoder(path))
+    return kept(_tag(path), lambda: Encoder(path))
+
+
+def _tag(path: str) -> str:
+    return f"tokens {path}"
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key: str = "doc_id", text: str = "text",
@@ -201,7 +205,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, key:
             give_back()
 
     with small_batches(spark, 2 * _SLICE):
-        (rows.mapInArrow(giving_back(encode), schema).write
+        (rows.mapInArrow(giving_back(encode, (_tag(tokenizer),)), schema).write
          .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
          .option("parquet.enable.dictionary", "true")
          .option("parquet.enable.dictionary#tokens.list.element", str(encoding == "dictionary").lower())

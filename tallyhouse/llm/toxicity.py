@@ -291,7 +291,7 @@ class Scorer:
         self.used = need
         return self.ids
 
-    def scores(self, texts: list[str | None], group: int = 4096) -> np.ndarray:
+    def scores(self, texts: list[str | None], group: int = 1024) -> np.ndarray:
         """The score of each text's worst window."""
         docs = [words(t) for t in texts]
         get, rows, of = self._place(docs).__getitem__, [], []
@@ -351,7 +351,11 @@ def _threshold(logit: np.ndarray, y: np.ndarray) -> float:
 
 def worker_scorer(model: Model) -> Scorer:
     """One scorer a worker process and model; it outlives a task."""
-    return kept(f"toxicity {model.tag}", lambda: Scorer(model))
+    return kept(_tag(model), lambda: Scorer(model))
+
+
+def _tag(model: Model) -> str:
+    return f"toxicity {model.tag}"
 
 
 def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -371,5 +375,5 @@ def score_toxicity(docs: DataFrame, model: Model | None, text: str = "text") ->
                 got = scorer.scores(part.column(where).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.float64())], names=schema.names)
 
-    scored = docs.select(names).mapInArrow(giving_back(run), schema)
+    scored = docs.select(names).mapInArrow(giving_back(run, (_tag(model),)), schema)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -70,6 +70,17 @@ def test_workers_forget_what_other_stages_left(monkeypatch):
     assert common._KEPT == {} and list(using([1])) == [3]
 
 
+def test_workers_forget_before_the_first_batch(monkeypatch):
+    """What another stage left is gone when a task begins; what the task itself will ask for stays."""
+    from tallyhouse.llm import common
+    monkeypatch.setattr(common, "_KEPT", {"tokens": 1, "scorer": 2})
+    monkeypatch.setattr(common, "_ASKED", set())
+    seen = []
+    run = lambda batches: (seen.append(dict(common._KEPT)) or common.kept("scorer", int) + b for b in batches)
+    assert list(common.giving_back(run, ("scorer",))([5, 6])) == [7, 8]
+    assert seen == [{"scorer": 2}, {"scorer": 2}] and common._KEPT == {"scorer": 2}
+
+
 def test_long_pieces_are_not_remembered():
     encoder = token_files.Encoder(PATH)
     encoder.encode(pa.array(["a" * 500 + " short " + "é" * 300, "word"]))

@@ -118,3 +118,35 @@ def test_behavior_lines_are_stored_by_column(spark, small, monkeypatch):
     got = operator(lines, messages, stage=lambda df: kept.append(used["stage"](df)) or kept[-1])
     assert kept[0].inputFiles()
     assert rows(got, "customer_id", "num_orders", "all_order_descr", "unique_brands") == [("3", 1, "Brand#11, Brand#2", 2)]
+
+
+def test_favourites_need_no_grouping_by_spend(spark):
+    nan = float("nan")
+    lines = spark.createDataFrame(
+        [("1", "A", "b", 2.0), ("1", "A", "b", 1.0), ("1", "A", "a", 3.0), ("1", "A", None, 3.0), ("1", "Z", "z", 9.0), ("1", None, "n", 9.0),
+         ("2", "A", None, 5.0), ("2", "A", "a", 4.0), ("2", "B", "low", -1.0), ("2", "B", "none", None), ("3", "A", "a", 7.0), ("3", "A", "n", nan),
+         ("4", "Z", "z", 1.0), ("5", None, "n", 1.0), ("6", "a", "x", 1.0), ("6", "A", "w", 9.0), (None, "B", "b", 1.0)],
+        "customer_id string, category2 string, brand_name string, item_total double")
+    got = customer_ops.favourite_brands(lines, ["customer_id"], ["A", "B"])
+    assert shuffles(got) == 3
+    # Lines of other categories travel without brand and spend.
+    assert plan(got).count("CASE WHEN") >= 3
+    assert rows(got) == [("1", "a", None), ("2", None, "none"), ("3", "n", None), ("4", None, None), ("6", "x", None), (None, None, "b")]
+
+
+def test_profile_works_out_the_rhythm_once(spark):
+    data = [("o", "c", "p", str(i), dt.datetime(1998 + i % 4, 1 + i, 5), 10.0 + i, 9.0 + i * i, -1.0 - i, c, b, 5.0)
+            for i in range(6) for c, b in (("PROMO", "a"), ("OTHER", "b"))]
+    pop = spark.createDataFrame(
+        data, "org_uuid string, customer_id string, phone string, order_id string, order_time_utc timestamp, order_tot double, "
+        "order_subtot double, order_disc double, category2 string, brand_name string, item_total double")
+    kept = []
+    got = customer_ops.customer_profile(pop, F.lit(dt.datetime(2001, 8, 2)), ["PROMO", "SMALL"],
+                                        stage=lambda df: kept.append(df.columns) or df.localCheckpoint())
+    assert len(kept) == 2 and "cust_is_lost" in kept[1]
+    assert "percentile" not in plan(got)
+    times = sorted(d[4] for d in data[::2])
+    gaps = [(b - a).total_seconds() / 86400 for a, b in zip(times, times[1:])]
+    [row] = got.collect()
+    assert (row.tot_orders, row.promo, row.small) == (6, "a", None)
+    assert row.ave_days_between == pytest.approx(sum(gaps) / 5) and row.med_order_total == 12.5

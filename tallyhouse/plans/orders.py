@@ -10,7 +10,6 @@ from ..functions.orders import strain_class
 from ..functions.people import full_name
 from ..functions.text import brand_from_title, squish
 from ..operators.ordered import fill_both_ways, is_first_day, latest_row, number_rows
-from ..session import Stage, lazily
 
 
 def order_dashboard(population: DataFrame, zip_city: DataFrame, *, org: str = "org"
@@ -89,17 +88,17 @@ def flatfile_orders(raw: DataFrame, patients: DataFrame, *, org: str, source_sys
 
 def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFrame, *,
                          org: str, source_system: str, row: str = "row_no",
-                         rows_per_bucket: int = 100_000, stage: Stage = lazily) -> DataFrame:
+                         rows_per_bucket: int = 100_000) -> DataFrame:
     """Order lines from an exported file in which headers stand on one row only.
 
     ``row`` numbers the file's rows. Order fields are filled down, totals up,
     within one export; a file of any length is worked on in row buckets. Rows
     without a quantity are totals. The latest copy of a line stands, customers
-    are found by name (most orders first) and lines without one left out.
+    are found by name (most orders first) and lines without one left out. Lines are shuffled by order once, for their latest
+    copies and their numbers; an order's lines are sorted in one task.
     """
-    filled = _filled(raw, row, rows_per_bucket).where(F.col("qty").isNotNull())
-    lines = stage(latest_row(filled, ["order_number", "product"], ["created_at", row]))
-    lines = _not_left_out(lines)
+    filled = _filled(raw, row, rows_per_bucket).where(F.col("qty").isNotNull()).repartition("order_number")
+    lines = _not_left_out(latest_row(filled, ["order_number", "product"], ["created_at", row]))
     names = latest_row(patients, ["first_name", "last_name"], ["total_completed_orders"])
     ids = names.select(F.concat_ws(" ", "first_name", "last_name").alias("patient"),
                        F.col("patient_id").alias("customer_id"))
@@ -108,8 +107,7 @@ def flatfile_order_lines(raw: DataFrame, patients: DataFrame, categories: DataFr
         "product_qty": F.col("qty").try_cast("double"),
         "order_line_total": F.col("amount").try_cast("double"),
         "order_line_list_price": F.col("price").try_cast("double")})
-    lines = number_rows(lines, ["order_number"], ["product_name", row], "order_line_id",
-                        bucket=lambda c: F.substring(c, 1, 1))
+    lines = number_rows(lines, ["order_number"], ["product_name", row], "order_line_id", bucket=None)
     out = lines.join(ids.where(F.col("customer_id").isNotNull()), "patient").join(
         categories, "raw_category_name", "left")
     none = F.lit(None)

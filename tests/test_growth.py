@@ -9,6 +9,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import customers as customer_ops
+from tallyhouse.plans.orders import flatfile_order_lines
 from tallyhouse.queries import campaigns, customers, extraction, payloads, products
 from tallyhouse.queries.registry import QUERIES
 from tallyhouse.session import cut_lineage_columns
@@ -150,3 +151,25 @@ def test_profile_works_out_the_rhythm_once(spark):
     [row] = got.collect()
     assert (row.tot_orders, row.promo, row.small) == (6, "a", None)
     assert row.ave_days_between == pytest.approx(sum(gaps) / 5) and row.med_order_total == 12.5
+
+
+def test_flatfile_lines_are_shuffled_by_order_once(spark):
+    head = [("1", "Ann B", "2021-01-01", "Completed"), ("2", "Ann B", "2021-01-02", "Returned"), ("3", "No One", "2021-01-03", "Completed"),
+            ("1", "Ann B", "2021-01-05", "Completed")]
+    sold = [[("tea", "1"), ("Bun", "2"), ("tea", "3")], [("tea", "4")], [("tea", "5")], [("tea", "6"), ("ale", "7"), (None, "8")]]
+    data, n = [], 0
+    for h, lines in zip(head, sold):
+        for r in [(*h, None, None), *[(None,) * 4 + line for line in lines]]:
+            n += 1
+            data.append((dt.datetime(2021, 2, 1), n, *r))
+    raw = spark.createDataFrame(data, "run_date_utc timestamp, row_no long, order_number string, patient string, created_at string, "
+                                "status string, product string, qty string")
+    raw = raw.withColumns({"product_category": F.lit("Drinks"), "amount": F.lit(None).cast("string"), "price": F.lit("2"), "uom": F.lit("g")})
+    people = spark.createDataFrame([("Ann", "B", "a1", 2), ("Ann", "B", "a0", 1)],
+                                   "first_name string, last_name string, patient_id string, total_completed_orders int")
+    cats = spark.createDataFrame([("drinks", "DRINKS")], "raw_category_name string, product_category_name string")
+    got = flatfile_order_lines(raw, people, cats, org="o", source_system="s", rows_per_bucket=3)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(order_number") == 1
+    assert rows(got, "order_id", "order_line_id", "product_name", "product_qty", "customer_id", "product_category_name") == [
+        ("1", "1", "ALE", 7.0, "a1", "DRINKS"), ("1", "2", "BUN", 2.0, "a1", "DRINKS"), ("1", "3", "TEA", 6.0, "a1", "DRINKS"),
+        ("1", "4", None, 8.0, "a1", "DRINKS")]

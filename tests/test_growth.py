@@ -8,8 +8,11 @@ from conftest import rows
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.category import IGNORE_CASE_RULES, STRICT_RULES, apply_rules, ignore_case_category, strict_category
 from tallyhouse.operators import customers as customer_ops
+from tallyhouse.operators import joins
 from tallyhouse.plans.orders import flatfile_order_lines
+from tallyhouse.plans.population import population_multi
 from tallyhouse.queries import campaigns, customers, extraction, payloads, products
 from tallyhouse.queries.registry import QUERIES
 from tallyhouse.session import cut_lineage_columns
@@ -173,3 +176,56 @@ def test_flatfile_lines_are_shuffled_by_order_once(spark):
     assert rows(got, "order_id", "order_line_id", "product_name", "product_qty", "customer_id", "product_category_name") == [
         ("1", "1", "ALE", 7.0, "a1", "DRINKS"), ("1", "2", "BUN", 2.0, "a1", "DRINKS"), ("1", "3", "TEA", 6.0, "a1", "DRINKS"),
         ("1", "4", None, 8.0, "a1", "DRINKS")]
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_meet_orders_and_customers_in_one_shuffle(spark):
+    lines = spark.createDataFrame(
+        [("a", "1", "1-1", "soda", "drinks"), ("a", "1", "1-1", "soda", "drinks"), ("a", "1", "1-2", "hat", None), ("b", "1", "1-1", "soda", ""),
+         ("a", "2", "2-1", "hat", "x"), ("a", None, "3-1", "hat", "x"), ("a", "9", "9-1", "hat", "x")],
+        "org string, order_id string, order_line_id string, product_name string, raw_category_name string").withColumn(
+        "source_system", F.lit("till")).withColumn("brand_name", F.lit(None).cast("string"))
+    orders = spark.createDataFrame(
+        [("a", "1", "c", DAY, "7", "ANN"), ("a", "1", "c", DAY, "7", "ANN"), ("b", "1", "c", DAY, "7", "BOB"), ("a", "2", None, DAY, None, None)],
+        "org string, order_id string, customer_id string, order_time_utc timestamp, sold_by_id string, sold_by string").withColumn(
+        "source_system", F.lit("till"))
+    people = spark.createDataFrame([("a", "c", "1", "F", 30), ("a", "c", "2", "F", 30), ("b", "d", "3", "M", 40)],
+                                   "org string, customer_id string, phone string, gender string, age int")
+    got = population_multi(lines, orders, people)
+    steps = [line for line in executed(got).splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("order_line_id" in line for line in steps) == 0
+    assert sum("hashpartitioning(org" in line and "order_id" in line for line in steps) == 2
+    assert rows(got, "org", "order_id", "order_line_id", "phone", "category3") == [
+        ("a", "1", "1-1", "1", "DRINKS"), ("a", "1", "1-1", "2", "DRINKS"), ("a", "1", "1-2", "1", "OTHER"), ("a", "1", "1-2", "2", "OTHER"),
+        ("a", "2", "2-1", None, "OTHER"), ("b", "1", "1-1", None, "OTHER")]
+
+
+@pytest.mark.parametrize("people", ["c string, name string", "c string, x string", "l string, name string"])
+def test_complete_lines_in_either_order(spark, people):
+    lines = spark.createDataFrame([("1", "l1", "x1"), ("1", "l2", "x2"), ("2", "l1", "x3"), ("3", "l1", "x4")], "o string, l string, x string")
+    orders = spark.createDataFrame([("1", "c1", 5), ("2", None, 6)], "o string, c string, t int")
+    key, other = people.replace(" string", "").split(", ")
+    names = spark.createDataFrame([("c1", "n1"), ("l1", "n2"), (None, "n3")], people)
+    got = joins.complete_lines(lines, orders, names, ["o"], [key], ["o", "l"])
+    want = joins.left_join_sparse(lines.join(orders, "o"), names, [key], key, ["o", "l"])
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_categories_read_each_text_once(spark):
+    texts = [None, "", "Beverage", "pill box", "Non-Edible gifts", "edible", "bud", "BUD", "Live Resin", "prepack", "14g special", "battery",
+             "C-Cell cartridge", "syrup", "cream/lotion", "Flower", "pre roll", "preroll flower", "shake sativa", "gear"]
+    frame = spark.createDataFrame([(a, b, c) for a in texts for b in texts for c in (None, "Topical", "flower")], "r string, p string, c string")
+    r, p, c = F.col("r"), F.col("p"), F.col("c")
+
+    def merged(of):
+        return F.when(of == "BATTERIES", "ACCESSORIES").otherwise(of)
+
+    up = F.nullif(F.upper(r), F.lit(""))
+    plain = frame.select(merged(apply_rules(F.lower(r), F.upper(p), F.upper(c), STRICT_RULES)), merged(F.coalesce(
+        apply_rules(up, F.upper(p), rules=IGNORE_CASE_RULES, ignore_case=True), F.lit("OTHER"))))
+    got = frame.select(strict_category(r, p, c).alias("s"), ignore_case_category(r, p).alias("i"))
+    assert plan(got.select("s")).count("upper(p") <= 2 and got.select("s").distinct().count() > 8
+    assert [tuple(x) for x in got.collect()] == [tuple(x) for x in plain.collect()]

@@ -229,3 +229,12 @@ def test_categories_read_each_text_once(spark):
     got = frame.select(strict_category(r, p, c).alias("s"), ignore_case_category(r, p).alias("i"))
     assert plan(got.select("s")).count("upper(p") <= 2 and got.select("s").distinct().count() > 8
     assert [tuple(x) for x in got.collect()] == [tuple(x) for x in plain.collect()]
+
+
+def test_products_are_parsed_once(spark, small, monkeypatch):
+    kept = []
+    monkeypatch.setattr(extraction, "cut_lineage_columns", lambda df: kept.append(cut_lineage_columns(df)) or kept[-1], raising=False)
+    got = QUERIES["population_from_payloads"](spark, small)
+    # Customers' payloads are the only text left to parse for the lines.
+    assert len(kept) == 1 and plan(got).count("from_json") == 1
+    assert rows(got, "order_line_id", "product_name", "raw_brand_name") == [(102, "GUMMIES HAT", "BRAND#2"), (103, "GUMMIES HAT", "BRAND#2")]
